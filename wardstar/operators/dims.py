@@ -6,9 +6,11 @@ from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import calendar as cal
 from ..functions import clinical as rules
+from ..schemas import TARGET, literal_rows
 from .keys import assign_keys, max_key
 from .scd import Scd2Next, scd2_next, upsert_scd1
 
@@ -97,16 +99,8 @@ def dim_department(src: DataFrame, cur: DataFrame | None = None) -> DataFrame:
 
 def dim_encounter_type(spark: SparkSession, cur: DataFrame | None = None) -> DataFrame:
     """The three fixed types; keys follow the order in which they are listed."""
-    rows = [(i, *values) for i, values in enumerate(rules.ENCOUNTER_TYPES)]
-    src = spark.createDataFrame(
-        rows,
-        "_pos int, encounter_type string, encounter_type_category string, expected_los_days int",
-    )
-    attrs = src.drop("_pos")
-    if cur is None:
-        return assign_keys(src, "encounter_type_key", F.col("_pos")).select(
-            "encounter_type_key", *attrs.columns
-        )
+    schema = T.StructType(TARGET["dim_encounter_type"].fields[1:])
+    attrs = literal_rows(spark, list(rules.ENCOUNTER_TYPES), schema)
     position = F.when(F.lit(False), 0)
     for i, values in enumerate(rules.ENCOUNTER_TYPES):
         position = position.when(F.col("encounter_type") == values[0], i)

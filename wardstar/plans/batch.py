@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime, timedelta
+from typing import TypeVar
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -13,10 +16,12 @@ from ..functions.clinical import text_key
 from ..operators import bridges, dims, facts, pairs, quality, readmission
 from ..operators.keys import max_key
 from ..operators.scd import Scd2Next, upsert
-from ..schemas import SOURCE, TARGET
+from ..schemas import TARGET, literal_rows
 from ..sources.tables import checked
 from ..sources.warehouse import Snapshot, Warehouse
 
+T = TypeVar("T")
+
 BATCH_STEP = "incremental_etl_batch"
 DIM_STEP = "load_dimensions_incremental"
 FACT_STEP = "load_fact_incremental"
@@ -90,12 +95,29 @@ def read_marks(metadata: DataFrame) -> Marks:
     )
 
 
+def at_once(*jobs: Callable[[], T]) -> list[T]:
+    """Submit independent Spark jobs together and wait for all."""
+    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+        return [f.result() for f in [pool.submit(job) for job in jobs]]
+
+
 # -- dimensions ---------------------------------------------------------------------
 
 
+def load_calendar(
+    wh: Warehouse, snap: Snapshot, source: dict[str, DataFrame], ctx: BatchContext
+) -> Snapshot:
+    """Only the calendar, extended to the years of the source's encounters."""
+    cur = wh.read("dim_date", snap)
+    days = dims.dim_date(dims.calendar_range(source["encounters"]), cur)
+    return snap.replaced("dim_date", [wh.write(days, "dim_date", ctx.batch_id)])
+
+
 def load_dimensions(
     wh: Warehouse, snap: Snapshot, source: dict[str, DataFrame], ctx: BatchContext, marks: Marks
 ) -> Snapshot:
+    """All eight dimensions."""
+
     def cur(table: str, only: str | None = None) -> DataFrame | None:
         return wh.read(table, snap, only) if snap.paths.get(table) else None
 
@@ -107,10 +129,6 @@ def load_dimensions(
         "dim_diagnosis": dims.dim_diagnosis(source["diagnoses"], cur("dim_diagnosis")),
         "dim_procedure": dims.dim_procedure(source["procedures"], cur("dim_procedure")),
     }
-    out = snap
-    for table, df in next_tables.items():
-        out = out.replaced(table, [wh.write(df, table, ctx.batch_id)])
-
     live, closed = "is_current=true", "is_current=false"
     patients = dims.dim_patient(
         source["patients"], ctx.as_of, marks.patients, cur("dim_patient", live), cur("dim_patient", closed)
@@ -124,9 +142,18 @@ def load_dimensions(
         cur("dim_provider", live),
         cur("dim_provider", closed),
     )
-    for table, step in (("dim_patient", patients), ("dim_provider", providers)):
-        out = out.replaced(table, _write_versions(wh, snap, table, step, ctx.batch_id))
-    return out
+    # The dimensions do not depend on each other, so their jobs share the executors.
+    written = at_once(
+        *[
+            lambda t=table, df=df: (t, [wh.write(df, t, ctx.batch_id)])
+            for table, df in next_tables.items()
+        ],
+        lambda: ("dim_patient", _write_versions(wh, snap, "dim_patient", patients, ctx.batch_id)),
+        lambda: ("dim_provider", _write_versions(wh, snap, "dim_provider", providers, ctx.batch_id)),
+    )
+    for table, paths in written:
+        snap = snap.replaced(table, paths)
+    return snap
 
 
 def _write_versions(wh: Warehouse, snap: Snapshot, table: str, step: Scd2Next, batch_id: int) -> list[str]:
@@ -269,9 +296,20 @@ def load_bridges(
     p = bridges.bridge_procedures(
         source["encounter_procedures"], fresh, wh.read("dim_procedure", snap), ctx.started_at
     )
-    return snap.extended(
-        "bridge_encounter_diagnoses", [wh.write(d, "bridge_encounter_diagnoses", ctx.batch_id)]
-    ).extended("bridge_encounter_procedures", [wh.write(p, "bridge_encounter_procedures", ctx.batch_id)])
+    diagnoses, procedures = at_once(
+        lambda: wh.write(d, "bridge_encounter_diagnoses", ctx.batch_id),
+        lambda: wh.write(p, "bridge_encounter_procedures", ctx.batch_id),
+    )
+    return snap.extended("bridge_encounter_diagnoses", [diagnoses]).extended(
+        "bridge_encounter_procedures", [procedures]
+    )
+
+
+def batch_part(snap: Snapshot, batch_id: int) -> Snapshot:
+    """The folders of the bridges that one batch wrote."""
+    names = ("bridge_encounter_diagnoses", "bridge_encounter_procedures")
+    mine = {t: tuple(p for p in snap.paths.get(t, ()) if f"batch={batch_id}" in p.split("/")) for t in names}
+    return Snapshot(batch_id, mine)
 
 
 def load_pair_summary(
@@ -304,18 +342,8 @@ def load_pair_summary(
     ):
         df = summary(snap)
     elif load.new_paths:
-        mine = f"batch={ctx.batch_id}"
-        batch_only = Snapshot(
-            snap.batch_id,
-            {
-                **snap.paths,
-                "fact_encounters": load.new_paths,
-                **{
-                    t: tuple(p for p in snap.paths[t] if mine in p.split("/"))
-                    for t in ("bridge_encounter_diagnoses", "bridge_encounter_procedures")
-                },
-            },
-        )
+        mine = batch_part(snap, ctx.batch_id)
+        batch_only = Snapshot(snap.batch_id, {**snap.paths, **mine.paths, "fact_encounters": load.new_paths})
         df = pairs.merge_summaries(wh.read("pair_summary", snap), summary(batch_only))
     else:
         return snap
@@ -339,7 +367,7 @@ def next_metadata(
         (i, table, start, "SUCCESS", counts[table], mark, start, start)
         for i, (table, mark) in enumerate(marks.items(), 1)
     ]
-    new = wh.spark.createDataFrame(rows, TARGET["etl_metadata"])
+    new = literal_rows(wh.spark, rows, TARGET["etl_metadata"])
     return upsert(wh.read("etl_metadata", snap), new, "table_name", keep=("metadata_id", "created_at"))
 
 
@@ -353,7 +381,8 @@ def run_batch(
     """Load one batch. Nothing becomes visible unless every check passed.
 
     reconcile=False when the source holds only new rows (a stream's micro-batch);
-    with_dimensions=False keeps the dimensions of the last batch.
+    with_dimensions=False keeps the dimensions of the last batch and only extends the
+    calendar.
     """
     before = wh.snapshot()
     if ctx.batch_id <= before.batch_id:
@@ -365,9 +394,10 @@ def run_batch(
     log.record(opened=[BATCH_STEP, DIM_STEP], message=message)
     try:
         quality.require(quality.source_checks(source))
-        snap = before
         if with_dimensions or not before.paths.get("dim_patient"):
             snap = load_dimensions(wh, before, source, ctx, marks)
+        else:
+            snap = load_calendar(wh, before, source, ctx)
         live = {t: wh.read(t, snap, "is_current=true").count() for t in ("dim_patient", "dim_provider")}
         log.record({DIM_STEP: live["dim_patient"]}, [FACT_STEP])
 
@@ -377,13 +407,7 @@ def run_batch(
 
         snap = load_bridges(wh, load.snapshot, source, ctx, load)
         snap = load_pair_summary(wh, before, snap, ctx, load)
-        bridged = Snapshot(0, {"b": ()})
-        mine = [
-            p for p in snap.paths.get("bridge_encounter_diagnoses", ()) if f"batch={ctx.batch_id}" in p.split("/")
-        ]
-        if mine:
-            bridged = Snapshot(0, {"bridge_encounter_diagnoses": tuple(mine)})
-        bridge_rows = wh.read("bridge_encounter_diagnoses", bridged).count()
+        bridge_rows = wh.read("bridge_encounter_diagnoses", batch_part(snap, ctx.batch_id)).count()
 
         if reconcile:
             quality.require_reconciled(
@@ -408,6 +432,3 @@ def star(wh: Warehouse, snap: Snapshot | None = None) -> dict[str, DataFrame]:
     """All tables of the published star schema."""
     snap = snap or wh.snapshot()
     return {table: wh.read(table, snap) for table in TARGET if table != "etl_log"} | {"etl_log": wh.log()}
-
-
-SOURCE_TABLES = tuple(SOURCE)

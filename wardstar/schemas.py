@@ -8,7 +8,9 @@ from __future__ import annotations
 
 import re
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql import types as T
 
 # Type names used below. StructType.fromDDL would need a running session at import.
@@ -97,9 +99,17 @@ SOURCE = {name: _struct(columns) for name, columns in _SOURCE_COLUMNS.items()}
 TARGET = {name: _struct(columns) for name, columns in _TARGET_COLUMNS.items()}
 
 
+def literal_rows(spark: SparkSession, rows: list[tuple], schema: T.StructType) -> DataFrame:
+    """A few literal rows; handed over as Arrow, so no Python worker starts for them."""
+    columns = list(zip(*rows)) if rows else [[] for _ in schema.names]
+    arrow = to_arrow_schema(schema)
+    arrays = [pa.array(list(c), type=f.type) for c, f in zip(columns, arrow)]
+    return spark.createDataFrame(pa.Table.from_arrays(arrays, schema=arrow), schema)
+
+
 def empty(spark: SparkSession, table: str) -> DataFrame:
     """A table of the star schema without rows, as creating it would leave it."""
-    return spark.createDataFrame([], TARGET[table])
+    return literal_rows(spark, [], TARGET[table])
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:

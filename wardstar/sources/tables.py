@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..schemas import SOURCE, conform
+from ..schemas import SOURCE, conform, literal_rows
 
 
 def read_source(spark: SparkSession, directory: str) -> dict[str, DataFrame]:
@@ -18,7 +18,7 @@ def read_source(spark: SparkSession, directory: str) -> dict[str, DataFrame]:
 
 def source_from_rows(spark: SparkSession, rows: dict[str, list[tuple]]) -> dict[str, DataFrame]:
     """Source tables from literal rows (fixtures); tables not given are empty."""
-    return {name: spark.createDataFrame(rows.get(name, []), schema) for name, schema in SOURCE.items()}
+    return {name: literal_rows(spark, rows.get(name, []), schema) for name, schema in SOURCE.items()}
 
 
 def checked(source: dict[str, DataFrame]) -> dict[str, DataFrame]:

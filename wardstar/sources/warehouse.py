@@ -12,10 +12,14 @@ from dataclasses import dataclass, field
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..schemas import TARGET, conform, empty
+from ..schemas import TARGET, conform, empty, literal_rows
 
 _LIST = "_published"
+_LIST_COLUMNS = T.StructType(
+    [T.StructField("table_name", T.StringType()), T.StructField("path", T.StringType())]
+)
 
 
 @dataclass(frozen=True)
@@ -104,7 +108,7 @@ class Warehouse:
         """Make a snapshot the live one; this single small write is the commit."""
         rows = [(t, p) for t, paths in snapshot.paths.items() for p in paths]
         (
-            self.spark.createDataFrame(rows, "table_name string, path string")
+            literal_rows(self.spark, rows, _LIST_COLUMNS)
             .coalesce(1)
             .write.mode("errorifexists")
             .parquet(f"{self.root}/{_LIST}/batch={batch_id}")
@@ -114,7 +118,7 @@ class Warehouse:
     def append_log(self, rows: list[tuple]) -> None:
         """Append step events; each is kept, the newest per step is its state."""
         (
-            self.spark.createDataFrame(rows, TARGET["etl_log"])
+            literal_rows(self.spark, rows, TARGET["etl_log"])
             .coalesce(1)
             .write.mode("append")
             .parquet(f"{self.root}/etl_log")
