@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from decimal import Decimal
 from functools import reduce
 
@@ -44,7 +45,7 @@ def duplicates(rows: DataFrame, key: Column) -> DataFrame:
     return per_key.agg(F.sum(F.col("n") - 1).alias("bad_rows"))
 
 
-def source_checks(source: dict[str, DataFrame]) -> DataFrame:
+def source_checks(source: Mapping[str, DataFrame]) -> DataFrame:
     """The four checks that stop a load: one row each."""
     encounters, billing = source["encounters"], source["billing"]
     checks = [
@@ -62,7 +63,7 @@ def source_checks(source: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, checks)
 
 
-def key_checks(source: dict[str, DataFrame]) -> DataFrame:
+def key_checks(source: Mapping[str, DataFrame]) -> DataFrame:
     """Uniqueness the loads rely on but parquet does not enforce."""
     checks = [
         _check("duplicate_mrn", duplicates(source["patients"], F.col("mrn"))),
@@ -124,7 +125,7 @@ def require_reconciled(row: DataFrame) -> None:
         raise QualityError(f"reconciliation failed: {result.asDict()}")
 
 
-def coverage(source: dict[str, DataFrame]) -> DataFrame:
+def coverage(source: Mapping[str, DataFrame]) -> DataFrame:
     """Per check: rows looked at, rows without a match, their share in percent.
 
     Covers billing, unknown codes behind every dimension lookup, and unknown births.

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime, timedelta
@@ -105,7 +105,7 @@ def at_once(*jobs: Callable[[], T]) -> list[T]:
 
 
 def load_calendar(
-    wh: Warehouse, snap: Snapshot, source: dict[str, DataFrame], ctx: BatchContext
+    wh: Warehouse, snap: Snapshot, source: Mapping[str, DataFrame], ctx: BatchContext
 ) -> Snapshot:
     """Only the calendar, extended to the years of the source's encounters."""
     cur = wh.read("dim_date", snap)
@@ -114,42 +114,41 @@ def load_calendar(
 
 
 def load_dimensions(
-    wh: Warehouse, snap: Snapshot, source: dict[str, DataFrame], ctx: BatchContext, marks: Marks
+    wh: Warehouse, snap: Snapshot, source: Mapping[str, DataFrame], ctx: BatchContext, marks: Marks
 ) -> Snapshot:
     """All eight dimensions."""
 
     def cur(table: str, only: str | None = None) -> DataFrame | None:
         return wh.read(table, snap, only) if snap.paths.get(table) else None
 
-    next_tables = {
-        "dim_date": dims.dim_date(dims.calendar_range(source["encounters"]), cur("dim_date")),
-        "dim_specialty": dims.dim_specialty(source["specialties"], cur("dim_specialty")),
-        "dim_department": dims.dim_department(source["departments"], cur("dim_department")),
-        "dim_encounter_type": dims.dim_encounter_type(wh.spark, cur("dim_encounter_type")),
-        "dim_diagnosis": dims.dim_diagnosis(source["diagnoses"], cur("dim_diagnosis")),
-        "dim_procedure": dims.dim_procedure(source["procedures"], cur("dim_procedure")),
-    }
     live, closed = "is_current=true", "is_current=false"
-    patients = dims.dim_patient(
-        source["patients"], ctx.as_of, marks.patients, cur("dim_patient", live), cur("dim_patient", closed)
-    )
-    providers = dims.dim_provider(
-        source["providers"],
-        source["specialties"],
-        source["departments"],
-        ctx.as_of,
-        marks.providers,
-        cur("dim_provider", live),
-        cur("dim_provider", closed),
-    )
+
+    def plain(table: str, build: Callable[[DataFrame | None], DataFrame]):
+        return lambda: (table, [wh.write(build(cur(table)), table, ctx.batch_id)])
+
+    def patients():
+        old = cur("dim_patient", live), cur("dim_patient", closed)
+        step = dims.dim_patient(source["patients"], ctx.as_of, marks.patients, *old)
+        return "dim_patient", _write_versions(wh, snap, "dim_patient", step, ctx.batch_id)
+
+    def providers():
+        old = cur("dim_provider", live), cur("dim_provider", closed)
+        step = dims.dim_provider(
+            source["providers"], source["specialties"], source["departments"], ctx.as_of, marks.providers, *old
+        )
+        return "dim_provider", _write_versions(wh, snap, "dim_provider", step, ctx.batch_id)
+
+    bounds = dims.calendar_range(source["encounters"])
     # The dimensions do not depend on each other, so their jobs share the executors.
     written = at_once(
-        *[
-            lambda t=table, df=df: (t, [wh.write(df, t, ctx.batch_id)])
-            for table, df in next_tables.items()
-        ],
-        lambda: ("dim_patient", _write_versions(wh, snap, "dim_patient", patients, ctx.batch_id)),
-        lambda: ("dim_provider", _write_versions(wh, snap, "dim_provider", providers, ctx.batch_id)),
+        patients,
+        providers,
+        plain("dim_date", lambda old: dims.dim_date(bounds, old)),
+        plain("dim_specialty", lambda old: dims.dim_specialty(source["specialties"], old)),
+        plain("dim_department", lambda old: dims.dim_department(source["departments"], old)),
+        plain("dim_encounter_type", lambda old: dims.dim_encounter_type(wh.spark, old)),
+        plain("dim_diagnosis", lambda old: dims.dim_diagnosis(source["diagnoses"], old)),
+        plain("dim_procedure", lambda old: dims.dim_procedure(source["procedures"], old)),
     )
     for table, paths in written:
         snap = snap.replaced(table, paths)
@@ -179,7 +178,7 @@ class FactLoad:
 
 
 def stage_facts(
-    wh: Warehouse, snap: Snapshot, source: dict[str, DataFrame], ctx: BatchContext, watermark: datetime
+    wh: Warehouse, snap: Snapshot, source: Mapping[str, DataFrame], ctx: BatchContext, watermark: datetime
 ) -> DataFrame:
     """The batch's encounters with keys, measures and reject reason, written once."""
     loaded = wh.read("fact_encounters", snap) if snap.paths.get("fact_encounters") else None
@@ -199,7 +198,7 @@ def stage_facts(
 
 
 def load_facts(
-    wh: Warehouse, snap: Snapshot, source: dict[str, DataFrame], ctx: BatchContext, watermark: datetime
+    wh: Warehouse, snap: Snapshot, source: Mapping[str, DataFrame], ctx: BatchContext, watermark: datetime
 ) -> FactLoad:
     old_paths = snap.paths.get("fact_encounters", ())
     old = wh.read("fact_encounters", snap) if old_paths else None
@@ -232,7 +231,7 @@ def load_facts(
         discharges = discharges.unionByName(earlier)
 
     keyed = facts.key_facts(ok, max_key(old, "encounter_key"), ctx.started_at)
-    new_paths = wh.write_fact(readmission.flag(keyed, discharges), ctx.batch_id)
+    new_paths = [wh.write_fact(readmission.flag(keyed, discharges), ctx.batch_id)]
     repaired = 0
     kept = list(old_paths)
     if old is not None and not ctx.strict and span.last_out is not None:
@@ -268,9 +267,9 @@ def _repair_flags(
         ctx.batch_id,
     )
     per_month = {r.year_month: r["count"] for r in changed.groupBy("year_month").count().collect()}
-    touched = [p for p in old_paths if p.rsplit("year_month=", 1)[-1] in per_month]
-    if not touched:
+    if not per_month:
         return list(old_paths), 0
+    kept, touched = wh.without_months(old_paths, set(per_month))
     rows = wh.read("fact_encounters", Snapshot(0, {"fact_encounters": tuple(touched)}))
     updated = (
         rows.join(changed.select("encounter_id", "_now"), "encounter_id", "left")
@@ -278,14 +277,14 @@ def _repair_flags(
         .withColumn("is_readmission", F.coalesce("_now", "is_readmission"))
     )
     rewritten = wh.write_fact(updated, ctx.batch_id, label="repair")
-    return [p for p in old_paths if p not in set(touched)] + rewritten, sum(per_month.values())
+    return [*kept, rewritten], sum(per_month.values())
 
 
 # -- bridges and pair summary -------------------------------------------------------
 
 
 def load_bridges(
-    wh: Warehouse, snap: Snapshot, source: dict[str, DataFrame], ctx: BatchContext, load: FactLoad
+    wh: Warehouse, snap: Snapshot, source: Mapping[str, DataFrame], ctx: BatchContext, load: FactLoad
 ) -> Snapshot:
     if not load.new_paths:
         return snap
@@ -373,7 +372,7 @@ def next_metadata(
 
 def run_batch(
     wh: Warehouse,
-    source: dict[str, DataFrame],
+    source: Mapping[str, DataFrame],
     ctx: BatchContext,
     reconcile: bool = True,
     with_dimensions: bool = True,
@@ -428,7 +427,23 @@ def run_batch(
     )
 
 
-def star(wh: Warehouse, snap: Snapshot | None = None) -> dict[str, DataFrame]:
-    """All tables of the published star schema."""
-    snap = snap or wh.snapshot()
-    return {table: wh.read(table, snap) for table in TARGET if table != "etl_log"} | {"etl_log": wh.log()}
+class Star(Mapping):
+    """The published star schema by table name; a table is opened when first asked for."""
+
+    def __init__(self, wh: Warehouse, snap: Snapshot | None = None):
+        self.wh, self.snap = wh, snap or wh.snapshot()
+        self._open: dict[str, DataFrame] = {}
+
+    def __getitem__(self, table: str) -> DataFrame:
+        if table not in self._open:
+            if table not in TARGET:
+                raise KeyError(table)
+            log = table == "etl_log"
+            self._open[table] = self.wh.log() if log else self.wh.read(table, self.snap)
+        return self._open[table]
+
+    def __iter__(self):
+        return iter(TARGET)
+
+    def __len__(self) -> int:
+        return len(TARGET)

@@ -8,6 +8,8 @@ form credits the index discharge's specialty and counts patients and paid bills.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,7 +20,7 @@ from ..operators import pairs
 from ..operators.facts import INPATIENT
 from ..operators.readmission import readmissions_by_index_specialty
 
-Tables = dict[str, DataFrame]
+Tables = Mapping[str, DataFrame]
 MONEY = "decimal(38,2)"
 MANY_DIAGNOSES = 3  # Fixed value: diagnoses from which a case counts as complex.
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from .batch import BatchResult
 
 
-def batch_summary(spark: SparkSession, star: dict[str, DataFrame], result: BatchResult) -> DataFrame:
+def batch_summary(spark: SparkSession, star: Mapping[str, DataFrame], result: BatchResult) -> DataFrame:
     """One row about a finished batch and the state it left; one scalar per subquery."""
     return spark.sql(
         """
@@ -61,7 +62,7 @@ def log_view(log: DataFrame) -> DataFrame:
     ).orderBy(F.desc("start_time"), F.desc("log_id"))
 
 
-def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
+def table_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Labelled row counts, one row per table."""
     counts = [
         df.agg(F.count("*").alias("row_count")).select(F.lit(name).alias("table_name"), "row_count")

@@ -7,6 +7,7 @@ so that logs and metadata are repeatable.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Mapping
 from dataclasses import dataclass
 from datetime import date, datetime
 
@@ -20,7 +21,7 @@ from ..session import shared_dir, tune
 from ..sources import order_view as ov
 from ..sources.warehouse import Warehouse
 from ..streaming.ingest import load_available
-from .batch import BatchResult, run_batch, star
+from .batch import BatchResult, Star, run_batch
 
 FIRST_START = datetime(2002, 1, 1, 2)
 SECOND_START = datetime(2002, 2, 1, 2)
@@ -32,8 +33,8 @@ class Loaded:
     results: tuple[BatchResult, ...]
 
     @property
-    def star(self) -> dict[str, DataFrame]:
-        return star(self.warehouse, self.results[-1].snapshot if self.results else None)
+    def star(self) -> Star:
+        return Star(self.warehouse, self.results[-1].snapshot if self.results else None)
 
 
 _made: dict[tuple[str, str, str], Loaded] = {}
@@ -89,8 +90,7 @@ def streamed(spark: SparkSession, sf_dir: str, order: tuple[int, int]) -> Loaded
     name = f"stream-{order[0]}{order[1]}"
 
     def make(wh: Warehouse) -> Loaded:
-        tables = ov.clinical_views(spark, sf_dir)
-        tables.pop("encounters")
+        tables = {k: v for k, v in ov.clinical_views(spark, sf_dir).items() if k != "encounters"}
         landing = f"{wh.root}/_landing"
         for part in order:
             arriving = ov.clinical_views(spark, sf_dir, load=part)["encounters"]
@@ -205,7 +205,7 @@ def rejects_outside_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def provider_first(views: dict[str, DataFrame]) -> DataFrame:
+def provider_first(views: Mapping[str, DataFrame]) -> DataFrame:
     return dims.dim_provider(
         views["providers"], views["specialties"], views["departments"], ov.FIRST_AS_OF, FIRST_WATERMARK
     ).current

@@ -7,6 +7,7 @@ fixed expression, so nothing here shuffles and filters reach the parquet scan.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
 from datetime import date, datetime
 from decimal import Decimal
 
@@ -205,34 +206,55 @@ def billing(orders: DataFrame, load: int | None = None) -> DataFrame:
     )
 
 
-def clinical_views(
-    spark: SparkSession,
-    sf_dir: str,
-    load: int | None = None,
-    people_at: int | None = None,
-    held_back: bool = False,
-) -> dict[str, DataFrame]:
-    """All ten tables; load picks the encounters of one load, None takes all of them.
+class ClinicalViews(Mapping):
+    """The ten tables by name; a table's files are opened when it is first asked for.
 
-    people_at is the load whose patients and providers are seen (by default the same,
-    or the first when all encounters are taken).
+    load picks the encounters of one load, None takes all of them. people_at is the load
+    whose patients and providers are seen (by default the same, or the first when all
+    encounters are taken).
     """
-    people = people_at or load or 1
-    t = {
-        name: _table(spark, sf_dir, name)
-        for name in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
-    }
-    provider_count = t["supplier"].count()  # answered from parquet footers
-    views = {
-        "patients": patients(t["customer"], people, held_back),
-        "specialties": specialties(t["nation"]),
-        "departments": departments(t["region"]),
-        "providers": providers(t["supplier"], people, held_back),
-        "encounters": encounters(t["orders"], provider_count, load),
-        "diagnoses": diagnoses(t["part"]),
-        "procedures": procedures(t["part"]),
-        "encounter_diagnoses": encounter_diagnoses(t["lineitem"]),
-        "encounter_procedures": encounter_procedures(t["lineitem"]),
-        "billing": billing(t["orders"], load),
-    }
-    return {name: conform(df, SOURCE[name]) for name, df in views.items()}
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        sf_dir: str,
+        load: int | None = None,
+        people_at: int | None = None,
+        held_back: bool = False,
+    ):
+        people = people_at or load or 1
+
+        def table(name: str) -> DataFrame:
+            return _table(spark, sf_dir, name)
+
+        def provider_count() -> int:
+            return table("supplier").count()  # answered from parquet footers
+
+        self._made: dict[str, DataFrame] = {}
+        self._makers: dict[str, Callable[[], DataFrame]] = {
+            "patients": lambda: patients(table("customer"), people, held_back),
+            "specialties": lambda: specialties(table("nation")),
+            "departments": lambda: departments(table("region")),
+            "providers": lambda: providers(table("supplier"), people, held_back),
+            "encounters": lambda: encounters(table("orders"), provider_count(), load),
+            "diagnoses": lambda: diagnoses(table("part")),
+            "procedures": lambda: procedures(table("part")),
+            "encounter_diagnoses": lambda: encounter_diagnoses(table("lineitem")),
+            "encounter_procedures": lambda: encounter_procedures(table("lineitem")),
+            "billing": lambda: billing(table("orders"), load),
+        }
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._made:
+            self._made[name] = conform(self._makers[name](), SOURCE[name])
+        return self._made[name]
+
+    def __iter__(self):
+        return iter(self._makers)
+
+    def __len__(self) -> int:
+        return len(self._makers)
+
+
+def clinical_views(spark: SparkSession, sf_dir: str, **choice) -> ClinicalViews:
+    return ClinicalViews(spark, sf_dir, **choice)

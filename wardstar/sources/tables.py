@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 
 from ..schemas import SOURCE, conform, literal_rows
@@ -21,6 +23,6 @@ def source_from_rows(spark: SparkSession, rows: dict[str, list[tuple]]) -> dict[
     return {name: literal_rows(spark, rows.get(name, []), schema) for name, schema in SOURCE.items()}
 
 
-def checked(source: dict[str, DataFrame]) -> dict[str, DataFrame]:
+def checked(source: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     """The same tables with exactly the declared columns."""
     return {name: conform(source[name], schema) for name, schema in SOURCE.items()}

@@ -79,24 +79,44 @@ class Warehouse:
         conform(df, TARGET[table]).select(names).write.mode("overwrite").parquet(f"{self.root}/{path}")
         return path
 
-    def write_fact(self, df: DataFrame, batch_id: int, label: str = "new") -> list[str]:
-        """Write fact rows by month and return the month folders written.
+    def write_fact(self, df: DataFrame, batch_id: int, label: str = "new") -> str:
+        """Write fact rows by month into one folder and return its path.
 
         REBALANCE merges small months and splits a hot one, so no task writes a whole
         month alone; rows are sorted by specialty so that row-group statistics prune.
         """
-        base = f"fact_encounters/batch={batch_id}/part={label}"
+        path = f"fact_encounters/batch={batch_id}/part={label}"
         (
             conform(df, TARGET["fact_encounters"])
             .hint("rebalance", "year_month")
             .sortWithinPartitions("year_month", "specialty_key", "encounter_id")
             .write.mode("overwrite")
             .partitionBy("year_month")
-            .parquet(f"{self.root}/{base}")
+            .parquet(f"{self.root}/{path}")
         )
-        written = self.spark.read.schema(TARGET["fact_encounters"]).parquet(f"{self.root}/{base}")
-        months = [r[0] for r in written.select("year_month").distinct().collect()]  # bounded by the calendar
-        return [f"{base}/year_month={m}" for m in sorted(months)]
+        return path
+
+    def without_months(self, paths, months: set[str]) -> tuple[list[str], list[str]]:
+        """Split live fact folders into those to keep and those of the given months.
+
+        A folder that holds some of the months is replaced by its month folders.
+        """
+        kept, dropped = [], []
+        for path in paths:
+            if "year_month=" in path:
+                inside = [path.rsplit("year_month=", 1)[1]]
+                folder = path.rsplit("/", 1)[0]
+            else:
+                rows = self.read("fact_encounters", Snapshot(0, {"fact_encounters": (path,)}))
+                # Partition values only, bounded by the calendar.
+                inside = sorted(r[0] for r in rows.select("year_month").distinct().collect())
+                folder = path
+            if not months.intersection(inside):
+                kept.append(path)
+                continue
+            for month in inside:
+                (dropped if month in months else kept).append(f"{folder}/year_month={month}")
+        return kept, dropped
 
     def scratch(self, df: DataFrame, name: str, batch_id: int) -> DataFrame:
         """Write an intermediate result and read it back: lineage ends here."""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame
@@ -16,7 +16,7 @@ from ..sources.warehouse import Warehouse
 
 def start_load(
     wh: Warehouse,
-    tables: dict[str, DataFrame],
+    tables: Mapping[str, DataFrame],
     landing: str,
     checkpoint: str,
     as_of: date | None = None,
