@@ -38,8 +38,8 @@ def bridge_diagnoses(
 def number_procedures(cells: DataFrame) -> DataFrame:
     """Position of the first row of each (encounter, date, procedure) in its encounter.
 
-    cells has n rows per (encounter_id, procedure_date, procedure_id). Order is by date
-    and, where the dates tie, by procedure.
+    cells stands for n rows per (encounter_id, procedure_date, procedure_id). Order is by
+    date and, where the dates tie, by procedure.
     """
     before = (
         Window.partitionBy("encounter_id")
@@ -69,42 +69,34 @@ def number_hot_procedures(cells: DataFrame, block: int = BLOCK) -> DataFrame:
         cut.groupBy(*where)
         .agg(F.sum("n").alias("_total"))
         .select(*where, F.coalesce(F.sum("_total").over(across), F.lit(0)).alias("_before"))
+        .toDF("_e", "_d", "_b", "_before")
     )
-    # A missing procedure date is a value of its own, so the join is null-safe.
-    o = offsets.toDF("_e", "_d", "_b", "_before")
     numbered = cut.withColumn("_inside", F.coalesce(F.sum("n").over(inside), F.lit(0)))
+    # A missing procedure date is a value of its own, so the join is null-safe.
     same = (
-        (numbered["encounter_id"] == o["_e"])
-        & numbered["procedure_date"].eqNullSafe(o["_d"])
-        & numbered["_block"].eqNullSafe(o["_b"])
+        (numbered["encounter_id"] == offsets["_e"])
+        & numbered["procedure_date"].eqNullSafe(offsets["_d"])
+        & numbered["_block"].eqNullSafe(offsets["_b"])
     )
     return (
-        numbered.join(o, same)
+        numbered.join(offsets, same)
         .withColumn("procedure_sequence", F.col("_before") + F.col("_inside") + 1)
         .select(*cells.columns, "procedure_sequence")
     )
 
 
-def procedure_positions(
-    encounter_procedures: DataFrame, counts: DataFrame, hot_rows: int = HOT_ROWS, block: int = BLOCK
-) -> DataFrame:
-    """First date and position per (encounter, procedure).
+def first_positions(numbered: DataFrame) -> DataFrame:
+    """Of a procedure's copies in an encounter, the first position and its date.
 
-    counts has encounter_id and procedure_count of the encounters to number. Positions
-    count every row, copies included; a copied procedure keeps its first position.
+    Positions follow the dates, missing dates first, so both minima are of one row. They
+    are plain numbers, which keeps the aggregate hash-based.
     """
-    cells = encounter_procedures.groupBy("encounter_id", "procedure_date", "procedure_id").agg(
-        F.count("*").alias("n")
-    )
-    hot = counts.filter(F.col("procedure_count") > hot_rows).select("encounter_id")
-    usual = counts.filter(F.col("procedure_count") <= hot_rows).select("encounter_id")
-    numbered = number_procedures(cells.join(usual, "encounter_id", "left_semi")).unionByName(
-        number_hot_procedures(cells.join(hot, "encounter_id", "left_semi"), block)
-    )
+    no_date = F.lit(-(1 << 31))
+    day = F.coalesce(F.unix_date("procedure_date"), no_date)
     return (
-        numbered.groupBy("encounter_id", "procedure_id")
-        .agg(F.min(F.struct("procedure_sequence", "procedure_date")).alias("_first"))
-        .select("encounter_id", "procedure_id", "_first.*")
+        numbered.groupBy("encounter_id", "encounter_key", "procedure_id", "procedure_key")
+        .agg(F.min("procedure_sequence").alias("procedure_sequence"), F.min(day).alias("_day"))
+        .withColumn("procedure_date", F.when(F.col("_day") != no_date, F.date_from_unix_date("_day")))
     )
 
 
@@ -118,20 +110,23 @@ def bridge_procedures(
 ) -> DataFrame:
     """One row per (encounter, procedure) of the new facts with its position in time.
 
-    The position is taken over all rows whose procedure is known, before copies go.
+    Positions count every row whose procedure is known, copies included; a copied
+    procedure keeps its first position. Rows are counted per date and procedure before
+    the shuffle by encounter, and the numbering and de-duplication reuse that shuffle.
     """
-    keys = dim_procedure.select("procedure_id", "procedure_key")
-    known = encounter_procedures.join(keys, "procedure_id")
-    facts = new_facts.select("encounter_id", "encounter_key", "procedure_count")
-    firsts = procedure_positions(known, facts, hot_rows, block)
-    return (
-        firsts.join(facts, "encounter_id")
-        .join(keys, "procedure_id")
-        .select(
-            "encounter_key",
-            "procedure_key",
-            "procedure_sequence",
-            "procedure_date",
-            F.lit(loaded_at).alias("created_date"),
-        )
+    cells = (
+        encounter_procedures.groupBy("encounter_id", "procedure_date", "procedure_id")
+        .agg(F.count("*").alias("n"))
+        .join(dim_procedure.select("procedure_id", "procedure_key"), "procedure_id")
+        .join(new_facts.select("encounter_id", "encounter_key", "procedure_count"), "encounter_id")
+    )
+    hot = F.col("procedure_count") > hot_rows
+    usual = first_positions(number_procedures(cells.filter(~hot)))
+    large = first_positions(number_hot_procedures(cells.filter(hot), block))
+    return usual.unionByName(large).select(
+        "encounter_key",
+        "procedure_key",
+        "procedure_sequence",
+        "procedure_date",
+        F.lit(loaded_at).alias("created_date"),
     )

@@ -16,16 +16,25 @@ from pyspark.sql import functions as F
 WINDOW_DAYS = 30  # Fixed value: longest gap that still counts as a readmission.
 
 
-def patient_days(admissions: DataFrame, discharges: DataFrame, owner: list[str]) -> DataFrame:
+def discharge_days(discharges: DataFrame, owner: list[str]) -> DataFrame:
+    """One row per owner and day with discharges: the first of the day and how many."""
+    return (
+        discharges.filter(F.col("discharged").isNotNull())
+        .groupBy(*owner, F.to_date("discharged").alias("day"))
+        .agg(F.min("discharged").alias("first_discharge"), F.count("*").alias("discharges"))
+    )
+
+
+def patient_days(admission_days: DataFrame, discharged: DataFrame, owner: list[str]) -> DataFrame:
     """One row per owner and day: first discharge of the day, last earlier discharge day.
 
-    admissions has owner + day, discharges has owner + discharged. One aggregate over
-    the union collapses both before the shuffle.
+    admission_days has owner + day; discharged comes from discharge_days. One aggregate
+    over the union collapses both before the shuffle.
     """
-    days = admissions.select(
-        *owner, "day", F.lit(None).cast("timestamp_ntz").alias("discharged")
-    ).unionByName(discharges.select(*owner, F.to_date("discharged").alias("day"), "discharged"))
-    per_day = days.groupBy(*owner, "day").agg(F.min("discharged").alias("first_discharge"))
+    days = admission_days.select(
+        *owner, "day", F.lit(None).cast("timestamp_ntz").alias("first_discharge")
+    ).unionByName(discharged.select(*owner, "day", "first_discharge"))
+    per_day = days.groupBy(*owner, "day").agg(F.min("first_discharge").alias("first_discharge"))
     earlier = (
         Window.partitionBy(*owner).orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
     )
@@ -44,51 +53,57 @@ def qualifying_days(days: DataFrame) -> DataFrame:
 def readmitted(admissions: DataFrame, discharges: DataFrame) -> DataFrame:
     """Ids of the admissions that are readmissions.
 
-    admissions: encounter_id, patient_id, admitted; discharges: patient_id, discharged
-    (null discharges must be left out by the caller). Both hold inpatients only.
+    admissions: encounter_id, patient_id, admitted; discharges: patient_id, discharged.
+    Both hold inpatients only; stays without a discharge cannot lead to a readmission.
     """
     rows = admissions.withColumn("day", F.to_date("admitted"))
-    known = discharges.filter(F.col("discharged").isNotNull())
+    # The discharges are not reduced here first: the union below does it in one aggregate.
+    known = discharges.filter(F.col("discharged").isNotNull()).select(
+        "patient_id", F.to_date("discharged").alias("day"), F.col("discharged").alias("first_discharge")
+    )
     days = qualifying_days(patient_days(rows, known, ["patient_id"]))
     hit = F.col("any_time") | (F.col("first_discharge") < F.col("admitted"))
     return rows.join(days, ["patient_id", "day"]).filter(hit).select("encounter_id")
 
 
-def flag(facts: DataFrame, discharges: DataFrame) -> DataFrame:
-    """Set is_readmission on facts (which carry is_inpatient) in one pass.
-
-    Rows that are not inpatient never match and are not shuffled to a patient's day.
-    """
-    stays = facts.filter("is_inpatient").select(
+def stays_of(facts: DataFrame) -> DataFrame:
+    """Inpatient admissions of facts that carry is_inpatient."""
+    return facts.filter("is_inpatient").select(
         "encounter_id", "patient_id", F.col("encounter_datetime").alias("admitted")
     )
+
+
+def flag(facts: DataFrame, stays: DataFrame, discharges: DataFrame) -> DataFrame:
+    """Facts with is_readmission; only the inpatient stays are shuffled by patient."""
     hits = readmitted(stays, discharges).withColumn("is_readmission", F.lit(True))
-    return facts.drop("is_readmission").join(hits, "encounter_id", "left").withColumn(
+    return facts.join(hits, "encounter_id", "left").withColumn(
         "is_readmission", F.coalesce("is_readmission", F.lit(False))
     )
 
 
-def readmissions_by_index_specialty(
-    discharges: DataFrame, admissions: DataFrame, by: str
-) -> DataFrame:
-    """Distinct readmissions credited to each value of `by` of the index discharge.
+def readmissions_by_index(discharges: DataFrame, admissions: DataFrame, by: str) -> DataFrame:
+    """Per value of `by` of the index discharge: discharges and distinct readmissions.
 
-    One readmission may follow discharges of several specialties and counts once for
-    each. No pair of encounters is formed: a patient's admission days are looked up
-    against that patient's discharge days per specialty, and an admission meets at most
-    one row per specialty.
+    One readmission may follow discharges of several values and counts once for each. No
+    pair of encounters is formed: a patient's admission days are looked up against that
+    patient's discharge days per value, and an admission meets at most one row per value.
     """
     owner = ["patient_id", by]
-    known = discharges.filter(F.col("discharged").isNotNull())
+    # Every use below starts from this one exchange.
+    per_day = discharge_days(discharges, owner)
     rows = admissions.withColumn("day", F.to_date("admitted"))
-    # Admission days of a patient, once for each specialty the patient was discharged from.
+    # Admission days of a patient, once for each value the patient was discharged from.
     days_in = rows.select("patient_id", "day").distinct()
-    seen = known.select(*owner).distinct()
-    days = patient_days(days_in.join(seen, "patient_id"), known, owner)
+    seen = per_day.select(*owner).distinct()
+    days = patient_days(days_in.join(seen, "patient_id"), per_day, owner)
     hit = F.col("any_time") | (F.col("first_discharge") < F.col("admitted"))
-    return (
+    counted = (
         rows.join(qualifying_days(days), ["patient_id", "day"])
         .filter(hit)
         .groupBy(by)
         .agg(F.count("*").alias("readmissions"))
     )
+    totals = per_day.groupBy(by).agg(F.sum("discharges").alias("discharges"))
+    return totals.join(counted, by, "left").select(
+        by, "discharges", F.coalesce("readmissions", F.lit(0)).alias("readmissions")
+    )

@@ -231,7 +231,7 @@ def load_facts(
         discharges = discharges.unionByName(earlier)
 
     keyed = facts.key_facts(ok, max_key(old, "encounter_key"), ctx.started_at)
-    new_paths = [wh.write_fact(readmission.flag(keyed, discharges), ctx.batch_id)]
+    new_paths = [wh.write_fact(readmission.flag(keyed, readmission.stays_of(ok), discharges), ctx.batch_id)]
     repaired = 0
     kept = list(old_paths)
     if old is not None and not ctx.strict and span.last_out is not None:

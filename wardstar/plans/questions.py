@@ -18,7 +18,7 @@ from ..functions.clinical import text_key
 from ..functions.money import mean, percent
 from ..operators import pairs
 from ..operators.facts import INPATIENT
-from ..operators.readmission import readmissions_by_index_specialty
+from ..operators.readmission import readmissions_by_index
 
 Tables = Mapping[str, DataFrame]
 MONEY = "decimal(38,2)"
@@ -179,12 +179,12 @@ def readmission_rate_source(source: Tables) -> DataFrame:
         .join(provider_specialty(source), "provider_id")
         .select("patient_id", "specialty_name", F.col("discharge_date").alias("discharged"))
     )
-    totals = index.groupBy("specialty_name").agg(F.count("*").alias("total_discharges"))
     admissions = inpatients.select("patient_id", F.col("encounter_date").alias("admitted"))
-    hits = readmissions_by_index_specialty(index, admissions, "specialty_name")
     return _rate(
-        totals.join(hits, "specialty_name", "left").withColumn(
-            "readmissions_within_30days", F.coalesce("readmissions", F.lit(0))
+        readmissions_by_index(index, admissions, "specialty_name").select(
+            "specialty_name",
+            F.col("discharges").alias("total_discharges"),
+            F.col("readmissions").alias("readmissions_within_30days"),
         )
     )
 
