@@ -12,7 +12,7 @@ from ..functions import calendar as cal
 from ..functions import clinical as rules
 from ..schemas import TARGET, literal_rows
 from .keys import assign_keys, max_key
-from .scd import Scd2Next, scd2_next, upsert_scd1
+from .scd import Scd2Next, Stage, scd2_next, upsert_scd1
 
 
 # -- calendar -----------------------------------------------------------------------
@@ -51,13 +51,17 @@ def date_attrs(days: DataFrame) -> DataFrame:
     )
 
 
-def dim_date(bounds: DataFrame, cur: DataFrame | None = None) -> DataFrame:
+def dim_date(bounds: DataFrame, cur: DataFrame | None = None, stage: Stage | None = None) -> DataFrame:
     """Calendar over the bounds; days already present keep their row and key."""
     days = date_attrs(calendar_days(bounds))
     order = cal.epoch_day(F.col("calendar_date"))
     if cur is None:
         return assign_keys(days, "date_key", order).select("date_key", *days.columns)
     fresh = days.join(cur.select("calendar_date"), "calendar_date", "left_anti")
+    if stage is not None:
+        fresh = stage(fresh)
+        if fresh.isEmpty():
+            return cur
     keyed = assign_keys(fresh, "date_key", order, max_key(cur, "date_key"))
     return cur.unionByName(keyed.select(cur.columns))
 
@@ -79,8 +83,8 @@ def specialty_attrs(src: DataFrame) -> DataFrame:
     )
 
 
-def dim_specialty(src: DataFrame, cur: DataFrame | None = None) -> DataFrame:
-    return upsert_scd1(cur, specialty_attrs(src), "specialty_id", "specialty_key")
+def dim_specialty(src: DataFrame, cur: DataFrame | None = None, stage: Stage | None = None) -> DataFrame:
+    return upsert_scd1(cur, specialty_attrs(src), "specialty_id", "specialty_key", stage=stage)
 
 
 def department_attrs(src: DataFrame) -> DataFrame:
@@ -93,18 +97,20 @@ def department_attrs(src: DataFrame) -> DataFrame:
     )
 
 
-def dim_department(src: DataFrame, cur: DataFrame | None = None) -> DataFrame:
-    return upsert_scd1(cur, department_attrs(src), "department_id", "department_key")
+def dim_department(src: DataFrame, cur: DataFrame | None = None, stage: Stage | None = None) -> DataFrame:
+    return upsert_scd1(cur, department_attrs(src), "department_id", "department_key", stage=stage)
 
 
-def dim_encounter_type(spark: SparkSession, cur: DataFrame | None = None) -> DataFrame:
+def dim_encounter_type(
+    spark: SparkSession, cur: DataFrame | None = None, stage: Stage | None = None
+) -> DataFrame:
     """The three fixed types; keys follow the order in which they are listed."""
     schema = T.StructType(TARGET["dim_encounter_type"].fields[1:])
     attrs = literal_rows(spark, list(rules.ENCOUNTER_TYPES), schema)
     position = F.when(F.lit(False), 0)
     for i, values in enumerate(rules.ENCOUNTER_TYPES):
         position = position.when(F.col("encounter_type") == values[0], i)
-    return upsert_scd1(cur, attrs, "encounter_type", "encounter_type_key", position)
+    return upsert_scd1(cur, attrs, "encounter_type", "encounter_type_key", position, stage)
 
 
 def diagnosis_attrs(src: DataFrame) -> DataFrame:
@@ -116,8 +122,8 @@ def diagnosis_attrs(src: DataFrame) -> DataFrame:
     )
 
 
-def dim_diagnosis(src: DataFrame, cur: DataFrame | None = None) -> DataFrame:
-    return upsert_scd1(cur, diagnosis_attrs(src), "diagnosis_id", "diagnosis_key")
+def dim_diagnosis(src: DataFrame, cur: DataFrame | None = None, stage: Stage | None = None) -> DataFrame:
+    return upsert_scd1(cur, diagnosis_attrs(src), "diagnosis_id", "diagnosis_key", stage=stage)
 
 
 def procedure_attrs(src: DataFrame) -> DataFrame:
@@ -129,8 +135,8 @@ def procedure_attrs(src: DataFrame) -> DataFrame:
     )
 
 
-def dim_procedure(src: DataFrame, cur: DataFrame | None = None) -> DataFrame:
-    return upsert_scd1(cur, procedure_attrs(src), "procedure_id", "procedure_key")
+def dim_procedure(src: DataFrame, cur: DataFrame | None = None, stage: Stage | None = None) -> DataFrame:
+    return upsert_scd1(cur, procedure_attrs(src), "procedure_id", "procedure_key", stage=stage)
 
 
 # -- with history -------------------------------------------------------------------
@@ -158,9 +164,10 @@ def dim_patient(
     since: datetime,
     current: DataFrame | None = None,
     history: DataFrame | None = None,
+    stage: Stage | None = None,
 ) -> Scd2Next:
     attrs = patient_attrs(src, as_of)
-    return scd2_next(current, history, attrs, src, "patient_id", "patient_key", as_of, since)
+    return scd2_next(current, history, attrs, src, "patient_id", "patient_key", as_of, since, stage)
 
 
 def provider_attrs(src: DataFrame, specialties: DataFrame, departments: DataFrame) -> DataFrame:
@@ -197,7 +204,8 @@ def dim_provider(
     since: datetime,
     current: DataFrame | None = None,
     history: DataFrame | None = None,
+    stage: Stage | None = None,
 ) -> Scd2Next:
     attrs = provider_attrs(src, specialties, departments)
-    return scd2_next(current, history, attrs, src, "provider_id", "provider_key", as_of, since)
+    return scd2_next(current, history, attrs, src, "provider_id", "provider_key", as_of, since, stage)
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import date, datetime
 
@@ -12,6 +13,8 @@ from .keys import assign_keys, max_key
 
 OPEN_END = date(9999, 12, 31)  # Fixed value: expiration of a current version.
 
+Stage = Callable[[DataFrame], DataFrame]
+
 
 def first_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """One row per key, the least by order then by the other columns.
@@ -50,20 +53,54 @@ def upsert(target: DataFrame, new: DataFrame, key: str, keep: tuple[str, ...] =
     return joined.select(columns)
 
 
+def scd1_changes(dim: DataFrame, src: DataFrame, natural: str, key: str) -> DataFrame:
+    """Source rows that are new or differ from the dimension; known ones with their key."""
+    old = dim.select(
+        F.col(natural).alias("_natural"), key, *[F.col(c).alias(f"_{c}") for c in src.columns if c != natural]
+    )
+    joined = src.join(old, src[natural] == old["_natural"], "left")
+    same = F.col(key).isNotNull()
+    for c in src.columns:
+        if c != natural:
+            same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    return joined.filter(~same).select(key, *src.columns)
+
+
+def scd1_apply(dim: DataFrame, changes: DataFrame, natural: str, key: str, order: Column) -> DataFrame:
+    """Next snapshot: untouched rows, changed rows under their key, new rows after them.
+
+    The untouched rows meet only the change set, which is broadcast while it is small,
+    so the large side is rewritten without a shuffle.
+    """
+    new = changes.filter(F.col(key).isNull()).drop(key)
+    keyed = assign_keys(new, key, order, max_key(dim, key)).select(dim.columns)
+    untouched = dim.join(changes.select(natural), natural, "left_anti").select(dim.columns)
+    known = changes.filter(F.col(key).isNotNull()).select(dim.columns)
+    return untouched.unionByName(known).unionByName(keyed)
+
+
 def upsert_scd1(
-    dim: DataFrame | None, src: DataFrame, natural: str, key: str, order: Column | None = None
+    dim: DataFrame | None,
+    src: DataFrame,
+    natural: str,
+    key: str,
+    order: Column | None = None,
+    stage: Stage | None = None,
 ) -> DataFrame:
-    """Next snapshot of an overwrite-in-place dimension; known rows keep their key.
+    """Next snapshot of an overwrite-in-place dimension; rows are never deleted.
 
-    order ranks new rows when the natural key is not a whole number.
+    order ranks new rows when the natural key is not a whole number. stage writes the
+    change set and reads it back; with it, a dimension without changes is returned as is.
     """
     order = F.col(natural) if order is None else order
     if dim is None:
         return assign_keys(src, key, order).select(key, *src.columns)
-    new = src.join(dim.select(natural), natural, "left_anti")
-    keyed = assign_keys(new, key, order, max_key(dim, key))
-    known = src.join(dim.select(natural, key), natural)
-    return upsert(dim, known.unionByName(keyed).select(dim.columns), natural, keep=(key,))
+    changes = scd1_changes(dim, src, natural, key)
+    if stage is not None:
+        changes = stage(changes)
+        if changes.isEmpty():
+            return dim
+    return scd1_apply(dim, changes, natural, key, order)
 
 
 @dataclass(frozen=True)
@@ -82,28 +119,40 @@ def changed_keys(src: DataFrame, natural: str, since: datetime) -> DataFrame:
     return src.filter(F.col("last_update") > F.lit(since)).select(natural)
 
 
-def scd2_expire(current: DataFrame, changed: DataFrame, natural: str, as_of: date) -> DataFrame:
-    """Step 1: current versions whose source changed, closed as of this batch."""
-    return (
-        current.join(changed, natural, "left_semi")
-        .withColumn("is_current", F.lit(False))
-        .withColumn("expiration_date", F.lit(as_of))
-        .select(current.columns)
-    )
-
-
 def scd2_new_versions(
     attrs: DataFrame, current: DataFrame, changed: DataFrame, natural: str
 ) -> DataFrame:
-    """Step 2: the changed rows that replace a version closed in step 1."""
-    return attrs.join(changed, natural, "left_semi").join(current.select(natural), natural, "left_semi")
+    """Changed rows that have a current version to replace."""
+    touched = current.select(natural).join(changed, natural, "left_semi")
+    return attrs.join(touched, natural, "left_semi")
 
 
 def scd2_new_keys(attrs: DataFrame, known: DataFrame, natural: str) -> DataFrame:
-    """Step 3: rows the dimension has never seen, in any version."""
+    """Rows the dimension has never seen, in any version."""
     return attrs.join(known.select(natural), natural, "left_anti")
 
 
+def scd2_expire(current: DataFrame, changes: DataFrame, natural: str, as_of: date) -> DataFrame:
+    """Current versions that the change set replaces, closed as of this batch."""
+    return (
+        current.join(changes.select(natural), natural, "left_semi")
+        .withColumn("is_current", F.lit(False))
+        .withColumn("expiration_date", F.lit(as_of))
+        .select(current.columns)
+    )
+
+
+def scd2_open(rows: DataFrame, natural: str, key: str, start: int, as_of: date) -> DataFrame:
+    """Rows as current versions with keys after start."""
+    return (
+        assign_keys(rows, key, F.col(natural), start)
+        .withColumn("effective_date", F.lit(as_of))
+        .withColumn("expiration_date", F.lit(OPEN_END))
+        .withColumn("is_current", F.lit(True))
+        .select(key, *rows.columns, "effective_date", "expiration_date", "is_current")
+    )
+
+
 def scd2_next(
     current: DataFrame | None,
     history: DataFrame | None,
@@ -113,31 +162,28 @@ def scd2_next(
     key: str,
     as_of: date,
     since: datetime,
+    stage: Stage | None = None,
 ) -> Scd2Next:
     """Next state from the current versions, closed ones and the source.
 
-    attrs carries the dimension's attributes per natural key; src its last_update.
+    attrs carries the dimension's attributes per natural key; src its last_update. The
+    current rows meet only the change set, so while that is small they are rewritten
+    without a shuffle. stage writes the change set and reads it back; with it, a
+    dimension without changes keeps its current frame.
     """
-    def opened(rows: DataFrame, start: int) -> DataFrame:
-        return (
-            assign_keys(rows, key, F.col(natural), start)
-            .withColumn("effective_date", F.lit(as_of))
-            .withColumn("expiration_date", F.lit(OPEN_END))
-            .withColumn("is_current", F.lit(True))
-            .select(key, *attrs.columns, "effective_date", "expiration_date", "is_current")
-        )
-
     if current is None:
-        first = opened(attrs, 0)
+        first = scd2_open(attrs, natural, key, 0, as_of)
         return Scd2Next(first, first.limit(0))
     known = current.select(natural).unionByName(history.select(natural))
-    start = max(max_key(current, key), max_key(history, key))
     changed = changed_keys(src, natural, since)
-    inserts = scd2_new_versions(attrs, current, changed, natural).unionByName(
+    changes = scd2_new_versions(attrs, current, changed, natural).unionByName(
         scd2_new_keys(attrs, known, natural)
     )
-    kept = current.join(changed, natural, "left_anti").select(current.columns)
-    return Scd2Next(
-        current=kept.unionByName(opened(inserts, start).select(current.columns)),
-        expired=scd2_expire(current, changed, natural, as_of),
-    )
+    if stage is not None:
+        changes = stage(changes)
+        if changes.isEmpty():
+            return Scd2Next(current, current.limit(0))
+    start = max(max_key(current, key), max_key(history, key))
+    kept = current.join(changes.select(natural), natural, "left_anti").select(current.columns)
+    opened = scd2_open(changes, natural, key, start, as_of).select(current.columns)
+    return Scd2Next(kept.unionByName(opened), scd2_expire(current, changes, natural, as_of))

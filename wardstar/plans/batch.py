@@ -6,6 +6,7 @@ from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime, timedelta
+from functools import partial
 from typing import TypeVar
 
 from pyspark.sql import DataFrame
@@ -15,7 +16,7 @@ from ..context import FIRST_WATERMARK, BatchContext
 from ..functions.clinical import text_key
 from ..operators import bridges, dims, facts, pairs, quality, readmission
 from ..operators.keys import max_key
-from ..operators.scd import Scd2Next, upsert
+from ..operators.scd import upsert
 from ..schemas import TARGET, literal_rows
 from ..sources.tables import checked
 from ..sources.warehouse import Snapshot, Warehouse
@@ -104,13 +105,40 @@ def at_once(*jobs: Callable[[], T]) -> list[T]:
 # -- dimensions ---------------------------------------------------------------------
 
 
+def _stage(wh: Warehouse, table: str, ctx: BatchContext):
+    return lambda df: wh.scratch(df, f"changes_{table}", ctx.batch_id)
+
+
+def _next_table(wh: Warehouse, snap: Snapshot, ctx: BatchContext, table: str, build) -> tuple[str, list[str]]:
+    """Folders of a table after build(current rows, stage); the old ones if it is unchanged."""
+    paths = snap.paths.get(table)
+    old = wh.read(table, snap) if paths else None
+    new = build(old, _stage(wh, table, ctx))
+    return table, list(paths) if new is old else [wh.write(new, table, ctx.batch_id)]
+
+
+def _next_versions(wh: Warehouse, snap: Snapshot, ctx: BatchContext, table: str, build) -> tuple[str, list[str]]:
+    """The same with history: new current rows and newly closed ones; older history stays."""
+    paths = snap.paths.get(table)
+    if not paths:
+        return table, [wh.write(build(None, None, None).current, table, ctx.batch_id, "is_current=true")]
+    current, history = wh.read(table, snap, "is_current=true"), wh.read(table, snap, "is_current=false")
+    step = build(current, history, _stage(wh, table, ctx))
+    if step.current is current:
+        return table, list(paths)
+    live, closed = at_once(
+        lambda: wh.write(step.current, table, ctx.batch_id, "is_current=true"),
+        lambda: wh.write(step.expired, table, ctx.batch_id, "is_current=false"),
+    )
+    return table, [*(p for p in paths if "is_current=false" in p), closed, live]
+
+
 def load_calendar(
     wh: Warehouse, snap: Snapshot, source: Mapping[str, DataFrame], ctx: BatchContext
 ) -> Snapshot:
     """Only the calendar, extended to the years of the source's encounters."""
-    cur = wh.read("dim_date", snap)
-    days = dims.dim_date(dims.calendar_range(source["encounters"]), cur)
-    return snap.replaced("dim_date", [wh.write(days, "dim_date", ctx.batch_id)])
+    bounds = dims.calendar_range(source["encounters"])
+    return snap.replaced(*_next_table(wh, snap, ctx, "dim_date", partial(dims.dim_date, bounds)))
 
 
 def load_dimensions(
@@ -118,52 +146,32 @@ def load_dimensions(
 ) -> Snapshot:
     """All eight dimensions."""
 
-    def cur(table: str, only: str | None = None) -> DataFrame | None:
-        return wh.read(table, snap, only) if snap.paths.get(table) else None
-
-    live, closed = "is_current=true", "is_current=false"
+    def plain(table: str, build, src: DataFrame):
+        return lambda: _next_table(wh, snap, ctx, table, partial(build, src))
 
-    def plain(table: str, build: Callable[[DataFrame | None], DataFrame]):
-        return lambda: (table, [wh.write(build(cur(table)), table, ctx.batch_id)])
+    def patients(*state):
+        return dims.dim_patient(source["patients"], ctx.as_of, marks.patients, *state)
 
-    def patients():
-        old = cur("dim_patient", live), cur("dim_patient", closed)
-        step = dims.dim_patient(source["patients"], ctx.as_of, marks.patients, *old)
-        return "dim_patient", _write_versions(wh, snap, "dim_patient", step, ctx.batch_id)
-
-    def providers():
-        old = cur("dim_provider", live), cur("dim_provider", closed)
-        step = dims.dim_provider(
-            source["providers"], source["specialties"], source["departments"], ctx.as_of, marks.providers, *old
-        )
-        return "dim_provider", _write_versions(wh, snap, "dim_provider", step, ctx.batch_id)
+    def providers(*state):
+        related = source["providers"], source["specialties"], source["departments"]
+        return dims.dim_provider(*related, ctx.as_of, marks.providers, *state)
 
-    bounds = dims.calendar_range(source["encounters"])
     # The dimensions do not depend on each other, so their jobs share the executors.
     written = at_once(
-        patients,
-        providers,
-        plain("dim_date", lambda old: dims.dim_date(bounds, old)),
-        plain("dim_specialty", lambda old: dims.dim_specialty(source["specialties"], old)),
-        plain("dim_department", lambda old: dims.dim_department(source["departments"], old)),
-        plain("dim_encounter_type", lambda old: dims.dim_encounter_type(wh.spark, old)),
-        plain("dim_diagnosis", lambda old: dims.dim_diagnosis(source["diagnoses"], old)),
-        plain("dim_procedure", lambda old: dims.dim_procedure(source["procedures"], old)),
+        lambda: _next_versions(wh, snap, ctx, "dim_patient", patients),
+        lambda: _next_versions(wh, snap, ctx, "dim_provider", providers),
+        plain("dim_date", dims.dim_date, dims.calendar_range(source["encounters"])),
+        plain("dim_specialty", dims.dim_specialty, source["specialties"]),
+        plain("dim_department", dims.dim_department, source["departments"]),
+        plain("dim_encounter_type", dims.dim_encounter_type, wh.spark),
+        plain("dim_diagnosis", dims.dim_diagnosis, source["diagnoses"]),
+        plain("dim_procedure", dims.dim_procedure, source["procedures"]),
     )
     for table, paths in written:
         snap = snap.replaced(table, paths)
     return snap
 
 
-def _write_versions(wh: Warehouse, snap: Snapshot, table: str, step: Scd2Next, batch_id: int) -> list[str]:
-    """Write the new current rows and the newly closed ones; older history stays put."""
-    old = [p for p in snap.paths.get(table, ()) if "is_current=false" in p]
-    paths = [wh.write(step.current, table, batch_id, "is_current=true")]
-    if snap.paths.get(table):
-        paths.append(wh.write(step.expired, table, batch_id, "is_current=false"))
-    return old + paths
-
-
 # -- facts --------------------------------------------------------------------------
 
 

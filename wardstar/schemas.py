@@ -114,4 +114,4 @@ def empty(spark: SparkSession, table: str) -> DataFrame:
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """The schema's columns, in its order and with its types."""
-    return df.select([df[f.name].cast(f.dataType).alias(f.name) for f in schema.fields])
+    return df.selectExpr(*[f"CAST({f.name} AS {f.dataType.simpleString()}) AS {f.name}" for f in schema.fields])
