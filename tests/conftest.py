@@ -63,6 +63,7 @@ SAMPLE = {
 @pytest.fixture(scope="session")
 def spark():
     session = local_session("tests", cores=8)
+    session.conf.set("spark.sql.shuffle.partitions", "3")
     yield session
     session.stop()
 

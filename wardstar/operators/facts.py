@@ -31,16 +31,41 @@ def delta(
     """Encounters to load: not loaded yet and, when strict, after the watermark.
 
     The watermark is a literal, so the filter reaches the scan, and when strict only
-    facts after it can clash, so the anti join prunes the rest of the fact away.
+    facts after it can clash: their months are pruned to the watermark's and later.
+    Otherwise the stored ids first meet the arriving ones, which are few in a stream.
     """
     rows = encounters
     if strict and watermark != FIRST_WATERMARK:
         rows = rows.filter(F.col("encounter_date") > F.lit(watermark))
         if loaded is not None:
-            loaded = loaded.filter(F.col("encounter_datetime") > F.lit(watermark))
+            loaded = after(loaded, watermark)
     if loaded is None:
         return rows
-    return rows.join(loaded.select("encounter_id"), "encounter_id", "left_anti")
+    clashing = scoped(loaded.select("encounter_id"), rows, "encounter_id")
+    return rows.join(clashing, "encounter_id", "left_anti")
+
+
+def after(loaded: DataFrame, when: datetime) -> DataFrame:
+    """Stored facts admitted later than when; whole months before it are not read."""
+    return loaded.filter(
+        (F.col("year_month") >= when.strftime("%Y-%m")) & (F.col("encounter_datetime") > F.lit(when))
+    )
+
+
+def until(loaded: DataFrame, when: datetime) -> DataFrame:
+    """Stored facts admitted at when or before; whole months after it are not read."""
+    return loaded.filter(
+        (F.col("year_month") <= when.strftime("%Y-%m")) & (F.col("encounter_datetime") <= F.lit(when))
+    )
+
+
+def scoped(rows: DataFrame, batch: DataFrame, key: str) -> DataFrame:
+    """Rows whose key occurs in the batch.
+
+    A small batch is broadcast, so a large table is filtered where it is read instead of
+    being shuffled to the batch.
+    """
+    return rows.join(batch.select(key).distinct(), key, "left_semi")
 
 
 def provider_lookup(dim_provider: DataFrame, dim_specialty: DataFrame) -> DataFrame:

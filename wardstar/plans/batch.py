@@ -188,21 +188,38 @@ class FactLoad:
 def stage_facts(
     wh: Warehouse, snap: Snapshot, source: Mapping[str, DataFrame], ctx: BatchContext, watermark: datetime
 ) -> DataFrame:
-    """The batch's encounters with keys, measures and reject reason, written once."""
+    """The batch's encounters with keys, measures and reject reason, written once.
+
+    After the first load the delta is written before anything else, so that its size is
+    known and the large tables are reduced to it before any join or count.
+    """
     loaded = wh.read("fact_encounters", snap) if snap.paths.get("fact_encounters") else None
+    new = facts.delta(source["encounters"], loaded, watermark, ctx.strict)
+    scope = _whole
+    if loaded is not None:
+        new = wh.scratch(new, "delta", ctx.batch_id)
+        scope = partial(_in_batch, new)
     rows = facts.lookup_keys(
-        facts.delta(source["encounters"], loaded, watermark, ctx.strict),
+        new,
         wh.read("dim_date", snap),
-        wh.read("dim_patient", snap, "is_current=true"),
-        wh.read("dim_provider", snap, "is_current=true"),
+        scope(wh.read("dim_patient", snap, "is_current=true"), "patient_id"),
+        scope(wh.read("dim_provider", snap, "is_current=true"), "provider_id"),
         wh.read("dim_specialty", snap),
         wh.read("dim_department", snap),
         wh.read("dim_encounter_type", snap),
     )
-    measured = facts.add_measures(
-        rows, source["encounter_diagnoses"], source["encounter_procedures"], source["billing"]
-    )
-    return wh.scratch(measured, "facts", ctx.batch_id)
+    lines = [
+        scope(source[t], "encounter_id") for t in ("encounter_diagnoses", "encounter_procedures", "billing")
+    ]
+    return wh.scratch(facts.add_measures(rows, *lines), "facts", ctx.batch_id)
+
+
+def _whole(rows: DataFrame, key: str) -> DataFrame:
+    return rows
+
+
+def _in_batch(batch: DataFrame, rows: DataFrame, key: str) -> DataFrame:
+    return facts.scoped(rows, batch, key)
 
 
 def load_facts(
@@ -244,9 +261,9 @@ def load_facts(
     kept = list(old_paths)
     if old is not None and not ctx.strict and span.last_out is not None:
         last = span.last_out + REACH
-        candidates = stays.filter(
-            (F.col("encounter_datetime") > F.lit(span.first_in)) & (F.col("encounter_datetime") <= F.lit(last))
-        ).join(affected, "patient_id", "left_semi")
+        candidates = facts.until(facts.after(stays, span.first_in), last).join(
+            affected, "patient_id", "left_semi"
+        )
         kept, repaired = _repair_flags(wh, old_paths, candidates, discharges, ctx)
     snap = snap.replaced("fact_encounters", [*kept, *new_paths])
     return FactLoad(snap, tuple(new_paths), span.n, span.rejected, repaired, span.last_in)
@@ -297,11 +314,14 @@ def load_bridges(
     if not load.new_paths:
         return snap
     fresh = wh.read("fact_encounters", Snapshot(0, {"fact_encounters": load.new_paths}))
+    # The first load takes nearly every line; later ones only those of their own facts.
+    first = len(load.new_paths) == len(load.snapshot.paths["fact_encounters"])
+    scope = _whole if first else partial(_in_batch, fresh)
     d = bridges.bridge_diagnoses(
-        source["encounter_diagnoses"], fresh, wh.read("dim_diagnosis", snap), ctx.started_at
+        scope(source["encounter_diagnoses"], "encounter_id"), fresh, wh.read("dim_diagnosis", snap), ctx.started_at
     )
     p = bridges.bridge_procedures(
-        source["encounter_procedures"], fresh, wh.read("dim_procedure", snap), ctx.started_at
+        scope(source["encounter_procedures"], "encounter_id"), fresh, wh.read("dim_procedure", snap), ctx.started_at
     )
     diagnoses, procedures = at_once(
         lambda: wh.write(d, "bridge_encounter_diagnoses", ctx.batch_id),
