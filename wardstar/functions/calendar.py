@@ -2,10 +2,21 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def moment(when: datetime) -> Column:
+    """A wall-clock literal without time zone.
+
+    lit(datetime) would be a zoned literal: the column would be cast to compare with it,
+    which keeps the filter from the scan and depends on the session's zone.
+    """
+    return F.lit(when.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def week_of_year(d: Column) -> Column:
     """Monday-first week 0-53: week 1 is the first with four or more days of this year.
 

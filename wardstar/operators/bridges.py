@@ -7,6 +7,8 @@ from datetime import datetime
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import calendar as cal
+
 # Encounters with more procedure rows than this are numbered block by block.
 HOT_ROWS = 1_000_000
 # Procedure ids per block of a hot encounter's day.
@@ -30,7 +32,7 @@ def bridge_diagnoses(
             "diagnosis_key",
             "diagnosis_sequence",
             F.to_date("encounter_datetime").alias("diagnosis_date"),
-            F.lit(loaded_at).alias("created_date"),
+            cal.moment(loaded_at).alias("created_date"),
         )
     )
 
@@ -128,5 +130,5 @@ def bridge_procedures(
         "procedure_key",
         "procedure_sequence",
         "procedure_date",
-        F.lit(loaded_at).alias("created_date"),
+        cal.moment(loaded_at).alias("created_date"),
     )

@@ -36,7 +36,7 @@ def delta(
     """
     rows = encounters
     if strict and watermark != FIRST_WATERMARK:
-        rows = rows.filter(F.col("encounter_date") > F.lit(watermark))
+        rows = rows.filter(F.col("encounter_date") > cal.moment(watermark))
         if loaded is not None:
             loaded = after(loaded, watermark)
     if loaded is None:
@@ -48,14 +48,14 @@ def delta(
 def after(loaded: DataFrame, when: datetime) -> DataFrame:
     """Stored facts admitted later than when; whole months before it are not read."""
     return loaded.filter(
-        (F.col("year_month") >= when.strftime("%Y-%m")) & (F.col("encounter_datetime") > F.lit(when))
+        (F.col("year_month") >= when.strftime("%Y-%m")) & (F.col("encounter_datetime") > cal.moment(when))
     )
 
 
 def until(loaded: DataFrame, when: datetime) -> DataFrame:
     """Stored facts admitted at when or before; whole months after it are not read."""
     return loaded.filter(
-        (F.col("year_month") <= when.strftime("%Y-%m")) & (F.col("encounter_datetime") <= F.lit(when))
+        (F.col("year_month") <= when.strftime("%Y-%m")) & (F.col("encounter_datetime") <= cal.moment(when))
     )
 
 
@@ -198,8 +198,8 @@ def key_facts(rows: DataFrame, start: int, loaded_at: datetime) -> DataFrame:
     """Accepted rows with encounter_key and load times."""
     return (
         assign_keys(rows, "encounter_key", F.col("encounter_id"), start)
-        .withColumn("created_date", F.lit(loaded_at))
-        .withColumn("updated_date", F.lit(loaded_at))
+        .withColumn("created_date", cal.moment(loaded_at))
+        .withColumn("updated_date", cal.moment(loaded_at))
     )
 
 

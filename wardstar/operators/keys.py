@@ -42,3 +42,12 @@ def max_key(dim: DataFrame | None, key: str) -> int:
     if dim is None:
         return 0
     return int(dim.agg(F.max(key)).first()[0] or 0)
+
+
+def max_key_by_statistics(table: DataFrame, key: str) -> int:
+    """The same for a large table, reading little more than parquet footers.
+
+    n distinct keys from 1 upwards reach at least n, so only row groups whose statistics
+    allow a key of n or more are read; n itself comes from the footers.
+    """
+    return max_key(table.filter(F.col(key) >= table.count()), key)

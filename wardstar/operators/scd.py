@@ -9,6 +9,7 @@ from datetime import date, datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import calendar as cal
 from .keys import assign_keys, max_key
 
 OPEN_END = date(9999, 12, 31)  # Fixed value: expiration of a current version.
@@ -116,7 +117,7 @@ class Scd2Next:
 
 def changed_keys(src: DataFrame, natural: str, since: datetime) -> DataFrame:
     """Source rows touched after the last load; the change set of this batch only."""
-    return src.filter(F.col("last_update") > F.lit(since)).select(natural)
+    return src.filter(F.col("last_update") > cal.moment(since)).select(natural)
 
 
 def scd2_new_versions(

@@ -13,9 +13,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..context import FIRST_WATERMARK, BatchContext
+from ..functions import calendar as cal
 from ..functions.clinical import text_key
 from ..operators import bridges, dims, facts, pairs, quality, readmission
-from ..operators.keys import max_key
+from ..operators.keys import max_key_by_statistics
 from ..operators.scd import upsert
 from ..schemas import TARGET, literal_rows
 from ..sources.tables import checked
@@ -133,11 +134,17 @@ def _next_versions(wh: Warehouse, snap: Snapshot, ctx: BatchContext, table: str,
     return table, [*(p for p in paths if "is_current=false" in p), closed, live]
 
 
+def _calendar_bounds(source: Mapping[str, DataFrame], ctx: BatchContext, marks: Marks) -> DataFrame:
+    """Years of the encounters this batch may load; older ones are in the calendar."""
+    rows = source["encounters"]
+    return dims.calendar_range(facts.delta(rows, None, marks.encounters, ctx.strict))
+
+
 def load_calendar(
-    wh: Warehouse, snap: Snapshot, source: Mapping[str, DataFrame], ctx: BatchContext
+    wh: Warehouse, snap: Snapshot, source: Mapping[str, DataFrame], ctx: BatchContext, marks: Marks
 ) -> Snapshot:
-    """Only the calendar, extended to the years of the source's encounters."""
-    bounds = dims.calendar_range(source["encounters"])
+    """Only the calendar, extended to the years of the arriving encounters."""
+    bounds = _calendar_bounds(source, ctx, marks)
     return snap.replaced(*_next_table(wh, snap, ctx, "dim_date", partial(dims.dim_date, bounds)))
 
 
@@ -160,7 +167,7 @@ def load_dimensions(
     written = at_once(
         lambda: _next_versions(wh, snap, ctx, "dim_patient", patients),
         lambda: _next_versions(wh, snap, ctx, "dim_provider", providers),
-        plain("dim_date", dims.dim_date, dims.calendar_range(source["encounters"])),
+        plain("dim_date", dims.dim_date, _calendar_bounds(source, ctx, marks)),
         plain("dim_specialty", dims.dim_specialty, source["specialties"]),
         plain("dim_department", dims.dim_department, source["departments"]),
         plain("dim_encounter_type", dims.dim_encounter_type, wh.spark),
@@ -249,13 +256,14 @@ def load_facts(
         stays = _inpatients(old, wh.read("dim_encounter_type", snap))
         affected = ok.select("patient_id").distinct()
         # Only discharges near the batch can matter; the bound reaches the fact scan.
-        near = stays.filter(F.col("discharge_datetime") >= F.lit(span.first_in - REACH))
+        near = stays.filter(F.col("discharge_datetime") >= cal.moment(span.first_in - REACH))
         earlier = near.join(affected, "patient_id", "left_semi").select(
             "patient_id", F.col("discharge_datetime").alias("discharged")
         )
         discharges = discharges.unionByName(earlier)
 
-    keyed = facts.key_facts(ok, max_key(old, "encounter_key"), ctx.started_at)
+    start = 0 if old is None else max_key_by_statistics(old, "encounter_key")
+    keyed = facts.key_facts(ok, start, ctx.started_at)
     new_paths = [wh.write_fact(readmission.flag(keyed, readmission.stays_of(ok), discharges), ctx.batch_id)]
     repaired = 0
     kept = list(old_paths)
@@ -298,7 +306,7 @@ def _repair_flags(
     rows = wh.read("fact_encounters", Snapshot(0, {"fact_encounters": tuple(touched)}))
     updated = (
         rows.join(changed.select("encounter_id", "_now"), "encounter_id", "left")
-        .withColumn("updated_date", F.when(F.col("_now").isNull(), F.col("updated_date")).otherwise(F.lit(ctx.started_at)))
+        .withColumn("updated_date", F.when(F.col("_now").isNull(), F.col("updated_date")).otherwise(cal.moment(ctx.started_at)))
         .withColumn("is_readmission", F.coalesce("_now", "is_readmission"))
     )
     rewritten = wh.write_fact(updated, ctx.batch_id, label="repair")
@@ -424,7 +432,7 @@ def run_batch(
         if with_dimensions or not before.paths.get("dim_patient"):
             snap = load_dimensions(wh, before, source, ctx, marks)
         else:
-            snap = load_calendar(wh, before, source, ctx)
+            snap = load_calendar(wh, before, source, ctx, marks)
         live = {t: wh.read(t, snap, "is_current=true").count() for t in ("dim_patient", "dim_provider")}
         log.record({DIM_STEP: live["dim_patient"]}, [FACT_STEP])
 

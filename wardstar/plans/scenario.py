@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..context import FIRST_WATERMARK, BatchContext, ticking_clock
+from ..functions import calendar as cal
 from ..operators import dims, facts
 from ..operators.scd import insert_ignore
 from ..session import shared_dir, tune
@@ -114,7 +115,10 @@ def streamed(spark: SparkSession, sf_dir: str, order: tuple[int, int]) -> Loaded
 
 
 def patient_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """dim_patient after two loads, with changed and newly seen patients."""
+    """dim_patient after two loads, with changed and newly seen patients.
+
+    The result holds every customer; the first load only sees some of them later.
+    """
     customer = spark.read.parquet(f"{sf_dir.rstrip('/')}/customer.parquet")
     wh = Warehouse(spark, _folder(spark, sf_dir, "patient-history"))
     one, two = (ov.patients(customer, load, held_back=True) for load in (1, 2))
@@ -130,7 +134,7 @@ def provider_history(
     days: tuple[date, date] = (ov.FIRST_AS_OF, ov.SECOND_AS_OF),
     held_back: bool = True,
 ) -> DataFrame:
-    """dim_provider after two loads made on the given days."""
+    """dim_provider after two loads made on the given days; it holds every supplier."""
     base = sf_dir.rstrip("/")
     supplier = spark.read.parquet(f"{base}/supplier.parquet")
     spec = ov.specialties(spark.read.parquet(f"{base}/nation.parquet"))
@@ -145,7 +149,7 @@ def provider_history(
 
 
 def diagnosis_versions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Two source versions: the second adds keys, changes texts and has lost some rows."""
+    """Two versions of all parts: the second adds keys, changes texts and has lost some rows."""
     rows = ov.diagnoses(spark.read.parquet(f"{sf_dir.rstrip('/')}/part.parquet"))
     key = F.col("diagnosis_id")
     changed = F.when(key % 7 == 0, F.concat("icd10_description", F.lit("-R")))
@@ -218,7 +222,7 @@ def late_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
         "encounter_date", "encounter_datetime"
     )
     watermark = facts.new_watermark(loaded).first()[0]
-    late = facts.late_arrivals(views["encounters"], loaded, F.lit(watermark))
+    late = facts.late_arrivals(views["encounters"], loaded, cal.moment(watermark))
     return late.groupBy(facts.month_of("encounter_date").alias("encounter_month")).agg(
         F.count("*").alias("late_encounters"), F.min("encounter_date").alias("oldest")
     )

@@ -14,6 +14,7 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import calendar as cal
 from ..schemas import SOURCE, conform
 
 # Specialty codes by nation key 0-19.
@@ -72,7 +73,7 @@ def patients(customer: DataFrame, load: int, held_back: bool = False) -> DataFra
         F.date_add(F.lit(date(1920, 1, 1)), ((key * 37) % 28500).cast("int")).alias("date_of_birth"),
         F.when(key % 2 == 0, "F").otherwise("M").alias("gender"),
         F.concat(F.lit("MRN-"), F.lpad(key.cast("string"), 7, "0")).alias("mrn"),
-        F.when(changed, F.lit(SECOND_UPDATE)).otherwise(F.lit(FIRST_UPDATE)).alias("last_update"),
+        F.when(changed, cal.moment(SECOND_UPDATE)).otherwise(cal.moment(FIRST_UPDATE)).alias("last_update"),
     )
 
 
@@ -93,7 +94,7 @@ def providers(supplier: DataFrame, load: int, held_back: bool = False) -> DataFr
         .otherwise(F.col("s_nationkey"))
         .alias("specialty_id"),
         (key % 5).alias("department_id"),
-        F.when(changed, F.lit(SECOND_UPDATE)).otherwise(F.lit(FIRST_UPDATE)).alias("last_update"),
+        F.when(changed, cal.moment(SECOND_UPDATE)).otherwise(cal.moment(FIRST_UPDATE)).alias("last_update"),
     )
 
 
@@ -144,7 +145,7 @@ def _encounter_date() -> Column:
 def _in_load(orders: DataFrame, load: int | None) -> DataFrame:
     if load is None:
         return orders
-    early = _encounter_date() <= F.lit(SPLIT_AT)
+    early = _encounter_date() <= cal.moment(SPLIT_AT)
     return orders.filter(early if load == 1 else ~early)
 
 
