@@ -5,9 +5,9 @@ import re
 import pytest
 
 import __spark_entry__ as entry
-from wardstar.operators import bridges, facts
+from wardstar.operators import bridges, facts, joins
 from wardstar.operators.keys import max_key, max_key_by_statistics
-from wardstar.plans import scenario
+from wardstar.plans import questions, scenario
 from wardstar.sources import order_view as ov
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -20,7 +20,8 @@ def plan(df) -> str:
 
 
 @pytest.fixture
-def no_broadcast(spark):
+def no_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(joins, "SMALL_ROWS", -1)
     names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
     for name in names:
         spark.conf.set(name, "-1")
@@ -36,6 +37,13 @@ def test_every_join_has_a_key_and_no_python_runs(spark, no_broadcast, name):
     assert not re.search("CartesianProduct|BroadcastNestedLoop|BroadcastHashJoin|EvalPython|InPandas|MapInArrow", text)
 
 
+def test_small_derived_sides_are_broadcast_and_large_ones_are_not(spark, monkeypatch):
+    source = ov.clinical_views(spark, SF_DIR)
+    assert "ResolvedHint" in questions.provider_specialty(source)._jdf.queryExecution().analyzed().toString()
+    monkeypatch.setattr(joins, "SMALL_ROWS", 9)  # the table has 10 rows
+    assert "ResolvedHint" not in questions.provider_specialty(source)._jdf.queryExecution().analyzed().toString()
+
+
 def test_watermark_and_month_reach_the_scans(spark):
     star = scenario.full_load(spark, SF_DIR).star
     text = plan(facts.after(star["fact_encounters"], ov.SPLIT_AT).select("encounter_id"))

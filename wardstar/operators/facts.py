@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..context import FIRST_WATERMARK
 from ..functions import calendar as cal
 from ..functions.clinical import text_key
+from .joins import broadcast_if_small
 from .keys import assign_keys
 
 INPATIENT = "INPATIENT"
@@ -94,14 +95,15 @@ def lookup_keys(
     """Encounters with all six surrogate keys and the reason of a failed lookup.
 
     mode "current" takes the current patient and provider version; "as_of" the version
-    valid on the encounter's date. No side is forced to broadcast: small dimensions are
-    broadcast by their size, large ones are joined by shuffle with skew splitting.
+    valid on the encounter's date. Small dimensions are broadcast by their size, large
+    ones are joined by shuffle with skew splitting.
     """
     days = dim_date.select(F.col("calendar_date").alias("_day"), "date_key", "year_month")
     kinds = dim_encounter_type.select(
         text_key(F.col("encounter_type")).alias("_kind"), "encounter_type_key"
     )
     lookup = provider_lookup(dim_provider, dim_specialty)
+    lookup = broadcast_if_small(lookup, lookup)
     rows = encounters.withColumn("_day", F.to_date("encounter_date")).withColumn(
         "_kind", text_key(F.col("encounter_type"))
     )

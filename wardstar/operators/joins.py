@@ -1,0 +1,19 @@
+"""Broadcast of derived sides, behind a count of their rows."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Rows of a few numbers and a name: some 20 MB per executor at most.
+SMALL_ROWS = 200_000
+
+
+def broadcast_if_small(side: DataFrame, bound: DataFrame) -> DataFrame:
+    """Broadcast a side that has at most as many rows as `bound`, if those are few.
+
+    Spark estimates a joined side as the product of its inputs and would shuffle the
+    large table to it before measuring. Stored tables are counted from file footers.
+    Beyond the limit the side is joined by shuffle, with skew splitting.
+    """
+    return F.broadcast(side) if bound.count() <= SMALL_ROWS else side

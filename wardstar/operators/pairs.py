@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .joins import broadcast_if_small
+
 DIAGNOSIS = ["icd10_code", "icd10_description"]
 PROCEDURE = ["cpt_code", "cpt_description"]
 PAIR = DIAGNOSIS + PROCEDURE
@@ -28,7 +30,7 @@ def code_groups(dim: DataFrame, natural: str, text: list[str], name: str) -> tup
         test = dim[c].eqNullSafe(g[f"_{c}"])
         same = test if same is None else same & test
     members = dim.join(g, same).select(natural, name)
-    return members, groups
+    return broadcast_if_small(members, dim), groups
 
 
 def code_counts(lines: DataFrame, encounter: str, natural: str, members: DataFrame, name: str, n: str) -> DataFrame:

@@ -22,9 +22,11 @@ def first_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame
 
     An aggregate and not a window: copies of one key collapse before the shuffle.
     """
-    lead = [c for c in order if c not in keys]
-    rest = [c for c in df.columns if c not in keys and c not in order]
-    least = F.min(F.struct(*lead, *rest)).alias("_row")
+    values = [c for c in order if c not in keys]
+    values += [c for c in df.columns if c not in keys and c not in order]
+    if len(values) == 1:  # a plain minimum stays hash-based
+        return df.groupBy(*keys).agg(F.min(values[0]).alias(values[0])).select(df.columns)
+    least = F.min(F.struct(*values)).alias("_row")
     return df.groupBy(*keys).agg(least).select(*keys, "_row.*").select(df.columns)
 
 

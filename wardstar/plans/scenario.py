@@ -170,18 +170,19 @@ def upserted_diagnoses(spark: SparkSession, sf_dir: str) -> DataFrame:
 def as_of_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encounters with the provider version valid on the day they began."""
     views = ov.clinical_views(spark, sf_dir)
+    stored = full_load(spark, sf_dir).star
+    wh = Warehouse(spark, _folder(spark, sf_dir, "as-of"))
     days = (date(1995, 1, 1), date(2000, 7, 1))
     versions = provider_history(spark, sf_dir, days, held_back=False)
     patients = dims.dim_patient(views["patients"], days[0], FIRST_WATERMARK).current
-    spec = dims.dim_specialty(views["specialties"])
     keyed = facts.lookup_keys(
         views["encounters"],
-        dims.dim_date(dims.calendar_range(views["encounters"])),
-        patients,
-        versions,
-        spec,
-        dims.dim_department(views["departments"]),
-        dims.dim_encounter_type(spark),
+        stored["dim_date"],
+        wh.scratch(patients, "dim_patient", 1),
+        wh.scratch(versions, "dim_provider", 1),
+        stored["dim_specialty"],
+        stored["dim_department"],
+        stored["dim_encounter_type"],
         mode="as_of",
     )
     return keyed.filter(F.col("reject_reason").isNull()).select(
@@ -190,17 +191,17 @@ def as_of_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rejects_outside_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rejected encounters per month and reason when the calendar ends with load 1."""
-    views = ov.clinical_views(spark, sf_dir)
-    early = ov.clinical_views(spark, sf_dir, load=1)["encounters"]
+    """All encounters against the dimensions as the first load left them: rejects per month."""
+    loaded = two_loads(spark, sf_dir)
+    stored = Star(loaded.warehouse, loaded.results[0].snapshot)
     keyed = facts.lookup_keys(
-        views["encounters"],
-        dims.dim_date(dims.calendar_range(early)),
-        dims.dim_patient(views["patients"], ov.FIRST_AS_OF, FIRST_WATERMARK).current,
-        provider_first(views),
-        dims.dim_specialty(views["specialties"]),
-        dims.dim_department(views["departments"]),
-        dims.dim_encounter_type(spark),
+        ov.clinical_views(spark, sf_dir)["encounters"],
+        stored["dim_date"],
+        stored["dim_patient"],
+        stored["dim_provider"],
+        stored["dim_specialty"],
+        stored["dim_department"],
+        stored["dim_encounter_type"],
     ).withColumnRenamed("encounter_date", "encounter_datetime")
     return (
         facts.rejected(keyed)

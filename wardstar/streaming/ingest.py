@@ -24,11 +24,12 @@ def start_load(
     clock: Callable[[], datetime] = utc_now,
     files_per_batch: int | None = None,
     refresh_dimensions: bool = True,
+    first_batch: int = 1,
 ) -> StreamingQuery:
     """Load every encounter file not seen yet, then stop.
 
     tables holds the nine other source tables. Each micro-batch is one warehouse batch
-    numbered by its epoch. Late encounters are loaded too, and the flags they change are
+    numbered by its epoch, from first_batch on. Late encounters are loaded too, and the flags they change are
     repaired. An epoch replayed after a failure finds its batch published and does
     nothing, so every file counts exactly once.
     """
@@ -37,7 +38,7 @@ def start_load(
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
 
     def load(rows: DataFrame, epoch: int) -> None:
-        batch_id = epoch + 1
+        batch_id = first_batch + epoch
         if batch_id <= wh.snapshot().batch_id:
             return
         start = started_at()
