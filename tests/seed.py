@@ -1,4 +1,4 @@
-"""The reference's seed rows from their published formulas, by spark.range.
+"""Seed rows of the 13,200-encounter data set from their published formulas, by spark.range.
 
 Names and code texts are shortened; what groups with what is the same. Random amounts
 and dates become fixed functions of the row number.
