@@ -5,10 +5,11 @@ import pytest
 import __spark_entry__ as entry
 
 from check import compare, connect
+from oracles import sql
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES = entry.queries()
-SQL = entry.oracle_sql()
+QUERIES = entry._star_queries()
+SQL = sql.statements()
 
 
 @pytest.fixture(scope="module")
