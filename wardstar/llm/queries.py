@@ -53,12 +53,12 @@ _DECONTAMINATE = r"""
 WITH words AS (
   SELECT doc_id, row_number() OVER () AS r, list_filter(
     regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-                          '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), w -> w <> '') AS w
+                          '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS w
   FROM documents),
 items AS (
   SELECT CAST(item_id AS VARCHAR) AS item, list_filter(
     regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-                          '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), w -> w <> '') AS w
+                          '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS w
   FROM benchmark),
 item_spans AS (
   SELECT DISTINCT item, least(len(w), 10) AS n,
