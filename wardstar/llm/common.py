@@ -80,11 +80,13 @@ def split_hot(rows: DataFrame, keys: list[str], by: str, limit: int) -> DataFram
     Adds `pair` and `own`. Rows of a group of b blocks go to the b pairs (i, j) that
     their block is in, so that any two rows of a group meet in a pair, and no pair holds
     much more than 2 * limit rows. Smaller groups are one pair. A row's block comes
-    from the hash of its column `by`, so a repeated task deals the same way.
+    from the hash of its column `by`, so a repeated task deals the same way. The list of
+    large groups is written first: Spark then knows its size and broadcasts it only if it
+    is small.
     """
     blocks = F.ceil(F.col("count") / limit).cast("int").alias("blocks")
     large = rows.groupBy(*keys).count().filter(F.col("count") > limit).select(*keys, blocks)
-    dealt = rows.join(large, keys, "left").withColumn(
+    dealt = rows.join(stored(large, "large_groups"), keys, "left").withColumn(
         "own", F.coalesce(F.pmod(F.xxhash64(by, F.lit("block")), F.col("blocks")).cast("int"), F.lit(0))
     )
     mates = F.sequence(F.lit(0), F.coalesce(F.col("blocks"), F.lit(1)) - 1)

@@ -7,12 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardstar.llm import decontam, langid, mixing, sharding, simhash
+from wardstar.llm import decontam, itq, langid, licenses, lines, mixing, secrets, sharding, simhash, toxicity
 from wardstar.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(read_table(spark, sf_dir, "documents"))
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
     digits = F.lpad(F.lower(F.hex("fp")), 16, "0")
@@ -23,10 +27,22 @@ def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(read_table(spark, sf_dir, "documents"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shards_of(read_table(spark, sf_dir, "documents"))
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.dedup_lines(read_table(spark, sf_dir, "documents"))
+
+
+def op7_itq(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return itq.near_duplicates(read_table(spark, sf_dir, "embeddings"))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read_table(spark, sf_dir, "documents"))
 
@@ -35,18 +51,21 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(read_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
-    return {
-        "op2_simhash": op2_simhash,
-        "op3_langid": op3_langid,
-        "op5_sharding": op5_sharding,
-        "op8_mixing": op8_mixing,
-        "op9_decontaminate": op9_decontaminate,
-    }
+    every = (
+        op1_secrets, op2_simhash, op3_langid, op4_toxicity, op5_sharding, op6_line_dedup, op7_itq, op8_mixing,
+        op9_decontaminate, op10_licenses,
+    )
+    return {query.__name__: query for query in every}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_decontaminate": _DECONTAMINATE}
+    """SQL for what SQL can express: windows of words and of lines."""
+    return {"op6_line_dedup": _LINE_DEDUP, "op9_decontaminate": _DECONTAMINATE}
 
 
 _DECONTAMINATE = r"""
@@ -81,3 +100,25 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
   coalesce(n_hit, 0) > 0 AS contaminated
 FROM words LEFT JOIN hit_words USING (r) LEFT JOIN hit_items USING (r)
 """
+
+_LINE_DEDUP = """
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, text, string_split(text, chr(10)) AS lines FROM documents),
+windows AS (
+  SELECT r, doc_id, i, trim(lines[i]) AS a, trim(lines[i + 1]) AS b, trim(lines[i + 2]) AS c
+  FROM (SELECT r, doc_id, lines, unnest(range(1, len(lines) - 1)) AS i FROM docs WHERE len(lines) >= 3)),
+later AS (
+  SELECT r, i FROM (
+    SELECT r, i, row_number() OVER (PARTITION BY a, b, c ORDER BY doc_id, i) AS nth
+    FROM windows WHERE a || b || c <> '')
+  WHERE nth > 1),
+covered AS (SELECT DISTINCT r, i + k AS i FROM later, (SELECT unnest(range(3)) AS k)),
+kept AS (
+  SELECT r, count(*) FILTER (c.i IS NOT NULL) AS n_removed,
+    string_agg(line, chr(10) ORDER BY l.i) FILTER (c.i IS NULL) AS text
+  FROM (SELECT r, unnest(range(1, len(lines) + 1)) AS i, unnest(lines) AS line FROM docs WHERE text IS NOT NULL) l
+  LEFT JOIN covered c USING (r, i) GROUP BY r)
+SELECT doc_id, CAST(coalesce(len(lines), 0) AS BIGINT) AS n_lines, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+  CASE WHEN docs.text IS NULL THEN NULL ELSE coalesce(kept.text, '') END AS text
+FROM docs LEFT JOIN kept USING (r)
+"""
