@@ -1,0 +1,64 @@
+"""Small tables with every odd kind of row, and helpers the tests of this folder share."""
+
+from __future__ import annotations
+
+import random
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, {extra} string"
+
+WORDS = "the river runs over old stones and under a bridge where nobody waits for rain".split()
+
+
+def prose(seed: int, n: int) -> str:
+    rng = random.Random(seed)
+    return " ".join(rng.choice(WORDS) for _ in range(n))
+
+
+def documents(spark, rows, extra: str = "label"):
+    """rows: (doc_id, text[, lang[, source]]); the extra column clashes with names of results."""
+    full = []
+    for row in rows:
+        doc_id, text, lang, source = (*row, None, None)[:4]
+        full.append((doc_id, text, lang, source, None if text is None else len(text), "extra"))
+    return spark.createDataFrame(full, SCHEMA.format(extra=extra))
+
+
+def odd_rows() -> list[tuple]:
+    """Nulls in every column, empty and long texts, repeated rows, ties, other scripts."""
+    same = prose(1, 40)
+    return [
+        (0, same, "en", "a"),
+        (1, same, "en", "a"),
+        (1, same, "en", "a"),
+        (2, same + " end", "en", "b"),
+        (3, None, None, None),
+        (4, "", "en", "a"),
+        (5, "   \n\t ", "fr", None),
+        (None, same, None, "c"),
+        (None, None, None, None),
+        (6, "Ärger ÉTÉ straße 東京 12 \U0001f600 x", "de", "b"),
+        (7, prose(2, 20_000), "en", "a"),
+        (8, "one", "en", "b"),
+        (8, "two words", "en", "b"),
+        (9, "a\nb\nc\na\nb\nc\n\n\n\n\n", "en", "c"),
+    ]
+
+
+def empty(spark, extra: str = "label"):
+    return spark.createDataFrame([], SCHEMA.format(extra=extra))
+
+
+def union_find(n: int, links) -> list[int]:
+    """The least member of each of 0..n-1's component."""
+    parent = list(range(n))
+
+    def root(i):
+        while parent[i] != i:
+            parent[i] = parent[parent[i]]
+            i = parent[i]
+        return i
+
+    for a, b in links:
+        a, b = root(a), root(b)
+        parent[max(a, b)] = min(a, b)
+    return [root(i) for i in range(n)]

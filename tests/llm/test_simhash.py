@@ -1,0 +1,140 @@
+import random
+
+import pytest
+import xxhash
+from llm_cases import documents, empty, odd_rows, prose, union_find
+from pyspark.sql import functions as F
+
+from wardstar.llm import simhash
+from wardstar.llm.components import components
+
+
+def plain_fingerprint(text: str | None, k: int = 4) -> int:
+    lowered = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    words, word = [], ""
+    for c in lowered + " ":
+        if c in " \t\n\v\f\r":
+            words += [word] if word else []
+            word = ""
+        else:
+            word += c
+    if not words:
+        return 0
+    shingles = [" ".join(words[i : i + k]) for i in range(max(1, len(words) - k + 1))]
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def signed(x: int) -> int:
+    return x - (1 << 64) if x >> 63 else x
+
+
+def expected(rows):
+    """(doc_id, fingerprint, component_id) by comparing all pairs."""
+    fps = [plain_fingerprint(r[1]) for r in rows]
+    n = len(rows)
+    links = [(i, j) for i in range(n) for j in range(i) if (fps[i] ^ fps[j]).bit_count() <= 4]
+    groups: dict[int, list] = {}
+    roots = union_find(n, links)
+    for r, row in zip(roots, rows):
+        groups.setdefault(r, []).append(row[0])
+    least = {r: min((d for d in ids if d is not None), default=None) for r, ids in groups.items()}
+    return sorted(((row[0], signed(f), least[r]) for row, f, r in zip(rows, fps, roots)), key=repr)
+
+
+def result(docs, **options):
+    rows = simhash.near_duplicates(docs, **options).select("doc_id", "fp", "component_id").collect()
+    return sorted(map(tuple, rows), key=repr)
+
+
+def edited(text: str, seed: int, n: int) -> str:
+    rng, words = random.Random(seed), text.split()
+    for _ in range(n):
+        words[rng.randrange(len(words))] = "changed"
+    return " ".join(words)
+
+
+@pytest.mark.parametrize("blocks,take", [(3, 1), (5, 2)])
+def test_equals_all_pairs_on_odd_rows_and_near_copies(spark, blocks, take):
+    base = prose(3, 600)
+    rows = odd_rows() + [(100 + i, edited(base, i, i % 4)) for i in range(40)]
+    assert result(documents(spark, rows, "component_id"), blocks=blocks, take=take) == expected(rows)
+
+
+def test_empty_table(spark):
+    assert result(empty(spark)) == []
+    assert simhash.keep_one(empty(spark)).count() == 0
+
+
+@pytest.mark.parametrize("group_rows", [4, 10_000])
+def test_links_connect_what_all_pairs_connect(spark, group_rows):
+    rng = random.Random(5)
+    fps = {rng.getrandbits(64) for _ in range(300)}
+    for centre in list(fps)[:6]:  # chains and clouds of close fingerprints
+        at = centre
+        for _ in range(40):
+            for b in rng.sample(range(64), rng.randint(1, 5)):
+                at ^= 1 << b
+            fps.add(at)
+            if rng.random() < 0.7:
+                at = centre
+    fps = sorted(fps)
+    df = spark.createDataFrame([(signed(x),) for x in fps], "fp long")
+    found = simhash.links(df, group_rows=group_rows).collect()
+    index = {signed(x): i for i, x in enumerate(fps)}
+    assert all(((r.a ^ r.b) & (1 << 64) - 1).bit_count() <= 4 for r in found)
+    mine = union_find(len(fps), [(index[r.a], index[r.b]) for r in found])
+    every = [(i, j) for i in range(len(fps)) for j in range(i) if (fps[i] ^ fps[j]).bit_count() <= 4]
+    assert mine == union_find(len(fps), every)
+    assert len(every) > len(fps) // 2
+
+
+@pytest.mark.parametrize("blocks,take", [(3, 1), (5, 2), (7, 2)])
+def test_close_points_share_an_anchor(blocks, take):
+    rng = random.Random(blocks)
+    for positions, t in simhash.parts(blocks, take):
+        checks, flips = simhash.anchor_masks(positions, t)
+        own = sum(1 << p for p in positions)
+
+        def anchors(x):
+            syndrome = sum(((x & c).bit_count() & 1) << b for b, c in enumerate(checks))
+            return {(x & own) ^ m for m in flips[syndrome]}
+
+        for _ in range(50):
+            x = rng.getrandbits(64)
+            y = x
+            for p in rng.sample(positions, t):
+                y ^= 1 << p
+            assert anchors(x) & anchors(y)
+            assert all((a ^ (x & own)).bit_count() <= 1 + t for a in anchors(x))
+
+
+def test_four_differing_bits_are_few_in_some_part():
+    rng = random.Random(1)
+    for blocks, take in ((3, 1), (5, 2), (7, 2)):
+        cut = simhash.parts(blocks, take)
+        for _ in range(300):
+            bits = set(rng.sample(range(64), 4))
+            assert any(len(bits & set(p)) <= t for p, t in cut)
+
+
+def test_one_row_of_each_group_stays(spark):
+    rows = [r for r in odd_rows() if r[0] != 8]  # no id in two groups
+    docs = documents(spark, rows, "row_id")
+    kept = simhash.keep_one(docs)
+    assert kept.columns == docs.columns
+    components_of = {r[2] for r in expected(rows)}
+    assert sorted((r.doc_id for r in kept.collect()), key=repr) == sorted(components_of, key=repr)
+
+
+def test_components_of_paths_stars_and_random_links(spark):
+    rng = random.Random(2)
+    links = [(i, i + 1) for i in range(100)] + [(200, 201 + i) for i in range(50)]
+    links += [(300 + rng.randrange(200), 300 + rng.randrange(200)) for _ in range(120)]
+    links += [(7, 7), (1, 0), (0, 1)]
+    df = spark.createDataFrame(links, "a long, b long")
+    found = {r.node: r.component for r in components(df).collect()}
+    roots = union_find(500, links)
+    touched = {x for a, b in links if a != b for x in (a, b)}
+    assert found == {x: roots[x] for x in touched}
+    assert components(df.filter(F.lit(False))).count() == 0
