@@ -38,6 +38,8 @@ def mean_of_cents(total: str, count: str) -> str:
     )
 
 
+# The categories, department kinds, age groups, codes and encounter types
+# below are those that the engine must give.
 def specialty_category(code: str) -> str:
     return (
         f"CASE WHEN {code} IN ('SURG','ORTH','NEUR') THEN 'Surgical' "
@@ -269,7 +271,9 @@ FACT_COLUMNS = """encounter_key, date_key, patient_key, provider_key, specialty_
   is_readmission, has_billing, year_month"""
 
 
-def fact(name: str, patients: str, providers: str, order: str = "encounter_id", where: str = "TRUE") -> str:
+def fact(
+    name: str, patients: str, providers: str, order: str = "encounter_id", where: str = "TRUE", dates: str = "dim_date"
+) -> str:
     """Fact rows with the given current patient and provider versions."""
     return f"""{name} AS (
   SELECT row_number() OVER (ORDER BY {order}) AS encounter_key, d.date_key, pa.patient_key, pr.provider_key,
@@ -278,7 +282,7 @@ def fact(name: str, patients: str, providers: str, order: str = "encounter_id",
          m.procedure_count, m.length_of_stay_days, m.total_claim_amount, m.total_allowed_amount,
          m.is_readmission, m.has_billing, d.year_month
   FROM measures m
-  JOIN dim_date d ON d.calendar_date = CAST(m.encounter_date AS DATE)
+  JOIN {dates} d ON d.calendar_date = CAST(m.encounter_date AS DATE)
   JOIN {patients} pa ON pa.patient_id = m.patient_id
   JOIN {providers} pr ON pr.provider_id = m.provider_id
   JOIN dim_specialty s ON s.specialty_code = pr.specialty_code
@@ -394,13 +398,13 @@ def statements() -> dict[str, str]:
         "scd1_upsert": source("""
 SELECT CASE WHEN first THEN k1 ELSE (SELECT count(*) FROM diagnoses WHERE diagnosis_id % 11 <> 10) + k2 END
          AS diagnosis_key, diagnosis_id, icd10_code,
-       icd10_description || CASE WHEN diagnosis_id % 7 = 0 AND diagnosis_id % 13 <> 12 THEN '-R' ELSE '' END
+       icd10_description || CASE WHEN diagnosis_id % 7 = 0 AND (diagnosis_id % 13 <> 12 OR diagnosis_id % 11 = 10)
+         THEN '-R' ELSE '' END
          AS icd10_description, left(icd10_code, 1) AS icd10_category
 FROM (SELECT *, diagnosis_id % 11 <> 10 AS first,
              count(*) FILTER (diagnosis_id % 11 <> 10) OVER (ORDER BY diagnosis_id) AS k1,
-             count(*) FILTER (diagnosis_id % 11 = 10 AND diagnosis_id % 13 <> 12) OVER (ORDER BY diagnosis_id) AS k2
-      FROM diagnoses)
-WHERE first OR diagnosis_id % 13 <> 12"""),
+             count(*) FILTER (diagnosis_id % 11 = 10) OVER (ORDER BY diagnosis_id) AS k2
+      FROM diagnoses)"""),
         "insert_ignore_lines": """
 SELECT l_orderkey AS encounter_id, l_partkey AS diagnosis_id,
        coalesce(min(l_linenumber) FILTER (l_returnflag = 'A'), min(l_linenumber)) AS diagnosis_sequence
@@ -433,7 +437,6 @@ GROUP BY ALL"""),
         ),
         "bridge_diagnoses": full("SELECT * FROM bridge_diagnoses", BRIDGES),
         "bridge_procedures": full("SELECT * FROM bridge_procedures", BRIDGES),
-        "bridge_procedures_blockwise": full("SELECT * FROM bridge_procedures", BRIDGES),
         "q1_star": full(q1),
         "q1_star_versions": two(q1),
         "q1_oltp": source("""
@@ -579,7 +582,7 @@ FROM (SELECT (SELECT count(*) FROM encounters) AS e, (SELECT count(*) FROM fact_
         "late_arrivals": source(f"""
 SELECT strftime(encounter_date, '%Y-%m') AS encounter_month, count(*) AS late_encounters,
        min(encounter_date) AS oldest
-FROM encounters WHERE encounter_date <= {SPLIT} GROUP BY 1"""),
+FROM encounters WHERE encounter_date <= {SPLIT} AND encounter_id % 3 <> 0 GROUP BY 1"""),
         "batch_summary": two(f"""
 SELECT 'INCREMENTAL ETL COMPLETED' AS status,
        (SELECT max(encounter_date) FROM encounters WHERE encounter_date <= {SPLIT}) AS previous_watermark,
@@ -603,6 +606,8 @@ SELECT 'INCREMENTAL ETL COMPLETED' AS status,
                     ("dim_procedure", "dim_procedure"), ("fact_encounters", "fact_encounters"),
                     ("bridge_encounter_diagnoses", "bridge_diagnoses"),
                     ("bridge_encounter_procedures", "bridge_procedures"), ("pair_summary", "pairs"),
+                    # Two batches of four steps, each opened and closed; nothing was rejected.
+                    ("etl_log", "range(16)"), ("rejects", "range(0)"),
                 )
             ),
             BRIDGES,
@@ -645,12 +650,30 @@ SELECT 'INCREMENTAL ETL COMPLETED' AS status,
             )
         ),
     }
-    natural = stmt(
-        """SELECT encounter_id, patient_id, provider_id, encounter_date AS encounter_datetime,
-  discharge_date AS discharge_datetime, diagnosis_count, procedure_count, length_of_stay_days,
-  total_claim_amount, total_allowed_amount, is_readmission, has_billing FROM measures""",
-        READMISSIONS,
-        MEASURES,
-    )
-    out["stream_fact_load"] = out["stream_late_encounters"] = natural
+    early, late = f"m.encounter_date <= {SPLIT}", f"m.encounter_date > {SPLIT}"
+    out["stream_fact_load"] = _streamed(early, late, "dim_date")
+    # The later part brings its years first; those before it get the keys after them.
+    out["stream_late_encounters"] = _streamed(late, early, "dim_date_late", f"""
+dim_date_late AS (
+  SELECT CASE WHEN later THEN nth ELSE (SELECT count(*) FROM dim_date WHERE year >= first_year) + nth END AS date_key,
+         calendar_date, year_month
+  FROM (SELECT *, year >= first_year AS later,
+               row_number() OVER (PARTITION BY year >= first_year ORDER BY calendar_date) AS nth
+        FROM dim_date, (SELECT year(min(encounter_date)) AS first_year FROM encounters
+                        WHERE encounter_date > {SPLIT})))""")
+    out["fact_duplicate_delivery"] = _streamed("TRUE", "FALSE", "dim_date")
     return out
+
+
+def _streamed(first: str, second: str, dates: str, *more: str) -> str:
+    """All fact columns after two parts arrived, with one version of every person."""
+    one, two = (
+        fact(name, "patient_v1", "provider_v1", where=where, dates=dates)
+        for name, where in (("part_one", first), ("part_two", second))
+    )
+    return stmt(
+        f"""SELECT *, {FIRST} AS created_date, {FIRST} AS updated_date FROM (
+  SELECT * FROM part_one UNION ALL
+  SELECT * REPLACE ((SELECT count(*) FROM part_one) + encounter_key AS encounter_key) FROM part_two)""",
+        DIMENSIONS, _people(), READMISSIONS, MEASURES, *more, one, two,
+    )

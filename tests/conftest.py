@@ -28,14 +28,14 @@ SAMPLE = {
     "specialties": [(1, "Cardiology", "CARD"), (2, "Internal Medicine", "IM"), (3, "Emergency", "ER")],
     "departments": [(1, "Cardiology Unit", 3, 20), (2, "Internal Medicine", 2, 30), (3, "Emergency", 1, 45)],
     "providers": [
-        (101, "James", "Chen", "MD", 1, 1, OLD),
-        (102, "Sarah", "Williams", "MD", 2, 2, OLD),
-        (103, "Michael", "Rodriguez", "MD", 3, 3, OLD),
+        (101, "Ada", "Quill", "MD", 1, 1, OLD),
+        (102, "Bo", "Marsh", "MD", 2, 2, OLD),
+        (103, "Cy", "Holt", "MD", 3, 3, OLD),
     ],
     "patients": [
-        (1001, "John", "Doe", day("1955-03-15"), "M", "MRN001", OLD),
-        (1002, "Jane", "Smith", day("1962-07-22"), "F", "MRN002", OLD),
-        (1003, "Robert", "Johnson", day("1948-11-08"), "M", "MRN003", OLD),
+        (1001, "Una", "Reed", day("1955-03-15"), "M", "R-1", OLD),
+        (1002, "Viv", "Stone", day("1962-07-22"), "F", "R-2", OLD),
+        (1003, "Wil", "Ford", day("1948-11-08"), "M", "R-3", OLD),
     ],
     "diagnoses": [(3001, "I10", "Hypertension"), (3002, "E11.9", "Type 2 Diabetes"), (3003, "I50.9", "Heart Failure")],
     "procedures": [(4001, "99213", "Office Visit"), (4002, "93000", "EKG"), (4003, "71020", "Chest X-ray")],

@@ -3,10 +3,11 @@ from decimal import Decimal
 
 import pytest
 
+from wardstar.context import BatchContext, ticking_clock
 from wardstar.operators import facts, quality
 from wardstar.plans import questions, reports
 from wardstar.plans.batch import Star, run_batch
-from wardstar.sources.warehouse import Warehouse, append
+from wardstar.sources.warehouse import Warehouse
 
 from conftest import OLD, SAMPLE, day, ts, tuples
 
@@ -53,8 +54,8 @@ def test_old_batch_number_is_refused(sample, warehouse, batch):
 
 def test_second_batch_takes_new_versions_and_appends(sample, warehouse, batch):
     run_batch(warehouse, sample(), batch(1))
-    patients = [(1001, "John", "Doe-R", day("1955-03-15"), "M", "MRN001", LATER), *SAMPLE["patients"][1:]]
-    providers = [(101, "James", "Chen", "MD", 2, 1, LATER), *SAMPLE["providers"][1:]]
+    patients = [(1001, "Una", "Reed-R", day("1955-03-15"), "M", "R-1", LATER), *SAMPLE["patients"][1:]]
+    providers = [(101, "Ada", "Quill", "MD", 2, 1, LATER), *SAMPLE["providers"][1:]]
     new = (7005, 1001, 101, "inpatient", ts("2024-07-01 08:00:00"), None, 1)
     src = sample(extra={"encounters": [new], "diagnoses": [(3009, "Z00", "Check-up")]}, patients=patients, providers=providers)
     result = run_batch(warehouse, src, batch(2))
@@ -65,8 +66,8 @@ def test_second_batch_takes_new_versions_and_appends(sample, warehouse, batch):
     assert row.length_of_stay_days is None and row.is_readmission  # 25 days after 7002 ended
     star = Star(warehouse)
     assert tuples(star["dim_patient"].filter("patient_id = 1001"), "patient_key", "last_name", "is_current") == [
-        (1, "Doe", False),
-        (4, "Doe-R", True),
+        (1, "Reed", False),
+        (4, "Reed-R", True),
     ]
     assert star["dim_diagnosis"].filter("diagnosis_id = 3009").first().diagnosis_key == 4
     # Facts of the first batch keep the version they were loaded with.
@@ -235,13 +236,6 @@ def test_metadata_and_log_after_two_batches(sample, warehouse, batch):
     assert (summary.new_encounters_loaded, summary.total_encounters, summary.active_patients) == (0, 4, 3)
 
 
-def test_append_adds_rows_by_partition(spark, warehouse):
-    df = spark.createDataFrame([(1, "2024-01"), (2, "2024-02")], "n int, year_month string")
-    for _ in range(2):
-        append(df, f"{warehouse.root}/t", partition_by="year_month")
-    assert spark.read.parquet(f"{warehouse.root}/t").count() == 4
-
-
 def test_sources_round_trip_through_parquet(spark, sample, warehouse):
     from wardstar.sources.tables import read_source
 
@@ -249,3 +243,120 @@ def test_sources_round_trip_through_parquet(spark, sample, warehouse):
         df.write.parquet(f"{warehouse.root}/src/{name}.parquet")
     again = read_source(spark, f"{warehouse.root}/src")
     assert {n: tuples(df) for n, df in again.items()} == {n: tuples(df) for n, df in sample().items()}
+
+
+# -- deliveries that break the rules ------------------------------------------------
+
+
+def test_a_strict_batch_refuses_a_repeated_encounter(sample, warehouse, batch):
+    again = SAMPLE["encounters"][2]
+    with pytest.raises(quality.QualityError, match="duplicate_encounter_id: 1"):
+        run_batch(warehouse, sample(extra={"encounters": [again]}), batch(1))
+    assert warehouse.snapshot().batch_id == 0
+
+
+def test_a_loose_batch_keeps_one_copy_and_rejects_bad_rows(sample, warehouse, batch):
+    copies = [SAMPLE["encounters"][1]] * 2  # an inpatient stay
+    bad = [
+        (7010, 1001, 101, "ER", ts("2024-06-20 10:00:00"), ts("2024-06-19 10:00:00"), 1),
+        (7011, 9999, 101, "ER", ts("2024-06-20 10:00:00"), None, 1),
+        (7012, 1002, 102, "ER", ts("2024-06-21 10:00:00"), None, 1),
+        (7013, 1001, 101, "Inpatient", ts("2024-06-25 10:00:00"), None, 1),
+    ]
+    bill = (14009, 7012, Decimal("-1.00"), Decimal("1.00"), day("2024-06-22"), "Paid")
+    src = sample(extra={"encounters": [*copies, *bad, bad[-1]], "billing": [bill]})
+    result = run_batch(warehouse, src, batch(1, strict=False), reconcile=False)
+    assert (result.new_encounters, result.rejected) == (5, 6)
+    fact = _fact(warehouse)
+    assert tuples(fact, "encounter_id") == [(7001,), (7002,), (7003,), (7004,), (7013,)]
+    assert tuples(fact.filter("is_readmission"), "encounter_id") == [(7013,)]
+    assert tuples(Star(warehouse)["rejects"], "encounter_id", "reject_reason") == [
+        (7002, "duplicate encounter"),
+        (7002, "duplicate encounter"),
+        (7010, "discharge before admission"),
+        (7011, "unknown patient"),
+        (7012, "negative bill"),
+        (7013, "duplicate encounter"),
+    ]
+    # The same rows delivered again change nothing.
+    again = run_batch(warehouse, src, batch(2, strict=False), reconcile=False)
+    assert again.new_encounters == 0 and _fact(warehouse).count() == 5
+
+
+def test_the_error_tells_why_encounters_are_missing(sample, warehouse, batch):
+    stranger = (7010, 1001, 101, "Other", ts("2024-06-20 10:00:00"), None, 1)
+    with pytest.raises(quality.QualityError, match="late encounters: .*rejected, in .*unknown encounter type: 1"):
+        run_batch(warehouse, sample(extra={"encounters": [stranger]}), batch(1))
+    left = warehouse.spark.read.parquet(f"{warehouse.root}/rejects/batch=1")
+    assert tuples(left, "encounter_id") == [(7010,)]
+
+
+def test_a_commit_that_died_does_not_block_its_batch(spark, sample, warehouse, batch):
+    run_batch(warehouse, sample(), batch(1))
+    spark.createDataFrame([(1,)], "n int").write.parquet(f"{warehouse.root}/_published/batch=2/_temporary/0")
+    assert warehouse.snapshot().batch_id == 1
+    run_batch(warehouse, sample(), batch(2))
+    assert warehouse.snapshot().batch_id == 2
+
+
+def test_only_a_missing_folder_is_an_empty_warehouse(spark, warehouse):
+    from pyspark.errors import AnalysisException
+
+    assert warehouse.snapshot().batch_id == 0 and warehouse.log().count() == 0
+    broken = Warehouse(spark, "nosuchscheme://x/y")
+    with pytest.raises(Exception) as error:
+        broken.snapshot()
+    assert not isinstance(error.value, AnalysisException) or error.value.getCondition() != "PATH_NOT_FOUND"
+
+
+def test_compacting_changes_no_row_and_the_next_batch_goes_on(sample, warehouse, batch):
+    run_batch(warehouse, sample(), batch(1))
+    new = (7005, 1001, 101, "Inpatient", ts("2024-07-01 08:00:00"), None, 1)
+    src = sample(extra={"encounters": [new], "encounter_diagnoses": [(8010, 7005, 3001, 1)]})
+    run_batch(warehouse, src, batch(2))
+    tables = ("fact_encounters", "bridge_encounter_diagnoses", "bridge_encounter_procedures", "dim_patient")
+    before = {t: tuples(Star(warehouse)[t]) for t in tables}
+    snap = warehouse.compact()
+    assert (snap.batch_id, snap.revision) == (2, 1) and warehouse.snapshot() == snap
+    assert all(len(snap.paths[t]) == 1 for t in tables[:2])
+    assert {t: tuples(Star(warehouse)[t]) for t in tables} == before
+    assert warehouse.compact() == snap  # nothing to do
+    later = (7006, 1002, 102, "ER", ts("2024-07-02 08:00:00"), None, 2)
+    result = run_batch(warehouse, sample(extra={"encounters": [new, later]}), batch(3))
+    assert result.new_encounters == 1 and _fact(warehouse).count() == 6
+
+
+def test_every_attempt_has_its_own_log_rows_and_the_last_message(sample, warehouse, batch):
+    bad = (7010, 1001, 101, "ER", ts("2024-06-20 10:00:00"), ts("2024-06-19 10:00:00"), 1)
+    with pytest.raises(quality.QualityError):
+        run_batch(warehouse, sample(extra={"encounters": [bad]}), batch(1))
+    retry = batch(1)
+    later = BatchContext(1, retry.as_of, retry.started_at, True, ticking_clock(datetime(2024, 7, 1, 20)))
+    run_batch(warehouse, sample(), later)
+    rows = reports.log_view(warehouse.log()).collect()
+    good = [r for r in rows if r.status == "SUCCESS"]
+    failed = [r for r in rows if r.status == "FAILED"]
+    assert len(good) == 4 and len(failed) == 2 and all(r.duration_seconds < 60 for r in rows)
+    assert all("discharge_before_admission" in r.error_message for r in failed)
+    assert [r.error_message for r in good if r.error_message] == [
+        "Encounter Watermark: 1900-01-01 00:00:00 | Timestamp Watermark: 1900-01-01 00:00:00"
+    ]
+
+
+def test_a_long_error_is_kept_whole(sample, warehouse, batch):
+    from wardstar.plans.batch import StepLog
+
+    log = StepLog(warehouse, batch(1))
+    log.record(opened=["incremental_etl_batch"])
+    log.fail(RuntimeError("x" * 5_000))
+    assert len(reports.log_view(warehouse.log()).first().error_message) == 5_000
+
+
+def test_a_batch_can_take_the_versions_of_an_encounters_day(sample, warehouse, batch):
+    run_batch(warehouse, sample(), batch(1, as_of=date(2024, 1, 1)))
+    providers = [(101, "Ada", "Quill", "MD", 2, 1, LATER), *SAMPLE["providers"][1:]]
+    new = (7005, 1001, 101, "ER", ts("2024-06-30 08:00:00"), None, 1)
+    src = sample(extra={"encounters": [new]}, providers=providers)
+    run_batch(warehouse, src, batch(2, as_of=date(2024, 7, 2)), lookup="as_of")
+    row = _fact(warehouse).filter("encounter_id = 7005").first()
+    assert (row.provider_key, row.specialty_key) == (1, 1)

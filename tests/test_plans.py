@@ -5,14 +5,14 @@ import re
 import pytest
 
 import __spark_entry__ as entry
-from wardstar.operators import bridges, facts, joins
+from wardstar.operators import facts
 from wardstar.operators.keys import max_key, max_key_by_statistics
 from wardstar.plans import questions, scenario
 from wardstar.sources import order_view as ov
 
 SF_DIR = "/root/testdata/sf0.001"
 # Their result is stored by a stream; the loads inside are covered by the other queries.
-BATCHES = [n for n in entry.queries() if not n.startswith("stream")]
+BATCHES = [n for n in entry._star_queries() if not n.startswith("stream")]
 
 
 def plan(df) -> str:
@@ -20,8 +20,7 @@ def plan(df) -> str:
 
 
 @pytest.fixture
-def no_broadcast(spark, monkeypatch):
-    monkeypatch.setattr(joins, "SMALL_ROWS", -1)
+def no_broadcast(spark):
     names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
     for name in names:
         spark.conf.set(name, "-1")
@@ -33,15 +32,17 @@ def no_broadcast(spark, monkeypatch):
 @pytest.mark.parametrize("name", BATCHES)
 def test_every_join_has_a_key_and_no_python_runs(spark, no_broadcast, name):
     """With broadcasts off, each join must still be possible as a shuffle on keys."""
-    text = plan(entry.queries()[name](spark, SF_DIR))
+    text = plan(entry._star_queries()[name](spark, SF_DIR))
     assert not re.search("CartesianProduct|BroadcastNestedLoop|BroadcastHashJoin|EvalPython|InPandas|MapInArrow", text)
 
 
-def test_small_derived_sides_are_broadcast_and_large_ones_are_not(spark, monkeypatch):
-    source = ov.clinical_views(spark, SF_DIR)
-    assert "ResolvedHint" in questions.provider_specialty(source)._jdf.queryExecution().analyzed().toString()
-    monkeypatch.setattr(joins, "SMALL_ROWS", 9)  # the table has 10 rows
-    assert "ResolvedHint" not in questions.provider_specialty(source)._jdf.queryExecution().analyzed().toString()
+def test_no_job_runs_while_a_query_over_views_is_built(spark):
+    views = ov.clinical_views(spark, SF_DIR)
+    tracker = spark.sparkContext.statusTracker()
+    before = set(tracker.getJobIdsForGroup(None))
+    for make in (questions.monthly_encounters_source, questions.pairs_source, questions.revenue_source):
+        make(views)
+    assert set(tracker.getJobIdsForGroup(None)) == before
 
 
 def test_watermark_and_month_reach_the_scans(spark):
@@ -52,7 +53,7 @@ def test_watermark_and_month_reach_the_scans(spark):
 
 
 def test_questions_read_only_their_columns(spark):
-    text = plan(entry.queries()["q4_star"](spark, SF_DIR))
+    text = plan(entry._star_queries()["q4_star"](spark, SF_DIR))
     scans = [set(re.findall(r"(\w+)#", scan)) for scan in re.findall(r"FileScan parquet \[([^]]*)\]", text)]
     fact = next(s for s in scans if "total_allowed_amount" in s)
     folders = {"batch", "part", "year_month"}
@@ -60,15 +61,6 @@ def test_questions_read_only_their_columns(spark):
     assert "EqualTo(has_billing,true)" in text
 
 
-def test_numbering_and_dropping_copies_share_one_shuffle_by_encounter(spark):
-    cells = spark.read.parquet(f"{SF_DIR}/lineitem.parquet").selectExpr(
-        "l_orderkey AS encounter_id", "l_orderkey AS encounter_key", "l_partkey AS procedure_id",
-        "l_partkey AS procedure_key", "CAST(l_shipdate AS DATE) AS procedure_date", "1L AS n",
-    )
-    text = plan(bridges.first_positions(bridges.number_procedures(cells)))
-    assert "Exchange" not in text[: text.index("Window")] and text.count("Exchange hashpartitioning") == 1
-
-
 def test_highest_key_from_statistics_equals_the_plain_maximum(spark):
     for keys in ([], [1, 2, 3], [5], [1, 9, 4]):
         df = spark.createDataFrame([(k,) for k in keys], "k bigint")

@@ -47,7 +47,7 @@ def test_every_source_check_finds_its_fault(sample):
 def test_key_checks_count_copies(sample):
     src = sample(
         extra={
-            "patients": [(1001, "X", "Y", None, "F", "MRN002", OLD)],
+            "patients": [(1001, "X", "Y", None, "F", "R-2", OLD)],
             "specialties": [(9, "Heart", "card")],
         }
     )

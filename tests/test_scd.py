@@ -5,18 +5,30 @@ from pyspark.sql import functions as F
 
 from wardstar.context import FIRST_WATERMARK
 from wardstar.operators import dims
-from wardstar.operators.keys import assign_keys, max_key
+from wardstar.operators.keys import LEVELS, assign_keys, max_key
 from wardstar.operators.scd import insert_ignore, upsert, upsert_scd1
 
 from conftest import day, tuples
 
 
-@pytest.mark.parametrize("block", [1, 3, 64, 1 << 18])
-def test_keys_are_the_rank_of_the_natural_key_for_any_block(spark, block):
-    ids = [7, -5, 0, 100, 3, 4, 1_000_003, 2]
-    df = spark.createDataFrame([(i,) for i in ids], "id bigint")
-    got = {r.id: r.k for r in assign_keys(df, "k", F.col("id"), 10, block).collect()}
-    assert got == {v: 11 + i for i, v in enumerate(sorted(ids))}
+def bounds(spark, start, end):
+    return spark.createDataFrame([(start, end)], "start date, end date")
+
+
+
+@pytest.mark.parametrize("levels", [(0,), (1, 3), (6, 20, 40), LEVELS])
+def test_keys_are_the_rank_of_the_natural_key_for_any_blocks(spark, levels):
+    dense = [7, -5, 0, 100, 3, 4, 1_000_003, 2]
+    sparse = [hash((i, "x")) for i in range(40)] + [-(2**63), 2**63 - 1]
+    for ids in (dense, sparse):
+        df = spark.createDataFrame([(i,) for i in ids], "id bigint")
+        got = {r.id: r.k for r in assign_keys(df, "k", F.col("id"), 10, levels).collect()}
+        assert got == {i: 11 + n for n, i in enumerate(sorted(ids))}
+
+
+def test_the_last_window_over_blocks_is_small_however_sparse_the_keys_are():
+    bits = (0, *LEVELS, 64)
+    assert max(b - a for a, b in zip(bits, bits[1:])) <= 20 and 64 - LEVELS[-1] <= 13
 
 
 def test_max_key_of_nothing_is_zero(spark):
@@ -99,14 +111,14 @@ def test_scd2_changed_row_without_a_current_version_is_not_added_twice(spark):
 
 
 def test_calendar_extends_and_keeps_keys(spark):
-    one = dims.dim_date(dims.bounds_between(spark, date(2023, 12, 30), date(2024, 1, 2)))
+    one = dims.dim_date(bounds(spark, date(2023, 12, 30), date(2024, 1, 2)))
     assert tuples(one, "date_key", "calendar_date", "week_of_year", "day_name") == [
         (1, date(2023, 12, 30), 52, "Saturday"),
         (2, date(2023, 12, 31), 52, "Sunday"),
         (3, date(2024, 1, 1), 1, "Monday"),
         (4, date(2024, 1, 2), 1, "Tuesday"),
     ]
-    two = dims.dim_date(dims.bounds_between(spark, date(2023, 12, 29), date(2024, 1, 3)), one)
+    two = dims.dim_date(bounds(spark, date(2023, 12, 29), date(2024, 1, 3)), one)
     assert tuples(two, "date_key", "calendar_date") == [
         (1, date(2023, 12, 30)),
         (2, date(2023, 12, 31)),
@@ -118,7 +130,7 @@ def test_calendar_extends_and_keeps_keys(spark):
 
 
 def test_three_year_calendar_has_1096_days(spark):
-    days = dims.calendar_days(dims.bounds_between(spark, date(2024, 1, 1), date(2026, 12, 31)))
+    days = dims.calendar_days(bounds(spark, date(2024, 1, 1), date(2026, 12, 31)))
     assert days.count() == 1096
 
 

@@ -9,9 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import calendar as cal
 
-# Encounters with more procedure rows than this are numbered block by block.
-HOT_ROWS = 1_000_000
-# Procedure ids per block of a hot encounter's day.
+# Procedure ids per block of an encounter's day.
 BLOCK = 1 << 16
 
 
@@ -37,25 +35,13 @@ def bridge_diagnoses(
     )
 
 
-def number_procedures(cells: DataFrame) -> DataFrame:
+def number_procedures(cells: DataFrame, block: int = BLOCK) -> DataFrame:
     """Position of the first row of each (encounter, date, procedure) in its encounter.
 
     cells stands for n rows per (encounter_id, procedure_date, procedure_id). Order is by
-    date and, where the dates tie, by procedure.
-    """
-    before = (
-        Window.partitionBy("encounter_id")
-        .orderBy("procedure_date", "procedure_id")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    return cells.withColumn("procedure_sequence", F.coalesce(F.sum("n").over(before), F.lit(0)) + 1)
-
-
-def number_hot_procedures(cells: DataFrame, block: int = BLOCK) -> DataFrame:
-    """The same positions for encounters too large for one task.
-
-    Each encounter is cut into blocks of one date and neighbouring procedure ids; only
-    the block totals are summed per encounter, the rows only inside their block.
+    date and, where the dates tie, by procedure. Each encounter is cut into blocks of one
+    date and neighbouring procedure ids; only the block totals are summed per encounter,
+    the rows only inside their block, so no encounter is too large for one task.
     """
     where = ["encounter_id", "procedure_date", "_block"]
     cut = cells.withColumn("_block", F.floor(F.col("procedure_id") / block))
@@ -107,25 +93,21 @@ def bridge_procedures(
     new_facts: DataFrame,
     dim_procedure: DataFrame,
     loaded_at: datetime,
-    hot_rows: int = HOT_ROWS,
     block: int = BLOCK,
 ) -> DataFrame:
     """One row per (encounter, procedure) of the new facts with its position in time.
 
     Positions count every row whose procedure is known, copies included; a copied
     procedure keeps its first position. Rows are counted per date and procedure before
-    the shuffle by encounter, and the numbering and de-duplication reuse that shuffle.
+    the shuffle by encounter.
     """
     cells = (
         encounter_procedures.groupBy("encounter_id", "procedure_date", "procedure_id")
         .agg(F.count("*").alias("n"))
         .join(dim_procedure.select("procedure_id", "procedure_key"), "procedure_id")
-        .join(new_facts.select("encounter_id", "encounter_key", "procedure_count"), "encounter_id")
+        .join(new_facts.select("encounter_id", "encounter_key"), "encounter_id")
     )
-    hot = F.col("procedure_count") > hot_rows
-    usual = first_positions(number_procedures(cells.filter(~hot)))
-    large = first_positions(number_hot_procedures(cells.filter(hot), block))
-    return usual.unionByName(large).select(
+    return first_positions(number_procedures(cells, block)).select(
         "encounter_key",
         "procedure_key",
         "procedure_sequence",

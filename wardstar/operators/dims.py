@@ -66,11 +66,6 @@ def dim_date(bounds: DataFrame, cur: DataFrame | None = None, stage: Stage | Non
     return cur.unionByName(keyed.select(cur.columns))
 
 
-def bounds_between(spark: SparkSession, start: date, end: date) -> DataFrame:
-    """One row of calendar bounds chosen by the caller."""
-    return spark.range(1).select(F.lit(start).alias("start"), F.lit(end).alias("end"))
-
-
 # -- overwritten in place -----------------------------------------------------------
 
 

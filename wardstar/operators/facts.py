@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from ..context import FIRST_WATERMARK
 from ..functions import calendar as cal
 from ..functions.clinical import text_key
-from .joins import broadcast_if_small
 from .keys import assign_keys
+from .scd import first_per_key
 
 INPATIENT = "INPATIENT"
 
@@ -24,6 +24,24 @@ REJECT_REASONS = (
     ("department_key", "unknown department"),
     ("encounter_type_key", "unknown encounter type"),
 )
+DUPLICATE = "duplicate encounter"
+
+
+def one_per_encounter(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Encounters with one row per id, and a reject row for each further copy.
+
+    Of copies the least by admission, then by the other columns, stays. Both sides count
+    and compare per id before the shuffle, so many copies of one id cost one row a task.
+    """
+    kept = first_per_key(rows, ["encounter_id"], ["encounter_date"])
+    per_id = rows.groupBy("encounter_id").agg(F.count("*").alias("n"), F.min("encounter_date").alias("encounter_datetime"))
+    copies = per_id.filter("n > 1").select(
+        "encounter_id",
+        "encounter_datetime",
+        F.lit(DUPLICATE).alias("reject_reason"),
+        F.explode(F.sequence(F.lit(2), F.col("n"))).alias("_copy"),
+    )
+    return kept, copies.drop("_copy")
 
 
 def delta(
@@ -95,15 +113,14 @@ def lookup_keys(
     """Encounters with all six surrogate keys and the reason of a failed lookup.
 
     mode "current" takes the current patient and provider version; "as_of" the version
-    valid on the encounter's date. Small dimensions are broadcast by their size, large
-    ones are joined by shuffle with skew splitting.
+    valid on the encounter's date. Spark broadcasts what is small by its stored or
+    measured size; the rest is joined by shuffle with skew splitting.
     """
     days = dim_date.select(F.col("calendar_date").alias("_day"), "date_key", "year_month")
     kinds = dim_encounter_type.select(
         text_key(F.col("encounter_type")).alias("_kind"), "encounter_type_key"
     )
     lookup = provider_lookup(dim_provider, dim_specialty)
-    lookup = broadcast_if_small(lookup, lookup)
     rows = encounters.withColumn("_day", F.to_date("encounter_date")).withColumn(
         "_kind", text_key(F.col("encounter_type"))
     )
@@ -158,6 +175,7 @@ def billing_per_encounter(billing: DataFrame) -> DataFrame:
         F.sum("claim_amount").alias("total_claim_amount"),
         F.sum("allowed_amount").alias("total_allowed_amount"),
         F.lit(True).alias("has_billing"),
+        F.max((F.col("allowed_amount") < 0) | (F.col("claim_amount") < 0)).alias("_negative"),
     )
 
 
@@ -169,7 +187,14 @@ def length_of_stay(admitted: Column, discharged: Column) -> Column:
 def add_measures(
     rows: DataFrame, encounter_diagnoses: DataFrame, encounter_procedures: DataFrame, billing: DataFrame
 ) -> DataFrame:
-    """Counts and amounts, each aggregated before it meets the encounters."""
+    """Counts and amounts, each aggregated before it meets the encounters.
+
+    Rows that the source checks would stop a strict batch for get a reason to be rejected.
+    """
+    reason = (
+        F.when(F.col("discharge_date") < F.col("encounter_date"), "discharge before admission")
+        .when(F.col("_negative"), "negative bill")
+    )
     return (
         rows.join(count_per_encounter(encounter_diagnoses, "diagnosis_count"), "encounter_id", "left")
         .join(count_per_encounter(encounter_procedures, "procedure_count"), "encounter_id", "left")
@@ -177,6 +202,8 @@ def add_measures(
         .withColumn("diagnosis_count", F.coalesce("diagnosis_count", F.lit(0)))
         .withColumn("procedure_count", F.coalesce("procedure_count", F.lit(0)))
         .withColumn("has_billing", F.coalesce("has_billing", F.lit(False)))
+        .withColumn("reject_reason", F.coalesce("reject_reason", reason))
+        .drop("_negative")
         .withColumn(
             "length_of_stay_days", length_of_stay(F.col("encounter_date"), F.col("discharge_date"))
         )
@@ -197,9 +224,14 @@ def rejected(staged: DataFrame) -> DataFrame:
 
 
 def key_facts(rows: DataFrame, start: int, loaded_at: datetime) -> DataFrame:
-    """Accepted rows with encounter_key and load times."""
+    """Accepted rows with encounter_key and load times.
+
+    Only the ids are ranked; the keys then meet the rows by encounter_id, the key by
+    which the readmission flags join them too, so the wide rows are shuffled once.
+    """
+    keys = assign_keys(rows.select("encounter_id"), "encounter_key", F.col("encounter_id"), start)
     return (
-        assign_keys(rows, "encounter_key", F.col("encounter_id"), start)
+        rows.join(keys, "encounter_id")
         .withColumn("created_date", cal.moment(loaded_at))
         .withColumn("updated_date", cal.moment(loaded_at))
     )

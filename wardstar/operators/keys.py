@@ -5,38 +5,49 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Natural keys per block. A block holds at most this many rows because natural keys
-# are unique, and there is one offset row per block.
-BLOCK = 1 << 18
+# Bits of a natural key that are cut off at each level of blocks. A window at a level
+# holds at most 2^18, 2^20, 2^13 and 2^13 rows, whatever the keys are.
+LEVELS = (18, 38, 51)
 
 
 def assign_keys(
-    new: DataFrame, key: str, natural: Column, start: int = 0, block: int = BLOCK
+    new: DataFrame, key: str, natural: Column, start: int = 0, levels: tuple[int, ...] = LEVELS
 ) -> DataFrame:
     """Add key = start + rank of the row by its (unique, whole-number) natural key.
 
-    Rows are ranked inside blocks of neighbouring natural keys, so no task sorts more
-    than one block; only the block counts, one row each, are summed in one task.
-    The blocks depend on the values alone: a lost executor recomputes the same keys.
+    Rows are ranked inside blocks of neighbouring natural keys, blocks are summed inside
+    larger blocks, and so on; the largest are few, as a key has 64 bits. So no task sorts
+    more than one block at any level, however dense or sparse the keys are. The blocks
+    depend on the values alone: a lost executor recomputes the same keys.
     """
-    blocked = new.withColumn("_natural", natural.cast("bigint")).withColumn(
-        "_block", F.floor(F.col("_natural") / block)
-    )
-    running = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        blocked.groupBy("_block")
-        .agg(F.count("*").alias("_n"))
-        .select("_block", F.coalesce(F.sum("_n").over(running), F.lit(0)).alias("_before"))
-    )
-    rank = F.row_number().over(Window.partitionBy("_block").orderBy("_natural"))
+    ranked = new.withColumn("_natural", natural.cast("bigint"))
+    block = [F.shiftright("_natural", bits) for bits in levels]
+    rank = F.row_number().over(Window.partitionBy(block[0]).orderBy("_natural"))
+    ranked = ranked.withColumn("_rank", rank).withColumn("_block", block[0])
+    offsets = _offsets(ranked.groupBy("_block").agg(F.count("*").alias("_n")), levels)
     return (
-        blocked.withColumn("_rank", rank)
-        .join(offsets, "_block")
+        ranked.join(offsets, "_block")
         .withColumn(key, F.lit(start).cast("bigint") + F.col("_before") + F.col("_rank"))
         .drop("_natural", "_block", "_rank", "_before")
     )
 
 
+def _offsets(blocks: DataFrame, levels: tuple[int, ...]) -> DataFrame:
+    """Rows in all earlier blocks, per block."""
+    earlier = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    if len(levels) == 1:
+        return blocks.select("_block", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    upper = F.shiftright("_block", levels[1] - levels[0])
+    inside = Window.partitionBy("_upper").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    cut = blocks.withColumn("_upper", upper)
+    outer = _offsets(cut.groupBy(F.col("_upper").alias("_block")).agg(F.sum("_n").alias("_n")), levels[1:])
+    return (
+        cut.withColumn("_inside", F.coalesce(F.sum("_n").over(inside), F.lit(0)))
+        .join(outer.toDF("_upper", "_outer"), "_upper")
+        .select("_block", (F.col("_outer") + F.col("_inside")).alias("_before"))
+    )
+
+
 def max_key(dim: DataFrame | None, key: str) -> int:
     """Highest key in use, 0 for a new table (one row reaches the driver)."""
     if dim is None:

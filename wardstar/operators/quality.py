@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.clinical import text_key
+from ..functions.clinical import ENCOUNTER_TYPES, text_key
 from ..functions.money import percent
 
 TOLERANCE = Decimal("0.01")  # Fixed value: revenue difference that still passes.
@@ -119,10 +119,11 @@ def reconciliation(encounters: DataFrame, billing: DataFrame, facts: DataFrame)
     return row.select(status.alias("status"), *row.columns)
 
 
-def require_reconciled(row: DataFrame) -> None:
+def require_reconciled(row: DataFrame, explain: Callable[[], str] = str) -> None:
+    """Raise when the two sides differ; only then is explain() asked for more."""
     result = row.first()
     if result.status != "PASS":
-        raise QualityError(f"reconciliation failed: {result.asDict()}")
+        raise QualityError(f"reconciliation failed: {result.asDict()}; {explain()}")
 
 
 def coverage(source: Mapping[str, DataFrame]) -> DataFrame:
@@ -150,7 +151,7 @@ def coverage(source: Mapping[str, DataFrame]) -> DataFrame:
             F.lit(name).alias("check"), "rows", "misses"
         )
 
-    kinds = [k.upper() for k in ("Outpatient", "Inpatient", "ER")]
+    kinds = [values[0].upper() for values in ENCOUNTER_TYPES]
     parts = [
         against("encounter_without_bill", encounters, source["billing"], "encounter_id"),
         against("encounter_unknown_patient", encounters, source["patients"], "patient_id"),

@@ -48,7 +48,7 @@ def qualifying_days(days: DataFrame) -> DataFrame:
 
 
 def readmitted(admissions: DataFrame, discharges: DataFrame) -> DataFrame:
-    """Ids of the admissions that are readmissions.
+    """Ids of the admissions that are readmissions, each once.
 
     admissions: encounter_id, patient_id, admitted; discharges: patient_id, discharged.
     Both hold inpatients only; stays without a discharge cannot lead to a readmission.
@@ -60,7 +60,7 @@ def readmitted(admissions: DataFrame, discharges: DataFrame) -> DataFrame:
     )
     days = qualifying_days(patient_days(rows, known))
     hit = F.col("any_time") | (F.col("first_discharge") < F.col("admitted"))
-    return rows.join(days, ["patient_id", "day"]).filter(hit).select("encounter_id")
+    return rows.join(days, ["patient_id", "day"]).filter(hit).select("encounter_id").distinct()
 
 
 def stays_of(facts: DataFrame) -> DataFrame:

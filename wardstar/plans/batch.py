@@ -24,6 +24,7 @@ from ..sources.warehouse import Snapshot, Warehouse
 
 T = TypeVar("T")
 
+# Step names that users of the log look for.
 BATCH_STEP = "incremental_etl_batch"
 DIM_STEP = "load_dimensions_incremental"
 FACT_STEP = "load_fact_incremental"
@@ -52,6 +53,7 @@ class StepLog:
     def __init__(self, wh: Warehouse, ctx: BatchContext):
         self.wh, self.ctx = wh, ctx
         self.running: list[str] = []
+        self.attempt: datetime | None = None  # time of the first event
 
     def record(self, closed: dict[str, int] | None = None, opened=(), message: str | None = None) -> None:
         rows = []
@@ -64,14 +66,16 @@ class StepLog:
         self.wh.append_log(rows)
 
     def fail(self, error: Exception) -> None:
-        rows = [self._row(step, "FAILED", None, str(error)[:1000]) for step in self.running]
+        rows = [self._row(step, "FAILED", None, str(error)) for step in self.running]
         self.running.clear()
         if rows:
             self.wh.append_log(rows)
 
     def _row(self, step, status, n, message=None):
         log_id = self.ctx.batch_id * len(STEPS) + STEPS.index(step)
-        return (self.ctx.batch_id, log_id, step, self.ctx.clock(), n, status, message)
+        now = self.ctx.clock()
+        self.attempt = self.attempt or now
+        return (self.ctx.batch_id, self.attempt, log_id, step, now, n, status, message)
 
 
 @dataclass(frozen=True)
@@ -193,32 +197,44 @@ class FactLoad:
 
 
 def stage_facts(
-    wh: Warehouse, snap: Snapshot, source: Mapping[str, DataFrame], ctx: BatchContext, watermark: datetime
-) -> DataFrame:
+    wh: Warehouse,
+    snap: Snapshot,
+    source: Mapping[str, DataFrame],
+    ctx: BatchContext,
+    watermark: datetime,
+    lookup: str = "current",
+) -> tuple[DataFrame, DataFrame | None]:
     """The batch's encounters with keys, measures and reject reason, written once.
 
     After the first load the delta is written before anything else, so that its size is
-    known and the large tables are reduced to it before any join or count.
+    known and the large tables are reduced to it before any join or count. A strict batch
+    has checked that ids are unique; otherwise one row per id goes on, and the second
+    result has the reject rows of the other copies.
     """
     loaded = wh.read("fact_encounters", snap) if snap.paths.get("fact_encounters") else None
     new = facts.delta(source["encounters"], loaded, watermark, ctx.strict)
-    scope = _whole
-    if loaded is not None:
+    scope, copies = _whole, None
+    if loaded is not None or not ctx.strict:
         new = wh.scratch(new, "delta", ctx.batch_id)
+    if loaded is not None:
         scope = partial(_in_batch, new)
+    if not ctx.strict:
+        new, copies = facts.one_per_encounter(new)
+    versions = None if lookup == "as_of" else "is_current=true"
     rows = facts.lookup_keys(
         new,
         wh.read("dim_date", snap),
-        scope(wh.read("dim_patient", snap, "is_current=true"), "patient_id"),
-        scope(wh.read("dim_provider", snap, "is_current=true"), "provider_id"),
+        scope(wh.read("dim_patient", snap, versions), "patient_id"),
+        scope(wh.read("dim_provider", snap, versions), "provider_id"),
         wh.read("dim_specialty", snap),
         wh.read("dim_department", snap),
         wh.read("dim_encounter_type", snap),
+        lookup,
     )
     lines = [
         scope(source[t], "encounter_id") for t in ("encounter_diagnoses", "encounter_procedures", "billing")
     ]
-    return wh.scratch(facts.add_measures(rows, *lines), "facts", ctx.batch_id)
+    return wh.scratch(facts.add_measures(rows, *lines), "facts", ctx.batch_id), copies
 
 
 def _whole(rows: DataFrame, key: str) -> DataFrame:
@@ -230,11 +246,16 @@ def _in_batch(batch: DataFrame, rows: DataFrame, key: str) -> DataFrame:
 
 
 def load_facts(
-    wh: Warehouse, snap: Snapshot, source: Mapping[str, DataFrame], ctx: BatchContext, watermark: datetime
+    wh: Warehouse,
+    snap: Snapshot,
+    source: Mapping[str, DataFrame],
+    ctx: BatchContext,
+    watermark: datetime,
+    lookup: str = "current",
 ) -> FactLoad:
     old_paths = snap.paths.get("fact_encounters", ())
     old = wh.read("fact_encounters", snap) if old_paths else None
-    staged = stage_facts(wh, snap, source, ctx, watermark)
+    staged, copies = stage_facts(wh, snap, source, ctx, watermark, lookup)
     ok = facts.accepted(staged)
     span = staged.agg(
         F.count_if(F.col("reject_reason").isNull()).alias("n"),
@@ -243,11 +264,15 @@ def load_facts(
         F.max(F.when(F.col("reject_reason").isNull(), F.col("encounter_datetime"))).alias("last_in"),
         F.max(F.when(F.col("reject_reason").isNull(), F.col("discharge_datetime"))).alias("last_out"),
     ).first()
-    if span.rejected:
-        rejects = wh.write(facts.rejected(staged), "rejects", ctx.batch_id)
-        snap = snap.extended("rejects", [rejects])
+    n_rejected = span.rejected
+    if copies is not None or span.rejected:
+        refused = facts.rejected(staged)
+        rejects = wh.write(refused if copies is None else refused.unionByName(copies), "rejects", ctx.batch_id)
+        n_rejected = wh.read("rejects", Snapshot(0, {"rejects": (rejects,)})).count()
+        if n_rejected:
+            snap = snap.extended("rejects", [rejects])
     if not span.n:
-        return FactLoad(snap, (), 0, span.rejected, 0, None)
+        return FactLoad(snap, (), 0, n_rejected, 0, None)
 
     discharges = ok.filter("is_inpatient").select(
         "patient_id", F.col("discharge_datetime").alias("discharged")
@@ -274,7 +299,7 @@ def load_facts(
         )
         kept, repaired = _repair_flags(wh, old_paths, candidates, discharges, ctx)
     snap = snap.replaced("fact_encounters", [*kept, *new_paths])
-    return FactLoad(snap, tuple(new_paths), span.n, span.rejected, repaired, span.last_in)
+    return FactLoad(snap, tuple(new_paths), span.n, n_rejected, repaired, span.last_in)
 
 
 def _inpatients(fact: DataFrame, dim_encounter_type: DataFrame) -> DataFrame:
@@ -412,12 +437,16 @@ def run_batch(
     ctx: BatchContext,
     reconcile: bool = True,
     with_dimensions: bool = True,
+    lookup: str = "current",
 ) -> BatchResult:
     """Load one batch. Nothing becomes visible unless every check passed.
 
+    A strict batch stops at rows that break a check or a key. One that isn't strict loads
+    the good rows and puts the others, and further copies of an encounter, into `rejects`.
     reconcile=False when the source holds only new rows (a stream's micro-batch);
     with_dimensions=False keeps the dimensions of the last batch and only extends the
-    calendar.
+    calendar; lookup="as_of" takes the patient and provider versions valid on the day of
+    an encounter instead of the current ones.
     """
     before = wh.snapshot()
     if ctx.batch_id <= before.batch_id:
@@ -425,10 +454,14 @@ def run_batch(
     source = checked(source)
     marks = read_marks(wh.read("etl_metadata", before))
     log = StepLog(wh, ctx)
+    # Fixed value: the form in which users of the log look for the marks.
     message = f"Encounter Watermark: {marks.encounters} | Timestamp Watermark: {marks.patients}"
     log.record(opened=[BATCH_STEP, DIM_STEP], message=message)
     try:
-        quality.require(quality.source_checks(source))
+        if ctx.strict:
+            arriving = facts.delta(source["encounters"], None, marks.encounters)
+            keys = quality.key_checks({**source, "encounters": arriving})
+            quality.require(quality.source_checks(source).unionByName(keys))
         if with_dimensions or not before.paths.get("dim_patient"):
             snap = load_dimensions(wh, before, source, ctx, marks)
         else:
@@ -436,7 +469,7 @@ def run_batch(
         live = {t: wh.read(t, snap, "is_current=true").count() for t in ("dim_patient", "dim_provider")}
         log.record({DIM_STEP: live["dim_patient"]}, [FACT_STEP])
 
-        load = load_facts(wh, snap, source, ctx, marks.encounters)
+        load = load_facts(wh, snap, source, ctx, marks.encounters, lookup)
         watermark = max(marks.encounters, load.high_watermark or marks.encounters)
         log.record({FACT_STEP: load.loaded}, [BRIDGE_STEP])
 
@@ -445,10 +478,10 @@ def run_batch(
         bridge_rows = wh.read("bridge_encounter_diagnoses", batch_part(snap, ctx.batch_id)).count()
 
         if reconcile:
+            fact = wh.read("fact_encounters", snap)
             quality.require_reconciled(
-                quality.reconciliation(
-                    source["encounters"], source["billing"], wh.read("fact_encounters", snap)
-                )
+                quality.reconciliation(source["encounters"], source["billing"], fact),
+                lambda: _missing_facts(wh, snap, source, fact, marks.encounters, load),
             )
         counts = {"fact_encounters": load.loaded, **live}
         metadata = next_metadata(wh, before, ctx, watermark, counts)
@@ -463,6 +496,21 @@ def run_batch(
     )
 
 
+def _missing_facts(
+    wh: Warehouse, snap: Snapshot, source: Mapping[str, DataFrame], fact: DataFrame, watermark: datetime, load: FactLoad
+) -> str:
+    """Why encounters may be missing from the fact: late ones, and rejects by reason."""
+    late = facts.late_arrivals(source["encounters"], fact, cal.moment(watermark)).count()
+    text = f"late encounters: {late}"
+    if load.rejected:
+        path = snap.paths["rejects"][-1]
+        mine = wh.read("rejects", Snapshot(0, {"rejects": (path,)}))
+        # One row per reason.
+        reasons = sorted((r.reject_reason, r["count"]) for r in mine.groupBy("reject_reason").count().collect())
+        text += f"; rejected, in {wh.root}/{path}: " + ", ".join(f"{reason}: {n}" for reason, n in reasons)
+    return text
+
+
 class Star(Mapping):
     """The published star schema by table name; a table is opened when first asked for."""
 

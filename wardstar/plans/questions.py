@@ -18,7 +18,6 @@ from ..functions.clinical import text_key
 from ..functions.money import mean, percent
 from ..operators import pairs
 from ..operators.facts import INPATIENT
-from ..operators.joins import broadcast_if_small
 from ..operators.readmission import readmissions_by_index
 
 Tables = Mapping[str, DataFrame]
@@ -58,8 +57,7 @@ def monthly_encounters_star(star: Tables) -> DataFrame:
 
 def provider_specialty(source: Tables) -> DataFrame:
     """Provider id and specialty name, joined at the size of the provider table."""
-    names = source["providers"].join(source["specialties"], "specialty_id").select("provider_id", "specialty_name")
-    return broadcast_if_small(names, source["providers"])
+    return source["providers"].join(source["specialties"], "specialty_id").select("provider_id", "specialty_name")
 
 
 def monthly_encounters_source(source: Tables) -> DataFrame:

@@ -13,6 +13,7 @@ from .batch import BatchResult
 
 def batch_summary(spark: SparkSession, star: Mapping[str, DataFrame], result: BatchResult) -> DataFrame:
     """One row about a finished batch and the state it left; one scalar per subquery."""
+    # Fixed value: the status text that users of the summary look for.
     return spark.sql(
         """
         SELECT 'INCREMENTAL ETL COMPLETED' AS status,
@@ -40,13 +41,18 @@ def batch_summary(spark: SparkSession, star: Mapping[str, DataFrame], result: Ba
 
 
 def log_view(log: DataFrame) -> DataFrame:
-    """Latest state of every step with its start, end and duration, newest first."""
-    last = F.max_by(F.struct("status", "rows_affected"), F.struct("event_time", F.col("status") != "RUNNING"))
-    steps = log.groupBy("batch_id", "log_id", "etl_step").agg(
+    """Latest state of every step of every attempt with its start, end and duration, newest first.
+
+    A batch tried again is a new attempt, with rows of its own. The message is that of the
+    step's last event that has one.
+    """
+    order = F.struct("event_time", F.col("status") != "RUNNING")
+    last = F.max_by(F.struct("status", "rows_affected"), order)
+    steps = log.groupBy("batch_id", "attempt", "log_id", "etl_step").agg(
         F.min("event_time").alias("start_time"),
         F.max("event_time").alias("last_time"),
         last.alias("last"),
-        F.max("error_message").alias("error_message"),
+        F.max_by("error_message", F.when(F.col("error_message").isNotNull(), order)).alias("error_message"),
     )
     end = F.when(F.col("last.status") != "RUNNING", F.col("last_time"))
     return steps.select(

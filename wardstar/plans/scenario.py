@@ -86,16 +86,17 @@ def two_loads(spark: SparkSession, sf_dir: str) -> Loaded:
     return _once(spark, sf_dir, "two", make)
 
 
-def streamed(spark: SparkSession, sf_dir: str, order: tuple[int, int]) -> Loaded:
-    """The two parts arrive in a landing folder one after the other, in the given order."""
-    name = f"stream-{order[0]}{order[1]}"
+def streamed(spark: SparkSession, sf_dir: str, deliveries: tuple[tuple[int, ...], ...]) -> Loaded:
+    """Parts of the encounters arrive in a landing folder, one delivery after the other."""
+    name = "stream-" + "-".join("".join(map(str, parts)) for parts in deliveries)
 
     def make(wh: Warehouse) -> Loaded:
         tables = {k: v for k, v in ov.clinical_views(spark, sf_dir).items() if k != "encounters"}
         landing = f"{wh.root}/_landing"
-        for part in order:
-            arriving = ov.clinical_views(spark, sf_dir, load=part)["encounters"]
-            arriving.write.mode("append").parquet(landing)
+        for parts in deliveries:
+            for part in parts:
+                arriving = ov.clinical_views(spark, sf_dir, load=part)["encounters"]
+                arriving.write.mode("append").parquet(landing)
             load_available(
                 wh,
                 tables,
@@ -149,11 +150,14 @@ def provider_history(
 
 
 def diagnosis_versions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Two versions of all parts: the second adds keys, changes texts and has lost some rows."""
+    """Two versions of the parts: the second adds keys, changes texts and has lost some rows.
+
+    Every part is in one version at least: what the first lacks, the second has.
+    """
     rows = ov.diagnoses(spark.read.parquet(f"{sf_dir.rstrip('/')}/part.parquet"))
     key = F.col("diagnosis_id")
     changed = F.when(key % 7 == 0, F.concat("icd10_description", F.lit("-R")))
-    second = rows.filter(key % 13 != 12).withColumn(
+    second = rows.filter((key % 13 != 12) | (key % 11 == 10)).withColumn(
         "icd10_description", F.coalesce(changed, F.col("icd10_description"))
     )
     return rows.filter(key % 11 != 10), second
@@ -217,11 +221,11 @@ def provider_first(views: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def late_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Encounters per month missing from a fact that was loaded with the later part only."""
+    """Encounters per month missing from a fact with the later part and a third of the earlier one."""
     views = ov.clinical_views(spark, sf_dir)
-    loaded = ov.clinical_views(spark, sf_dir, load=2)["encounters"].withColumnRenamed(
-        "encounter_date", "encounter_datetime"
-    )
+    early = ov.clinical_views(spark, sf_dir, load=1)["encounters"].filter("encounter_id % 3 = 0")
+    loaded = ov.clinical_views(spark, sf_dir, load=2)["encounters"].unionByName(early)
+    loaded = loaded.withColumnRenamed("encounter_date", "encounter_datetime")
     watermark = facts.new_watermark(loaded).first()[0]
     late = facts.late_arrivals(views["encounters"], loaded, cal.moment(watermark))
     return late.groupBy(facts.month_of("encounter_date").alias("encounter_month")).agg(

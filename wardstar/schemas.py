@@ -55,7 +55,7 @@ _TARGET_COLUMNS = {
     "etl_metadata": """metadata_id bigint, table_name string, last_etl_timestamp timestamp_ntz,
         last_etl_status string, rows_processed bigint, high_watermark timestamp_ntz,
         created_at timestamp_ntz, updated_at timestamp_ntz""",
-    "etl_log": """batch_id bigint, log_id bigint, etl_step string, event_time timestamp_ntz,
+    "etl_log": """batch_id bigint, attempt timestamp_ntz, log_id bigint, etl_step string, event_time timestamp_ntz,
         rows_affected bigint, status string, error_message string""",
     "dim_date": """date_key bigint, calendar_date date, year int, quarter int, quarter_name string,
         month int, month_name string, year_month string, week_of_year int, day_of_month int,

@@ -7,6 +7,7 @@ and readers never see a path being overwritten.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
@@ -17,6 +18,8 @@ from pyspark.sql import types as T
 from ..schemas import TARGET, conform, empty, literal_rows
 
 _LIST = "_published"
+# Tables to which each batch adds folders.
+_GROWING = ("fact_encounters", "bridge_encounter_diagnoses", "bridge_encounter_procedures", "rejects")
 _LIST_COLUMNS = T.StructType(
     [T.StructField("table_name", T.StringType()), T.StructField("path", T.StringType())]
 )
@@ -28,9 +31,10 @@ class Snapshot:
 
     batch_id: int = 0
     paths: dict[str, tuple[str, ...]] = field(default_factory=dict)
+    revision: int = 0
 
     def replaced(self, table: str, paths) -> "Snapshot":
-        return Snapshot(self.batch_id, {**self.paths, table: tuple(paths)})
+        return Snapshot(self.batch_id, {**self.paths, table: tuple(paths)}, self.revision)
 
     def extended(self, table: str, paths) -> "Snapshot":
         return self.replaced(table, (*self.paths.get(table, ()), *paths))
@@ -43,21 +47,25 @@ class Warehouse:
 
     def snapshot(self) -> Snapshot:
         """What the last published batch left live."""
-        try:
-            live = self.spark.read.schema("table_name string, path string, batch bigint").parquet(
-                f"{self.root}/{_LIST}"
-            )
-        except AnalysisException:
-            return Snapshot()
-        newest = live.agg(F.max("batch")).first()[0]
+        live = self._read_if_there("table_name string, path string, batch bigint, revision bigint", _LIST)
+        newest = live and live.agg(F.max(F.struct("batch", "revision"))).first()[0]
         if newest is None:
             return Snapshot()
-        # One row per live folder: bounded by calendar months times batches.
-        rows = live.filter(F.col("batch") == newest).collect()
+        # One row per live folder: calendar months times the batches since the last compact().
+        rows = live.filter((F.col("batch") == newest.batch) & (F.col("revision") == newest.revision)).collect()
         paths: dict[str, list[str]] = {}
         for row in rows:
             paths.setdefault(row.table_name, []).append(row.path)
-        return Snapshot(int(newest), {t: tuple(sorted(p)) for t, p in paths.items()})
+        return Snapshot(int(newest.batch), {t: tuple(sorted(p)) for t, p in paths.items()}, int(newest.revision))
+
+    def _read_if_there(self, schema, folder: str) -> DataFrame | None:
+        """A stored table, or None if its folder doesn't exist; other errors are not caught."""
+        try:
+            return self.spark.read.schema(schema).parquet(f"{self.root}/{folder}")
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return None
 
     def read(self, table: str, snapshot: Snapshot, only: str | None = None) -> DataFrame:
         """A table as of a snapshot; only keeps the folders whose path contains a part."""
@@ -72,9 +80,9 @@ class Warehouse:
         )
         return df.select(schema.names)
 
-    def write(self, df: DataFrame, table: str, batch_id: int, part: str = "") -> str:
+    def write(self, df: DataFrame, table: str, batch_id: int, part: str = "", label: str = "") -> str:
         """Write one unpartitioned folder of this batch and return its path."""
-        path = f"{table}/batch={batch_id}" + (f"/{part}" if part else "")
+        path = f"{table}/batch={batch_id}" + (f"-{label}" if label else "") + (f"/{part}" if part else "")
         names = [n for n in TARGET[table].names if not part.startswith(f"{n}=")]
         conform(df, TARGET[table]).select(names).write.mode("overwrite").parquet(f"{self.root}/{path}")
         return path
@@ -119,21 +127,44 @@ class Warehouse:
         return kept, dropped
 
     def scratch(self, df: DataFrame, name: str, batch_id: int) -> DataFrame:
-        """Write an intermediate result and read it back: lineage ends here."""
-        path = f"{self.root}/_scratch/batch={batch_id}/{name}"
-        df.write.mode("overwrite").parquet(path)
+        """Write an intermediate result to a new folder and read it back: lineage ends here."""
+        path = f"{self.root}/_scratch/batch={batch_id}/{name}-{uuid.uuid4().hex}"
+        df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
-    def publish(self, snapshot: Snapshot, batch_id: int) -> Snapshot:
-        """Make a snapshot the live one; this single small write is the commit."""
+    def publish(self, snapshot: Snapshot, batch_id: int, revision: int = 0) -> Snapshot:
+        """Make a snapshot the live one; this single small write is the commit.
+
+        A folder of that number can only be left over from a commit that never ended, as
+        nobody asks to publish a number again; it is replaced.
+        """
         rows = [(t, p) for t, paths in snapshot.paths.items() for p in paths]
         (
             literal_rows(self.spark, rows, _LIST_COLUMNS)
             .coalesce(1)
-            .write.mode("errorifexists")
-            .parquet(f"{self.root}/{_LIST}/batch={batch_id}")
+            .write.mode("overwrite")
+            .parquet(f"{self.root}/{_LIST}/batch={batch_id}/revision={revision}")
         )
-        return Snapshot(batch_id, snapshot.paths)
+        return Snapshot(batch_id, snapshot.paths, revision)
+
+    def compact(self) -> Snapshot:
+        """Rewrite the folders of facts, bridges and rejects as one each, and publish that.
+
+        The batch number stays, its revision grows: a stream goes on where it was, and
+        readers of the old folders are not disturbed. This bounds the list of live folders.
+        """
+        old = self.snapshot()
+        new, revision = old, old.revision + 1
+        for table in _GROWING:
+            if len(old.paths.get(table, ())) < 2:
+                continue
+            rows, label = self.read(table, old), f"compact{revision}"
+            if table == "fact_encounters":
+                path = self.write_fact(rows, old.batch_id, label)
+            else:
+                path = self.write(rows, table, old.batch_id, label=label)
+            new = new.replaced(table, [path])
+        return old if new is old else self.publish(new, old.batch_id, revision)
 
     def append_log(self, rows: list[tuple]) -> None:
         """Append step events; each is kept, the newest per step is its state."""
@@ -145,13 +176,5 @@ class Warehouse:
         )
 
     def log(self) -> DataFrame:
-        try:
-            return self.spark.read.schema(TARGET["etl_log"]).parquet(f"{self.root}/etl_log")
-        except AnalysisException:
-            return empty(self.spark, "etl_log")
-
-
-def append(df: DataFrame, path: str, partition_by: str | None = None) -> None:
-    """INSERT ... SELECT: add rows to a stored table."""
-    writer = df.write.mode("append")
-    (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
+        stored = self._read_if_there(TARGET["etl_log"], "etl_log")
+        return empty(self.spark, "etl_log") if stored is None else stored
