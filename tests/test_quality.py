@@ -4,7 +4,7 @@ import pytest
 
 from wardstar.operators import quality
 
-from conftest import OLD, day, ts, tuples
+from conftest import OLD, SAMPLE, day, ts, tuples
 
 
 def _result(checks):
@@ -93,3 +93,16 @@ def test_empty_source_passes(sample):
     empty = {name: df.limit(0) for name, df in sample().items()}
     assert set(_result(quality.source_checks(empty)).values()) == {(0, "PASS")}
     assert tuples(quality.coverage(empty), "rows", "miss_percent") == [(0, None)] * 10
+
+
+def test_source_forms_count_a_copied_encounter_once(sample):
+    from wardstar.plans import questions
+
+    once, twice = sample(), sample(extra={"encounters": SAMPLE["encounters"]})
+    for question in (questions.monthly_encounters_source, questions.readmission_rate_source):
+        assert tuples(question(once)) == tuples(question(twice))
+
+
+def test_coverage_reads_each_table_once(sample):
+    text = quality.coverage(sample())._jdf.queryExecution().executedPlan().toString()
+    assert text.count("LocalTableScan") <= 12 and text.count("Exchange hashpartitioning(check") <= 3

@@ -8,9 +8,11 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.clinical import ENCOUNTER_TYPES, text_key
 from ..functions.money import percent
+from ..schemas import literal_rows
 
 TOLERANCE = Decimal("0.01")  # Fixed value: revenue difference that still passes.
 
@@ -129,55 +131,91 @@ def require_reconciled(row: DataFrame, explain: Callable[[], str] = str) -> None
 def coverage(source: Mapping[str, DataFrame]) -> DataFrame:
     """Per check: rows looked at, rows without a match, their share in percent.
 
-    Covers billing, unknown codes behind every dimension lookup, and unknown births.
+    Covers billing, unknown codes behind every dimension lookup, and unknown births. Each
+    table is read once: its rows vote, per check and key, as looking for a match or as
+    being one, and all votes are counted together in one shuffle.
     """
-    encounters = source["encounters"]
-    provider_codes = source["providers"].join(
-        source["specialties"].select("specialty_id", "specialty_code"), "specialty_id", "left"
-    )
+    kinds = [values[0].upper() for values in ENCOUNTER_TYPES]
 
-    def against(name: str, rows: DataFrame, parents: DataFrame, key: str) -> DataFrame:
-        per_key = rows.groupBy(key).agg(F.count("*").alias("n"))
-        flagged = per_key.join(
-            parents.select(key).distinct().withColumn("_hit", F.lit(True)), key, "left"
-        )
-        return flagged.agg(
-            F.sum("n").alias("rows"),
-            F.sum(F.when(F.col("_hit").isNull(), F.col("n")).otherwise(0)).alias("misses"),
-        ).select(F.lit(name).alias("check"), "rows", "misses")
-
-    def where(name: str, rows: DataFrame, bad: Column) -> DataFrame:
-        return rows.agg(F.count("*").alias("rows"), F.count_if(bad).alias("misses")).select(
-            F.lit(name).alias("check"), "rows", "misses"
-        )
+    def looks(check: str, key: Column) -> Column:
+        return _vote(check, key, 1, 0)
 
-    kinds = [values[0].upper() for values in ENCOUNTER_TYPES]
-    parts = [
-        against("encounter_without_bill", encounters, source["billing"], "encounter_id"),
-        against("encounter_unknown_patient", encounters, source["patients"], "patient_id"),
-        against("encounter_unknown_provider", encounters, source["providers"], "provider_id"),
-        against("encounter_unknown_department", encounters, source["departments"], "department_id"),
-        where(
-            "encounter_unknown_type",
-            encounters,
-            ~F.coalesce(text_key(F.col("encounter_type")).isin(*kinds), F.lit(False)),
-        ),
-        where("provider_without_specialty", provider_codes, F.col("specialty_code").isNull()),
-        where("patient_without_birth_date", source["patients"], F.col("date_of_birth").isNull()),
-        against(
-            "diagnosis_line_unknown_code", source["encounter_diagnoses"], source["diagnoses"], "diagnosis_id"
-        ),
-        against(
-            "procedure_line_unknown_code", source["encounter_procedures"], source["procedures"], "procedure_id"
-        ),
-        against("bill_unknown_encounter", source["billing"], encounters, "encounter_id"),
-    ]
-    whole = reduce(DataFrame.unionByName, parts)
+    def matches(check: str, key: Column) -> Column:
+        return _vote(check, key, 0, 1)
+
+    def is_good(check: str, good: Column) -> Column:
+        """A row that needs no other table: looking, and its own match if it is good."""
+        good = F.coalesce(good, F.lit(False))
+        return _vote(check, good, 1, F.when(good, 1).otherwise(0))
+
+    def key(name: str) -> Column:
+        return F.col(name)
+
+    votes = {
+        "encounters": [
+            looks("encounter_without_bill", key("encounter_id")),
+            matches("bill_unknown_encounter", key("encounter_id")),
+            looks("encounter_unknown_patient", key("patient_id")),
+            looks("encounter_unknown_provider", key("provider_id")),
+            looks("encounter_unknown_department", key("department_id")),
+            is_good("encounter_unknown_type", text_key(key("encounter_type")).isin(*kinds)),
+        ],
+        "billing": [
+            matches("encounter_without_bill", key("encounter_id")),
+            looks("bill_unknown_encounter", key("encounter_id")),
+        ],
+        "patients": [
+            matches("encounter_unknown_patient", key("patient_id")),
+            is_good("patient_without_birth_date", key("date_of_birth").isNotNull()),
+        ],
+        "providers": [
+            matches("encounter_unknown_provider", key("provider_id")),
+            looks("provider_without_specialty", key("specialty_id")),
+        ],
+        "specialties": [
+            matches("provider_without_specialty", F.when(key("specialty_code").isNotNull(), key("specialty_id"))),
+        ],
+        "departments": [matches("encounter_unknown_department", key("department_id"))],
+        "encounter_diagnoses": [looks("diagnosis_line_unknown_code", key("diagnosis_id"))],
+        "diagnoses": [matches("diagnosis_line_unknown_code", key("diagnosis_id"))],
+        "encounter_procedures": [looks("procedure_line_unknown_code", key("procedure_id"))],
+        "procedures": [matches("procedure_line_unknown_code", key("procedure_id"))],
+    }
+    cast = reduce(
+        DataFrame.unionByName,
+        [source[table].select(F.explode(F.array(*own)).alias("v")).select("v.*") for table, own in votes.items()],
+    )
+    per_key = cast.groupBy("check", "key").agg(F.sum("looking").alias("rows"), F.sum("matching").alias("matches"))
+    # A null key matches nothing, not even another null.
+    missed = F.col("key").isNull() | (F.col("matches") == 0)
+    counted = per_key.groupBy("check").agg(
+        F.sum("rows").alias("rows"), F.sum(F.when(missed, F.col("rows")).otherwise(0)).alias("misses")
+    )
+    every = literal_rows(counted.sparkSession, [(name,) for name in _CHECKS], _CHECK_NAME)
     rows = F.coalesce("rows", F.lit(0)).cast("bigint")
     misses = F.coalesce("misses", F.lit(0)).cast("bigint")
-    return whole.select(
+    return every.join(counted, "check", "left").select(
         "check",
         rows.alias("rows"),
         misses.alias("misses"),
         F.when(rows > 0, percent(misses, rows)).alias("miss_percent"),
     )
+
+
+_CHECK_NAME = T.StructType([T.StructField("check", T.StringType())])
+_CHECKS = (
+    "encounter_without_bill", "encounter_unknown_patient", "encounter_unknown_provider",
+    "encounter_unknown_department", "encounter_unknown_type", "provider_without_specialty",
+    "patient_without_birth_date", "diagnosis_line_unknown_code", "procedure_line_unknown_code",
+    "bill_unknown_encounter",
+)
+
+
+def _vote(check: str, key: Column, looking: int, matching: int | Column) -> Column:
+    matching = F.lit(matching) if isinstance(matching, int) else matching
+    return F.struct(
+        F.lit(check).alias("check"),
+        key.cast("string").alias("key"),
+        F.lit(looking).cast("bigint").alias("looking"),
+        matching.cast("bigint").alias("matching"),
+    )
