@@ -6,13 +6,13 @@ import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wardstar.session import shared_dir, tune
 
 #: A batch handed to a Python worker ends at so many rows or bytes, whichever comes first.
-BATCH_ROWS, BATCH_BYTES = 5_000, 32 << 20
+BATCH_ROWS, BATCH_BYTES = 1_000, 16 << 20
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -74,6 +74,21 @@ def with_key(docs: DataFrame) -> tuple[DataFrame, list[str]]:
     return docs.withColumns({key[0]: id_text("doc_id"), key[1]: F.xxhash64("text")}), key
 
 
+def smallest_hashes(ids: DataFrame, group: str, id_column: str, limit: int) -> DataFrame:
+    """A sample of at most `limit` ids of each group, by the smallest hashes.
+
+    ids: different pairs of group and id. Groups are counted first, and only ids whose
+    hash is in the lowest 2 * limit / count share of all hashes go on, so that about
+    2 * limit of a group, and not the whole of it, are ranked. The sample is the same
+    however the table is stored.
+    """
+    sizes = ids.groupBy(group).agg(F.count("*").alias("size"))
+    low = F.lit(-(2.0**63)) + F.lit(2.0**64) * F.least(F.lit(1.0), F.lit(2.0 * limit) / F.col("size"))
+    hashed = ids.join(sizes, group).withColumn("hash", F.xxhash64(id_column)).filter(F.col("hash") <= low)
+    place = F.row_number().over(Window.partitionBy(group).orderBy("hash", id_column))
+    return hashed.withColumn("place", place).filter(F.col("place") <= limit).select(group, id_column)
+
+
 def split_hot(rows: DataFrame, keys: list[str], by: str, limit: int) -> DataFrame:
     """Cut groups of more than `limit` rows into blocks and pair the blocks.
 

@@ -24,10 +24,10 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardstar.llm.common import fold, id_text, prepare, stored
+from wardstar.llm.common import fold, id_text, prepare, smallest_hashes, stored
 
 FOLDS, HELD_OUT = 3, 1
 ORDER = 5
@@ -95,8 +95,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_
     """
     known = labels.filter((fold("doc_id", FOLDS) != HELD_OUT) & F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1))
     known = known.groupBy(id_text("doc_id").alias("id")).agg(F.max("toxic").cast("int").alias("toxic"))
-    place = F.row_number().over(Window.partitionBy("toxic").orderBy(F.xxhash64("id"), "id"))
-    chosen = known.withColumn("place", place).filter(F.col("place") <= sample_docs).select("id", "toxic")
+    chosen = smallest_hashes(known, "toxic", "id", sample_docs)
     late = F.pmod(F.xxhash64("id", F.lit("calibrate")), F.lit(10)) < CALIBRATION_TENTHS
     texts = docs.select(id_text("doc_id").alias("id"), "text").filter(F.col("text").isNotNull())
     # At most 2 * sample_docs ids are broadcast, so the texts are not shuffled.
