@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wardstar.llm.common import fold, id_text, prepare
+from wardstar.llm.common import fold, id_text, prepare, smallest_hashes, stored
 
 FOLDS = 5
 #: The classifier is fitted on at most so many labelled documents of a language ...
@@ -65,14 +65,10 @@ def training_rows(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> DataFrame:
     allowed = docs.filter((fold("doc_id", FOLDS) != 0) & F.col("lang").isNotNull() & F.col("text").isNotNull())
     ids = allowed.select(F.col("lang").alias("language"), id_text("doc_id").alias("id")).distinct()
     frequent = ids.groupBy("language").count().orderBy(F.desc("count"), "language").limit(LANGUAGES)
-    place = F.row_number().over(Window.partitionBy("language").orderBy(F.xxhash64("id"), "id"))
-    chosen = (
-        ids.join(frequent.select("language"), "language", "left_semi")
-        .withColumn("place", place)
-        .filter(F.col("place") <= sample_docs)
-    )
+    chosen = smallest_hashes(ids.join(frequent.select("language"), "language", "left_semi"), "language", "id", sample_docs)
     texts = allowed.select(F.col("lang").alias("language"), id_text("doc_id").alias("id"), "text")
-    return texts.join(chosen.select("language", "id"), ["language", "id"], "left_semi").select("language", "text")
+    # Written first, its size is known: broadcast if small, so that no text is shuffled.
+    return texts.join(stored(chosen, "sample"), ["language", "id"], "left_semi").select("language", "text")
 
 
 def learn(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, places: int = PROFILE) -> dict[str, np.ndarray]:
