@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Bits of a natural key that are cut off at each level of blocks. A window at a level
-# holds at most 2^18, 2^20, 2^13 and 2^13 rows, whatever the keys are.
-LEVELS = (18, 38, 51)
+# Bits of a natural key that are cut off at each level of blocks. The windows hold at most
+# 2^22 rows, 2^21 blocks and 2^21 blocks of blocks, whatever the keys are.
+LEVELS = (22, 43)
 
 
 def assign_keys(
