@@ -38,11 +38,15 @@ def test_every_join_has_a_key_and_no_python_runs(spark, no_broadcast, name):
 
 def test_no_job_runs_while_a_query_over_views_is_built(spark):
     views = ov.clinical_views(spark, SF_DIR)
-    tracker = spark.sparkContext.statusTracker()
-    before = set(tracker.getJobIdsForGroup(None))
+    context = spark.sparkContext
+    context.setJobGroup("building", "queries are only built")
     for make in (questions.monthly_encounters_source, questions.pairs_source, questions.revenue_source):
         make(views)
-    assert set(tracker.getJobIdsForGroup(None)) == before
+    context.setJobGroup("running", "one is run")
+    questions.revenue_source(views).count()
+    tracker = context.statusTracker()
+    assert tracker.getJobIdsForGroup("running") and not tracker.getJobIdsForGroup("building")
+    context.setLocalProperty("spark.jobGroup.id", None)
 
 
 def test_watermark_and_month_reach_the_scans(spark):
