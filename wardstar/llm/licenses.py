@@ -134,12 +134,17 @@ def digests(text: str | None) -> tuple[bytes, list[bytes], int]:
 
 
 def known_digests(spark: SparkSession, known: list[tuple[str, str]] | None = None) -> DataFrame:
-    """(digest, license): the least license of each known text."""
+    """(digest, license): the least license of each known text.
+
+    Handed over as Arrow, its size is known to Spark, which broadcasts it: digests of lines
+    that are in every document then meet it where they are made.
+    """
     rows: dict[bytes, str] = {}
     for name, text in KNOWN if known is None else known:
         digest = digests(text)[0]
         rows[digest] = min(name, rows.get(digest, name))
-    return spark.createDataFrame(list(rows.items()), "digest binary, license string")
+    table = pa.table({"digest": pa.array(rows.keys(), pa.binary()), "license": pa.array(rows.values(), pa.string())})
+    return spark.createDataFrame(table)
 
 
 def scan(docs: DataFrame, known: DataFrame | None = None) -> DataFrame:
