@@ -191,18 +191,18 @@ def coverage(source: Mapping[str, DataFrame]) -> DataFrame:
     counted = per_key.groupBy("check").agg(
         F.sum("rows").alias("rows"), F.sum(F.when(missed, F.col("rows")).otherwise(0)).alias("misses")
     )
-    every = literal_rows(counted.sparkSession, [(name,) for name in _CHECKS], _CHECK_NAME)
+    every = literal_rows(counted.sparkSession, list(enumerate(_CHECKS)), _CHECK_NAME)
     rows = F.coalesce("rows", F.lit(0)).cast("bigint")
     misses = F.coalesce("misses", F.lit(0)).cast("bigint")
     return every.join(counted, "check", "left").select(
-        "check",
+        F.col("name").alias("check"),
         rows.alias("rows"),
         misses.alias("misses"),
         F.when(rows > 0, percent(misses, rows)).alias("miss_percent"),
     )
 
 
-_CHECK_NAME = T.StructType([T.StructField("check", T.StringType())])
+_CHECK_NAME = T.StructType([T.StructField("check", T.IntegerType()), T.StructField("name", T.StringType())])
 _CHECKS = (
     "encounter_without_bill", "encounter_unknown_patient", "encounter_unknown_provider",
     "encounter_unknown_department", "encounter_unknown_type", "provider_without_specialty",
@@ -214,8 +214,8 @@ _CHECKS = (
 def _vote(check: str, key: Column, looking: int, matching: int | Column) -> Column:
     matching = F.lit(matching) if isinstance(matching, int) else matching
     return F.struct(
-        F.lit(check).alias("check"),
-        key.cast("string").alias("key"),
+        F.lit(_CHECKS.index(check)).alias("check"),
+        key.cast("bigint").alias("key"),
         F.lit(looking).cast("bigint").alias("looking"),
         matching.cast("bigint").alias("matching"),
     )

@@ -55,16 +55,21 @@ def monthly_encounters_star(star: Tables) -> DataFrame:
     )
 
 
-def provider_specialty(source: Tables) -> DataFrame:
-    """Provider id and specialty name, joined at the size of the provider table."""
-    return source["providers"].join(source["specialties"], "specialty_id").select("provider_id", "specialty_name")
+def with_specialty(rows: DataFrame, source: Tables) -> DataFrame:
+    """Rows with the specialty name of their provider.
+
+    Two joins with stored tables, whose sizes Spark knows, and not one with a joined side,
+    whose size it would have to guess.
+    """
+    providers = source["providers"].select("provider_id", "specialty_id")
+    names = source["specialties"].select("specialty_id", "specialty_name")
+    return rows.join(providers, "provider_id").join(names, "specialty_id")
 
 
 def monthly_encounters_source(source: Tables) -> DataFrame:
     """Both counts are distinct ones: nothing keeps copies out of the source tables."""
     return (
-        source["encounters"]
-        .join(provider_specialty(source), "provider_id")
+        with_specialty(source["encounters"], source)
         .groupBy(
             year_month(F.col("encounter_date")).alias("encounter_month"), "specialty_name", "encounter_type"
         )
@@ -172,8 +177,7 @@ def readmission_rate_source(source: Tables) -> DataFrame:
     columns = ("encounter_id", "patient_id", "provider_id", "encounter_date", "discharge_date")
     inpatients = source["encounters"].filter(_is_inpatient()).select(*columns).distinct()  # copies count once
     index = (
-        inpatients.filter(F.col("discharge_date").isNotNull())
-        .join(provider_specialty(source), "provider_id")
+        with_specialty(inpatients.filter(F.col("discharge_date").isNotNull()), source)
         .select("patient_id", "specialty_name", F.col("discharge_date").alias("discharged"))
     )
     admissions = inpatients.select("patient_id", F.col("encounter_date").alias("admitted"))
@@ -213,10 +217,10 @@ def revenue_source(source: Tables) -> DataFrame:
         .groupBy("encounter_id")
         .agg(F.sum("allowed_amount").alias("amount"), F.count("allowed_amount").alias("bills"))
     )
+    encounters = source["encounters"].select("encounter_id", "provider_id", "encounter_date")
     total = F.sum("amount")
     return (
-        paid.join(source["encounters"].select("encounter_id", "provider_id", "encounter_date"), "encounter_id")
-        .join(provider_specialty(source), "provider_id")
+        with_specialty(paid.join(encounters, "encounter_id"), source)
         .groupBy(year_month(F.col("encounter_date")).alias("revenue_month"), "specialty_name")
         .agg(
             F.count("*").alias("total_encounters"),
