@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 from wardstar.llm.common import fresh, prepare, stored, text_or_empty
 
 SHARDS, SLOTS = 40, 8_192
+#: Places of an order that are numbered together.
+ORDER_ROWS = 1 << 18
 #: Bytes a record takes besides its text.
 RECORD_BYTES = 16
 
@@ -159,11 +161,16 @@ def sized(docs: DataFrame, slots: int = SLOTS) -> tuple[DataFrame, dict[str, str
     ), names
 
 
-def place(rows: DataFrame, names: dict[str, str], shards: int = SHARDS, slots: int = SLOTS) -> DataFrame:
+def place(
+    rows: DataFrame, names: dict[str, str], shards: int = SHARDS, slots: int = SLOTS, order: str | None = None
+) -> DataFrame:
     """Add shard, slot (0, 1, 2, ... within a shard) and map_version to sized rows.
 
     A row's place in its shard is the number of rows in the shard's earlier virtual slots
-    plus its place in its own, so nothing larger than a virtual slot is ever sorted.
+    plus its place in its own, so nothing larger than a virtual slot is ever sorted. With
+    `order`, a column of different whole numbers, the rows of a shard are numbered by it:
+    a place is the number of rows in the shard's earlier runs of ORDER_ROWS numbers plus
+    the place in its own.
     """
     spark, vslot = rows.sparkSession, names["vslot"]
     size, count = [0] * slots, [0] * slots
@@ -176,8 +183,15 @@ def place(rows: DataFrame, names: dict[str, str], shards: int = SHARDS, slots: i
         filled[shard] += count[at]
     owners = spark.createDataFrame(before, "v int, owner int, before long, version int")
     shard, slot, version = (fresh(n, rows) for n in ("shard", "slot", "map_version"))
-    order = Window.partitionBy(vslot).orderBy("doc_id", names["text_hash"])
-    numbered = rows.withColumn(slot, F.row_number().over(order).cast("long") - 1)
+    if order is not None:
+        return _in_order(rows.join(F.broadcast(owners.drop("before")), F.col(vslot) == F.col("v")), order).select(
+            *[rows[c] for c in rows.columns],
+            F.col("owner").alias(shard),
+            F.col("at").alias(slot),
+            F.col("version").alias(version),
+        )
+    within = Window.partitionBy(vslot).orderBy("doc_id", names["text_hash"])
+    numbered = rows.withColumn(slot, F.row_number().over(within).cast("long") - 1)
     placed = numbered.join(F.broadcast(owners), F.col(vslot) == F.col("v"))  # `slots` rows
     return placed.select(
         *[numbered[c] for c in rows.columns],
@@ -187,6 +201,18 @@ def place(rows: DataFrame, names: dict[str, str], shards: int = SHARDS, slots: i
     )
 
 
+def _in_order(rows: DataFrame, order: str) -> DataFrame:
+    """Add `at`, the place by `order` among the rows of an `owner`."""
+    rows = rows.withColumn("run", F.floor(F.col(order) / ORDER_ROWS))
+    runs = rows.groupBy(F.col("owner").alias("o"), F.col("run").alias("r")).count()
+    before = F.sum("count").over(Window.partitionBy("o").orderBy("r")) - F.col("count")
+    runs = stored(runs.select("o", "r", before.alias("before")), "runs")
+    within = F.row_number().over(Window.partitionBy("owner", "run").orderBy(order)).cast("long") - 1
+    numbered = rows.withColumn("within", within)
+    placed = numbered.join(runs, (F.col("owner") == F.col("o")) & (F.col("run") == F.col("r")))
+    return placed.withColumn("at", F.col("within") + F.col("before"))
+
+
 def shards_of(docs: DataFrame, shards: int = SHARDS, slots: int = SLOTS) -> DataFrame:
     """doc_id, size, text_crc32, law, shard, slot, grown_shard, vslot, map_version of every row.
 
@@ -209,11 +235,13 @@ def shards_of(docs: DataFrame, shards: int = SHARDS, slots: int = SLOTS) -> Data
     )
 
 
-def with_shards(docs: DataFrame, shards: int = SHARDS, slots: int = SLOTS) -> DataFrame:
+def with_shards(docs: DataFrame, shards: int = SHARDS, slots: int = SLOTS, order: str | None = None) -> DataFrame:
     """docs with size, text_crc32, vslot, shard, slot and map_version added to its columns.
 
-    A new column whose name docs already has gets an underscore.
+    A new column whose name docs already has gets an underscore. Slots of a shard are in
+    the order of the column `order`, which is dropped, if one is given.
     """
     prepare(docs.sparkSession)
     rows, names = sized(docs, slots)
-    return place(rows, names, shards, slots).drop(names["text_hash"])
+    placed = place(rows, names, shards, slots, order).drop(names["text_hash"])
+    return placed if order is None else placed.drop(order)
