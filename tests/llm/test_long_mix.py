@@ -1,0 +1,61 @@
+"""Mixes longer than a frame, of many sources, and what they do to the pipeline's result."""
+
+from collections import Counter
+
+import corpus_pipeline
+import pytest
+from llm_cases import documents
+
+from wardstar.llm import mixing
+
+#: Weights are kept as n of 2^40 places, and products here are rounded.
+ROUNDING = 1e-6
+
+CASES = {
+    "half": {"a": 0.5, **{f"s{i}": 0.5 / 19 for i in range(19)}},
+    "hot third": {"a": 0.1396, **{f"s{i}": 0.8604 / 19 for i in range(19)}},
+    "many": {"a": 0.5, **{f"s{i}": 0.5 / 199 for i in range(199)}},
+}
+
+
+@pytest.mark.parametrize("name", CASES)
+def test_deviation_from_the_target_weight_over_a_long_mix(name):
+    weights = CASES[name]
+    done = Counter()
+    for s, _, phase, at, release, deadline, _ in mixing.walk(dict.fromkeys(weights, 10_000), weights):
+        if phase:
+            break
+        done[s] += 1
+        assert release <= at < deadline
+        assert abs(done["a"] - weights["a"] * (at + 1)) < 1 + ROUNDING
+        assert abs(done[s] - weights[s] * (at + 1)) < 1 + ROUNDING
+    assert at > 15_000
+
+
+def test_the_output_column_holds_the_deviation(spark):
+    weights = {"a": 10.0, **{f"s{i}": 1.0 for i in range(20)}}
+    docs = documents(spark, [(i, "x", None, "a" if i % 2 else f"s{i // 2 % 20}") for i in range(4_000)])
+    rows = sorted(mixing.mix(docs, weights, block_rows=1).collect(), key=lambda r: r.place)
+    done = Counter()
+    for at, r in enumerate(r for r in rows if r.phase == 0):
+        done[r.source] += 1
+        assert r.place == at and abs(done[r.source] - r.weight * (at + 1)) < 1 + ROUNDING
+    assert at > 1_000
+
+
+def test_weights_reach_the_result_of_the_pipeline(spark, monkeypatch):
+    docs = documents(spark, [(i, f"text {i}", None, "ab"[i % 2]) for i in range(4_000)])
+
+    def numbered(weights):
+        monkeypatch.setattr(corpus_pipeline, "WEIGHTS", weights)
+        mixed = corpus_pipeline.mix(spark, docs, "")
+        return corpus_pipeline.shard(spark, mixed, "").collect()
+
+    even, uneven = numbered({"a": 1.0, "b": 1.0}), numbered({"a": 9.0, "b": 1.0})
+    assert {r.doc_id: r.slot for r in even} != {r.doc_id: r.slot for r in uneven}
+    assert {r.doc_id: r.shard for r in even} == {r.doc_id: r.shard for r in uneven}
+    place = {r.doc_id: r.position for r in mixing.mix(docs, {"a": 9.0, "b": 1.0}).collect()}
+    for shard in {r.shard for r in uneven}:
+        rows = sorted((r for r in uneven if r.shard == shard), key=lambda r: r.slot)
+        assert [r.slot for r in rows] == list(range(len(rows)))
+        assert [place[r.doc_id] for r in rows] == sorted(place[r.doc_id] for r in rows)
