@@ -43,6 +43,18 @@ def test_the_output_column_holds_the_deviation(spark):
     assert at > 1_000
 
 
+def test_every_source_has_its_own_weight(spark):
+    weights = {f"s{i}": 1.0 + i for i in range(300)}
+    docs = documents(spark, [(i, "x", None, f"s{i % 300}") for i in range(900)])
+    total = sum(weights.values())
+    rows = mixing.mix(docs, weights, block_rows=1).collect()
+    assert len(rows) == 900 and len({r.weight for r in rows}) == 300
+    assert all(abs(r.weight - weights[r.source] / total) < 1e-9 for r in rows)
+    pooled = mixing.mix(docs, weights, block_rows=1, sources=2).collect()
+    own = {r.source for r in pooled if r.weight < 0.5}
+    assert {round(r.weight, 9) for r in pooled if r.source not in own} == {round(1 - sum(weights[s] for s in own) / total, 9)}
+
+
 def test_weights_reach_the_result_of_the_pipeline(spark, monkeypatch):
     docs = documents(spark, [(i, f"text {i}", None, "ab"[i % 2]) for i in range(4_000)])
 

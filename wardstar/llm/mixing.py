@@ -127,7 +127,7 @@ def positions(
     weights: dict[str, float] | None = None,
     block_rows: int = BLOCK_ROWS,
     places: int = PLACES,
-    sources: int | None = 200,
+    sources: int | None = None,
 ) -> tuple[DataFrame, dict[str, str]]:
     """Add the columns of a place in the mix; returns their names too.
 
