@@ -22,6 +22,8 @@ from wardstar.llm.common import prepare
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Runs of at least so many characters are tested, and reported below so many per token.
 MIN_RUN, CHARS_PER_TOKEN = 20, 2.0
+#: Runs without a digit, which words are too, must be packed worse by this factor.
+LETTERS = 0.85
 Span = tuple[int, int, str]
 KINDS = ("assign", "access", "hex", "random")
 
@@ -46,6 +48,8 @@ _IDENTIFIERS = re.compile(
     """,
     re.X,
 )
+_PIECE = re.compile(r"[A-Za-z0-9+]{%d,}" % MIN_RUN)
+_LETTER = re.compile(r"[A-Za-z]")
 _MIXED = re.compile(r"(?=.*[0-9])(?=.*[A-Za-z])")
 
 
@@ -72,19 +76,31 @@ def random_spans(
 ) -> list[Span]:
     """Runs with few characters per token that are no known digest or identifier.
 
-    Runs that overlap a base span are left to it; so are runs without both a letter and a
-    digit, which words and numbers are.
+    Runs that overlap a base span are left to it. Of a run that is not reported, the pieces
+    between its signs are tested, so that a readable path in front hides nothing. Runs
+    without a letter are numbers; those without a digit have a stricter ratio.
     """
     found = []
+
+    def test(start: int, end: int) -> bool:
+        run = text[start:end]
+        if len(run) < MIN_RUN or not _LETTER.search(run) or is_digest(run) or _IDENTIFIERS.fullmatch(run):
+            return False
+        most = chars_per_token if _MIXED.match(run) else chars_per_token * LETTERS
+        if len(run) / n_tokens(run) >= most:
+            return False
+        found.append((start, end, "random"))
+        return True
+
     for m in _RUN.finditer(text):
-        run = m[0].strip("-_+/")
         if any(start < m.end() and m.start() < end for start, end, _ in base):
             continue
-        if len(run) < MIN_RUN or not _MIXED.match(run) or is_digest(run) or _IDENTIFIERS.fullmatch(run):
-            continue
-        if len(run) / n_tokens(run) < chars_per_token:
-            at = m.start() + m[0].index(run)
-            found.append((at, at + len(run), "random"))
+        run = m[0].strip("-_+/")
+        at = m.start() + m[0].index(run)
+        if not test(at, at + len(run)):
+            for p in _PIECE.finditer(run):
+                if len(p[0]) < len(run):
+                    test(at + p.start(), at + p.end())
     return found
 
 
