@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardstar.llm import decontam, itq, langid, licenses, lines, mixing, secrets, sharding, simhash, toxicity
+from wardstar.llm import (
+    decontam, itq, langid, lexical, licenses, lines, mixing, secrets, sharding, simhash, toxicity, variants,
+)
 from wardstar.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,17 +57,30 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(read_table(spark, sf_dir, "documents"))
 
 
+def op11_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.group_variants(read_table(spark, sf_dir, "documents"))
+
+
+def op12_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Query]:
     every = (
         op1_secrets, op2_simhash, op3_langid, op4_toxicity, op5_sharding, op6_line_dedup, op7_itq, op8_mixing,
-        op9_decontaminate, op10_licenses,
+        op9_decontaminate, op10_licenses, op11_variants, op12_search,
     )
     return {query.__name__: query for query in every}
 
 
 def oracle_sql() -> dict[str, str]:
-    """SQL for what SQL can express: windows of words and of lines."""
-    return {"op6_line_dedup": _LINE_DEDUP, "op9_decontaminate": _DECONTAMINATE}
+    """SQL for what SQL can express: windows of words and of lines, near words, ranked search."""
+    return {
+        "op6_line_dedup": _LINE_DEDUP,
+        "op9_decontaminate": _DECONTAMINATE,
+        "op11_variants": _VARIANTS,
+        "op12_search": _SEARCH,
+    }
 
 
 _DECONTAMINATE = r"""
@@ -122,3 +137,80 @@ SELECT doc_id, CAST(coalesce(len(lines), 0) AS BIGINT) AS n_lines, CAST(coalesce
   CASE WHEN docs.text IS NULL THEN NULL ELSE coalesce(kept.text, '') END AS text
 FROM docs LEFT JOIN kept USING (r)
 """
+
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+# crc32 byte by byte over its table; words one edit apart leave the same text when the letter
+# that differs is taken out.
+_VARIANTS = f"""
+WITH RECURSIVE
+bits(b, k, c) AS (
+  SELECT b, 0, CAST(b AS BIGINT) FROM range(256) t(b)
+  UNION ALL
+  SELECT b, k + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM bits WHERE k < 8),
+crc AS (SELECT list(c ORDER BY b) AS t FROM bits WHERE k = 8),
+runs AS (
+  SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id, unnest(regexp_extract_all(
+    {_LOWER.format("coalesce(text, '')")}, '[a-z\\x{{00C0}}-\\x{{00FF}}]+')) AS run FROM documents),
+counted AS (SELECT id, run, count(*) AS n FROM runs WHERE length(run) >= 6 GROUP BY id, run),
+coded AS (
+  SELECT run, n, list_transform(range(1, length(h), 2), lambda i: CAST(
+    16 * (strpos('0123456789ABCDEF', h[i]) - 1) + strpos('0123456789ABCDEF', h[i + 1]) - 1 AS BIGINT)) AS bytes
+  FROM (SELECT run, n, hex(encode(id || ':' || run)) AS h FROM counted)),
+hashed AS (
+  SELECT run, n, xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT), bytes),
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))) AS h
+  FROM coded, crc),
+words AS (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM (
+    SELECT n, CASE WHEN h % 199 = 0 THEN run[: h % length(run)] || run[h % length(run) + 2 :] ELSE run END AS word
+    FROM hashed)
+  WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+cut AS (SELECT word, i, word[: i - 1] || word[i + 1 :] AS rest
+        FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM words)),
+pairs AS (
+  SELECT a.word, b.word AS near FROM cut a JOIN cut b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION SELECT c.word, w.word FROM cut c JOIN words w ON c.rest = w.word
+  UNION SELECT w.word, c.word FROM cut c JOIN words w ON c.rest = w.word),
+ranked AS (
+  SELECT p.word, p.near, b.n AS near_n, count(*) OVER (PARTITION BY p.word) AS n_near,
+    row_number() OVER (PARTITION BY p.word ORDER BY b.n DESC, encode(p.near)) AS place
+  FROM pairs p JOIN words b ON p.near = b.word),
+formed AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= 5 * w.n THEN near END AS form,
+    CASE WHEN near_n >= 5 * w.n THEN near_n END AS form_n
+  FROM words w LEFT JOIN ranked r ON w.word = r.word AND place = 1),
+chain(word, root, form) AS (
+  SELECT word, word, form FROM formed
+  UNION ALL
+  SELECT c.word, c.form, f.form FROM chain c JOIN formed f ON f.word = c.form)
+SELECT f.word, f.form, c.root, f.n, CAST(f.n_near AS BIGINT) AS n_near, f.form_n
+FROM formed f JOIN chain c ON f.word = c.word AND c.form IS NULL
+"""
+
+_SEARCH = f"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+    {_LOWER.format("coalesce(text, '')")}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS t FROM documents),
+items AS (
+  SELECT row_number() OVER () AS q, item_id, list_distinct(regexp_extract_all(
+    {_LOWER.format("coalesce(text, '')")}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')) AS t FROM benchmark),
+size AS (SELECT count(*) FILTER (len(t) > 0) AS nn, CAST(sum(len(t)) AS BIGINT) AS l FROM docs),
+asked AS (SELECT q, unnest(t) AS term FROM items),
+found AS (
+  SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(t) AS term FROM docs)
+  WHERE term IN (SELECT term FROM asked) GROUP BY r, term),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * nn + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM found, size GROUP BY term, nn),
+lengths AS (SELECT r, doc_id, 100 - 90 + (90 * CAST(len(t) AS BIGINT) * nn) // l AS m FROM docs, size WHERE len(t) > 0),
+impacts AS (
+  SELECT r, doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 8 * m)) AS part
+  FROM found JOIN lengths USING (r) JOIN weights USING (term)),
+scored AS (
+  SELECT q, r, doc_id, CAST(sum(part) AS BIGINT) AS score FROM asked JOIN impacts USING (term)
+  GROUP BY q, r, doc_id HAVING sum(part) > 0)
+SELECT item_id, CAST(place AS INTEGER) AS rank, doc_id, score FROM (
+  SELECT q, doc_id, score, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id) AS place FROM scored)
+JOIN items USING (q) WHERE place <= 10
+"""
