@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardstar.llm import (
-    decontam, itq, langid, lexical, licenses, lines, mixing, secrets, sharding, simhash, toxicity, variants,
+    decontam, itq, langid, lexical, licenses, lines, lmscore, mixing, secrets, sharding, simhash, toxicity,
+    variants,
 )
 from wardstar.llm.common import read_table
 
@@ -65,10 +66,14 @@ def op12_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def op13_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lmscore.score(read_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     every = (
         op1_secrets, op2_simhash, op3_langid, op4_toxicity, op5_sharding, op6_line_dedup, op7_itq, op8_mixing,
-        op9_decontaminate, op10_licenses, op11_variants, op12_search,
+        op9_decontaminate, op10_licenses, op11_variants, op12_search, op13_lm_score,
     )
     return {query.__name__: query for query in every}
 
