@@ -411,6 +411,7 @@ SELECT l_orderkey AS encounter_id, l_partkey AS diagnosis_id,
 FROM lineitem WHERE l_returnflag IN ('A', 'R') GROUP BY ALL""".strip(),
         "fact_encounters_initial": full("SELECT * FROM fact_encounters"),
         "fact_encounters_incremental": two("SELECT * FROM fact_encounters"),
+        "fact_late_changes": two("SELECT * EXCLUDE (updated_date) FROM fact_encounters"),
         "fact_as_of_provider": stmt(
             """SELECT e.encounter_id, e.provider_id, p.provider_key, s.specialty_key
 FROM encounters e JOIN provider_all p ON e.provider_id = p.provider_id
@@ -495,6 +496,12 @@ WHERE b.claim_status = 'Paid' GROUP BY 1, 2"""),
             BRIDGES,
             PAIRS,
         ),
+        "pair_summary_late_changes": two(
+            "SELECT icd10_code, icd10_description, cpt_code, cpt_description, encounter_count, total_revenue, "
+            f"CASE WHEN n_los > 0 THEN {ratio('sum_los', 'n_los', 4, 22)} END AS avg_length_of_stay_days FROM pairs",
+            BRIDGES,
+            PAIRS,
+        ),
         "provider_workload": full(f"""
 SELECT w.provider_id, p.full_name, p.specialty_name, total_encounters, multi_diagnosis_encounters,
        {percent("multi_diagnosis_encounters", "total_encounters")} AS multi_diagnosis_percent, total_revenue,
@@ -558,6 +565,17 @@ SELECT CASE WHEN e <> f THEN 'FAIL: row count mismatch' WHEN abs(b - r) > 0.01 T
 FROM (SELECT (SELECT count(*) FROM encounters) AS e, (SELECT count(*) FROM fact_encounters) AS f,
              (SELECT CAST(coalesce(sum(allowed_amount), 0) AS DECIMAL(22,2)) FROM billing) AS b,
              (SELECT CAST(coalesce(sum(total_allowed_amount), 0) AS DECIMAL(22,2)) FROM fact_encounters) AS r)"""),
+        "reconciliation_by_month": two("""
+SELECT encounter_month, e AS oltp_encounters, f AS star_encounters, b AS oltp_revenue, r AS star_revenue,
+       CASE WHEN e <> f THEN 'FAIL: row count mismatch' WHEN abs(b - r) > 0.01 THEN 'FAIL: revenue mismatch'
+       ELSE 'PASS' END AS status
+FROM (SELECT strftime(encounter_date, '%Y-%m') AS encounter_month, count(*) AS e,
+             CAST(coalesce(sum(m), 0) AS DECIMAL(22,2)) AS b
+      FROM encounters LEFT JOIN (SELECT encounter_id, sum(allowed_amount) AS m FROM billing GROUP BY ALL)
+        USING (encounter_id) GROUP BY ALL)
+JOIN (SELECT year_month AS encounter_month, count(*) AS f,
+             CAST(coalesce(sum(total_allowed_amount), 0) AS DECIMAL(22,2)) AS r
+      FROM fact_encounters GROUP BY ALL) USING (encounter_month)"""),
         "dq_coverage": source(
             union.join([
                 _coverage("encounter_without_bill", "encounters", _orphans("encounters", "billing", "encounter_id")),

@@ -1,0 +1,99 @@
+"""Bills and discharges that arrive after their encounter was loaded."""
+
+from decimal import Decimal
+
+import pytest
+from conftest import day, ts, tuples
+
+from wardstar.operators import changes, pairs, quality
+from wardstar.plans.batch import Star, run_batch
+
+# An open stay of the patient with an earlier stay, and a readmission after it.
+OPEN = (7010, 1003, 103, "Inpatient", ts("2024-06-14 08:00:00"), None, 3)
+AGAIN = (7011, 1003, 103, "Inpatient", ts("2024-06-25 08:00:00"), ts("2024-06-26 08:00:00"), 3)
+CLOSED = (*OPEN[:5], ts("2024-06-18 10:00:00"), 3)
+BILL = (14009, 7003, Decimal("100.00"), Decimal("80.00"), day("2024-05-20"), "Paid")
+LINES = {"encounter_diagnoses": [(8010, 7010, 3001, 1)], "encounter_procedures": [(9010, 7010, 4001, day("2024-06-14"))]}
+MEASURES = ("encounter_key", "encounter_id", "discharge_datetime", "length_of_stay_days", "total_claim_amount",
+            "total_allowed_amount", "has_billing", "is_readmission")
+
+
+def test_late_bills_and_discharges_reach_facts_flags_and_pairs(sample, warehouse, batch, spark):
+    run_batch(warehouse, sample(extra={"encounters": [OPEN, AGAIN], **LINES}), batch(1))
+    before = warehouse.snapshot()
+    assert not any(r.is_readmission for r in Star(warehouse)["fact_encounters"].collect())
+    whole = sample(extra={"encounters": [CLOSED, AGAIN], "billing": [BILL], **LINES})
+    result = run_batch(warehouse, whole, batch(2))
+    assert (result.new_encounters, result.refreshed_facts, result.repaired_flags) == (0, 2, 1)
+    star = Star(warehouse)
+    rows = {r.encounter_id: r for r in star["fact_encounters"].collect()}
+    assert rows[7003].total_allowed_amount == Decimal("80.00") and rows[7003].has_billing
+    assert rows[7010].length_of_stay_days == 4 and rows[7010].discharge_datetime == ts("2024-06-18 10:00:00")
+    assert rows[7011].is_readmission and not rows[7010].is_readmission
+    changed = {i for i, r in rows.items() if r.updated_date != r.created_date}
+    assert changed == {7003, 7010, 7011}
+
+    # Equal to a warehouse that saw everything at once.
+    other = type(warehouse)(spark, warehouse.root + "-whole")
+    run_batch(other, whole, batch(1))
+    fresh = Star(other)
+    assert tuples(star["fact_encounters"], *MEASURES) == tuples(fresh["fact_encounters"], *MEASURES)
+    assert tuples(star["pair_summary"]) == tuples(fresh["pair_summary"])
+    assert tuples(warehouse.read("fact_months", warehouse.snapshot())) == tuples(other.read("fact_months", other.snapshot()))
+    assert warehouse.months_written(before, warehouse.snapshot()) == {"2024-05", "2024-06"}
+
+
+def test_only_touched_months_are_written_and_nothing_new_writes_none(sample, warehouse, batch):
+    run_batch(warehouse, sample(), batch(1))
+    before = warehouse.snapshot()
+    result = run_batch(warehouse, sample(extra={"billing": [BILL]}), batch(2))
+    assert (result.refreshed_facts, result.repaired_flags) == (1, 0)
+    middle = warehouse.snapshot()
+    assert warehouse.months_written(before, middle) == {"2024-05"}
+    again = run_batch(warehouse, sample(extra={"billing": [BILL]}), batch(3))
+    assert again.refreshed_facts == 0
+    assert warehouse.snapshot().paths["fact_encounters"] == middle.paths["fact_encounters"]
+    # A bill taken back is taken off again.
+    back = run_batch(warehouse, sample(), batch(4))
+    assert back.refreshed_facts == 1
+    assert not Star(warehouse)["fact_encounters"].filter("encounter_id = 7003").first().has_billing
+
+
+def test_without_refreshing_a_late_bill_fails_and_names_its_month(sample, warehouse, batch):
+    run_batch(warehouse, sample(), batch(1))
+    with pytest.raises(quality.QualityError, match="revenue mismatch.*months that differ: 2024-05"):
+        run_batch(warehouse, sample(extra={"billing": [BILL]}), batch(2), refresh=False)
+
+
+def test_blocks_tell_repeated_rows_and_moved_nulls_apart(sample, spark):
+    def blocks(one, two):
+        return sorted(r.block for r in changes.changed_blocks(changes.digests(one), changes.digests(two)).collect())
+
+    assert blocks(sample(), sample()) == []
+    assert blocks(sample(), sample(extra={"billing": [BILL]})) == [0]
+    assert blocks(sample(), sample(extra={"billing": [BILL, BILL]})) == [0]
+    far = (1 << 20, 1001, 101, "ER", ts("2024-05-10 10:00:00"), None, 1)
+    assert blocks(sample(), sample(extra={"encounters": [far]})) == [(1 << 20) >> changes.BLOCK_BITS]
+    claim, allowed = ((14010, 7004, *money, day("2024-06-13"), "Paid") for money in ((Decimal("5.00"), None), (None, Decimal("5.00"))))
+    assert blocks(sample(extra={"billing": [claim]}), sample(extra={"billing": [allowed]})) == [0]
+
+
+def test_signed_rows_cancel(spark):
+    facts = spark.createDataFrame(
+        [(1, -1, Decimal("5.00"), None), (1, 1, Decimal("7.00"), 3)],
+        "encounter_key long, sign int, total_allowed_amount decimal(22,2), length_of_stay_days int",
+    )
+    d = spark.createDataFrame([(1, 10, 2)], "encounter_key long, diagnosis_group long, n_d long")
+    p = spark.createDataFrame([(1, 20, 3)], "encounter_key long, procedure_group long, n_p long")
+    row = pairs.pair_totals(facts, d, p).first()
+    assert (row.encounter_count, row.total_revenue, row.sum_los, row.n_los) == (0, Decimal("12.00"), 18, 6)
+
+
+def test_reconciliation_by_month_counts_bills_of_unknown_encounters(sample, warehouse, batch):
+    run_batch(warehouse, sample(), batch(1))
+    stray = (14011, 9999, Decimal("1.00"), Decimal("1.00"), day("2024-06-13"), "Paid")
+    source = sample(extra={"billing": [stray]})
+    months = warehouse.read("fact_months", warehouse.snapshot())
+    rows = {r.encounter_month: r for r in quality.reconciliation_by_month(source["encounters"], source["billing"], months).collect()}
+    assert {m: r.status for m, r in rows.items()} == {"2024-05": "PASS", "2024-06": "PASS", None: "FAIL: revenue mismatch"}
+    assert rows["2024-06"].oltp_revenue == rows["2024-06"].star_revenue == Decimal("10000.00")

@@ -40,17 +40,19 @@ def pair_totals(facts: DataFrame, diagnosis_counts: DataFrame, procedure_counts:
     """Totals per pair of code groups.
 
     encounter_count counts an encounter once per pair. Revenue and stay keep the fan-out
-    of the row pairs: an encounter with two diagnoses of one code weighs twice.
+    of the row pairs: an encounter with two diagnoses of one code weighs twice. Facts with
+    a column `sign` are added or, with sign -1, taken off.
     """
-    n = (F.col("n_d") * F.col("n_p")).cast("decimal(15,0)")
+    sign = F.col("sign") if "sign" in facts.columns else F.lit(1)
+    weight = F.col("n_d") * F.col("n_p") * sign
+    n = weight.cast("decimal(15,0)")
     stay = F.col("length_of_stay_days")
-    weight = F.col("n_d") * F.col("n_p")
     return (
         diagnosis_counts.join(facts, "encounter_key")
         .join(procedure_counts, "encounter_key")
         .groupBy("diagnosis_group", "procedure_group")
         .agg(
-            F.count("*").alias("encounter_count"),
+            F.sum(sign).cast("bigint").alias("encounter_count"),
             F.sum(F.col("total_allowed_amount") * n).alias("total_revenue"),
             F.sum(stay * weight).alias("sum_los"),
             F.sum(F.when(stay.isNotNull(), weight)).alias("n_los"),
@@ -73,7 +75,9 @@ def pair_summary(
     d_members, d_groups = code_groups(dim_diagnosis, "diagnosis_key", DIAGNOSIS, "diagnosis_group")
     p_members, p_groups = code_groups(dim_procedure, "procedure_key", PROCEDURE, "procedure_group")
     totals = pair_totals(
-        facts.select("encounter_key", "total_allowed_amount", "length_of_stay_days"),
+        facts.select(
+            "encounter_key", "total_allowed_amount", "length_of_stay_days", *[c for c in facts.columns if c == "sign"]
+        ),
         code_counts(bridge_diagnoses, "encounter_key", "diagnosis_key", d_members, "diagnosis_group", "n_d"),
         code_counts(bridge_procedures, "encounter_key", "procedure_key", p_members, "procedure_group", "n_p"),
     )
@@ -88,9 +92,13 @@ def pair_summary(
 
 def merge_summaries(old: DataFrame, new: DataFrame) -> DataFrame:
     """Add a batch's summary to the kept one; exact because sums and counts are kept."""
+    return merged(old.unionByName(new))
+
+
+def merged(summaries: DataFrame) -> DataFrame:
+    """One row per pair from the rows of several summaries, signed ones too."""
     return (
-        old.unionByName(new)
-        .groupBy(*PAIR)
+        summaries.groupBy(*PAIR)
         .agg(
             F.sum("encounter_count").alias("encounter_count"),
             F.sum("total_revenue").cast("decimal(38,2)").alias("total_revenue"),

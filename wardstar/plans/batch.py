@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..context import FIRST_WATERMARK, BatchContext
 from ..functions import calendar as cal
 from ..functions.clinical import text_key
-from ..operators import bridges, dims, facts, pairs, quality, readmission
+from ..operators import bridges, changes, dims, facts, pairs, quality, readmission
 from ..operators.keys import max_key_by_statistics
 from ..operators.scd import upsert
 from ..schemas import TARGET, literal_rows
@@ -45,6 +45,7 @@ class BatchResult:
     repaired_flags: int
     started_at: datetime
     finished_at: datetime
+    refreshed_facts: int = 0
 
 
 class StepLog:
@@ -311,12 +312,22 @@ def _repair_flags(
     wh: Warehouse, old_paths, candidates: DataFrame, discharges: DataFrame, ctx: BatchContext
 ) -> tuple[list[str], int]:
     """Rewrite the months in which late rows changed a stored flag; return live paths."""
+    changed = _changed_flags(wh, candidates, discharges, ctx)
+    per_month = {r.year_month: r["count"] for r in changed.groupBy("year_month").count().collect()}
+    if not per_month:
+        return list(old_paths), 0
+    kept = _rewrite_months(wh, old_paths, set(per_month), changed, None, ctx, "repair")
+    return kept, sum(per_month.values())
+
+
+def _changed_flags(wh: Warehouse, candidates: DataFrame, discharges: DataFrame, ctx: BatchContext) -> DataFrame:
+    """(encounter_id, year_month, _now): stored stays whose flag is another one now; written."""
     stays = candidates.select(
         "encounter_id", "patient_id", F.col("encounter_datetime").alias("admitted")
     )
     hits = readmission.readmitted(stays, discharges).withColumn("_now", F.lit(True))
     now = F.coalesce("_now", F.lit(False))
-    changed = wh.scratch(
+    return wh.scratch(
         candidates.select("encounter_id", "is_readmission", "year_month")
         .join(hits, "encounter_id", "left")
         .filter(now != F.col("is_readmission"))
@@ -324,18 +335,108 @@ def _repair_flags(
         "changed_flags",
         ctx.batch_id,
     )
-    per_month = {r.year_month: r["count"] for r in changed.groupBy("year_month").count().collect()}
-    if not per_month:
-        return list(old_paths), 0
-    kept, touched = wh.without_months(old_paths, set(per_month))
+
+
+def _rewrite_months(
+    wh: Warehouse, old_paths, months: set[str], flags: DataFrame | None, measures: DataFrame | None, ctx: BatchContext, label: str
+) -> list[str]:
+    """Write the given months again with new flags and measures; return the live paths.
+
+    The edits are few beside the months, so they are broadcast by their size and the rows
+    are not shuffled to them.
+    """
+    kept, touched = wh.without_months(old_paths, months)
     rows = wh.read("fact_encounters", Snapshot(0, {"fact_encounters": tuple(touched)}))
-    updated = (
-        rows.join(changed.select("encounter_id", "_now"), "encounter_id", "left")
-        .withColumn("updated_date", F.when(F.col("_now").isNull(), F.col("updated_date")).otherwise(cal.moment(ctx.started_at)))
-        .withColumn("is_readmission", F.coalesce("_now", "is_readmission"))
+    columns, edited = rows.columns, F.lit(False)
+    if flags is not None:
+        rows = rows.join(flags.select("encounter_id", "_now"), "encounter_id", "left")
+        rows = rows.withColumn("is_readmission", F.coalesce("_now", "is_readmission"))
+        edited = edited | F.col("_now").isNotNull()
+    if measures is not None:
+        fresh = measures.select("encounter_id", F.lit(True).alias("_hit"), *[f"new_{m}" for m in changes.MEASURES])
+        rows = rows.join(fresh, "encounter_id", "left")
+        for m in changes.MEASURES:
+            rows = rows.withColumn(m, F.when(F.col("_hit"), F.col(f"new_{m}")).otherwise(F.col(m)))
+        edited = edited | F.col("_hit").isNotNull()
+    rows = rows.withColumn("updated_date", F.when(edited, cal.moment(ctx.started_at)).otherwise(F.col("updated_date")))
+    return [*kept, wh.write_fact(rows.select(columns), ctx.batch_id, label=label)]
+
+
+# -- late bills and discharges ------------------------------------------------------
+
+
+@dataclass(frozen=True)
+class Refresh:
+    """Facts brought up to the source: the snapshot, the changed facts, how many."""
+
+    snapshot: Snapshot
+    changed: DataFrame | None = None
+    facts: int = 0
+    flags: int = 0
+
+
+def refresh_facts(wh: Warehouse, snap: Snapshot, source: Mapping[str, DataFrame], ctx: BatchContext) -> Refresh:
+    """Bring late bills and discharges into the stored facts.
+
+    Digests of the source tell which blocks of ids changed since the last batch; only those
+    are compared with the facts. Changed facts keep their keys. Months that hold one, or a
+    stay whose readmission flag follows from a moved discharge, are written again, once.
+    """
+    before, stored = wh.read("source_digests", snap), snap.paths.get("fact_encounters", ())
+    path = wh.write(changes.digests(source), "source_digests", ctx.batch_id)
+    state = snap.replaced("source_digests", [path])
+    if not stored:
+        return Refresh(state)
+    blocks = wh.scratch(changes.changed_blocks(wh.read("source_digests", state), before), "changed_blocks", ctx.batch_id)
+    ends = blocks.agg(F.min("block").alias("first"), F.max("block").alias("last")).first()
+    if ends.first is None:
+        return Refresh(state)
+    low, high = ends.first << changes.BLOCK_BITS, ((ends.last + 1) << changes.BLOCK_BITS) - 1
+    fact = wh.read("fact_encounters", snap)
+    changed = wh.scratch(changes.changed_facts(fact, source, blocks, low, high), "changed_facts", ctx.batch_id)
+    months = {r.year_month: r["count"] for r in changed.groupBy("year_month").count().collect()}
+    if not months:
+        return Refresh(state)
+    flags = _flags_after(wh, snap, fact, changed, ctx)
+    per_month = {} if flags is None else {r.year_month: r["count"] for r in flags.groupBy("year_month").count().collect()}
+    paths = _rewrite_months(wh, stored, {*months, *per_month}, flags, changed, ctx, "refresh")
+    return Refresh(state.replaced("fact_encounters", paths), changed, sum(months.values()), sum(per_month.values()))
+
+
+def _flags_after(
+    wh: Warehouse, snap: Snapshot, fact: DataFrame, changed: DataFrame, ctx: BatchContext
+) -> DataFrame | None:
+    """Stored stays whose flag changes with the moved discharges of their patients."""
+    kinds = wh.read("dim_encounter_type", snap)
+    old, new = F.col("old_discharge_datetime"), F.col("new_discharge_datetime")
+    moved = _inpatients(changed.filter(~old.eqNullSafe(new)), kinds)
+    span = moved.agg(F.min(F.least(old, new)).alias("first"), F.max(F.greatest(old, new)).alias("last")).first()
+    if span.first is None:
+        return None
+    patients = moved.select("patient_id").distinct()
+    stays = _inpatients(fact, kinds).join(patients, "patient_id", "left_semi")
+    candidates = facts.until(facts.after(stays, span.first), span.last + REACH)
+    now = moved.select("encounter_id", F.lit(True).alias("_moved"), new.alias("_discharged"))
+    discharged = F.when(F.col("_moved"), F.col("_discharged")).otherwise(F.col("discharge_datetime"))
+    discharges = (
+        stays.join(now, "encounter_id", "left")
+        .select("patient_id", discharged.alias("discharged"))
+        .filter(F.col("discharged") >= cal.moment(span.first - REACH))
     )
-    rewritten = wh.write_fact(updated, ctx.batch_id, label="repair")
-    return [*kept, rewritten], sum(per_month.values())
+    return _changed_flags(wh, candidates, discharges, ctx)
+
+
+def digest_months(wh: Warehouse, before: Snapshot, snap: Snapshot, ctx: BatchContext) -> Snapshot:
+    """Digests of the months this batch wrote, in place of their old ones."""
+    fact, old = wh.read("fact_encounters", snap), wh.read("fact_months", before)
+    if before.paths.get("fact_months") or not before.paths.get("fact_encounters"):
+        months = sorted(wh.months_written(before, snap))
+        if not months and before.paths.get("fact_months"):
+            return snap
+        fact = fact.filter(F.col("year_month").isin(months))  # bounded by the calendar; prunes folders
+        old = old.filter(~F.col("year_month").isin(months))
+    rows = old.unionByName(changes.month_digests(fact))
+    return snap.replaced("fact_months", [wh.write(rows.coalesce(1), "fact_months", ctx.batch_id)])
 
 
 # -- bridges and pair summary -------------------------------------------------------
@@ -373,15 +474,22 @@ def batch_part(snap: Snapshot, batch_id: int) -> Snapshot:
 
 
 def load_pair_summary(
-    wh: Warehouse, before: Snapshot, snap: Snapshot, ctx: BatchContext, load: FactLoad
+    wh: Warehouse, before: Snapshot, snap: Snapshot, ctx: BatchContext, load: FactLoad, changed: DataFrame | None = None
 ) -> Snapshot:
-    """Add the batch to the kept pair summary; rebuild it if a stored code text changed."""
+    """Add the batch to the kept pair summary; rebuild it if a stored code text changed.
+
+    Changed facts are taken off as they were and added as they are.
+    """
+
+    def summary(tables: Snapshot, rows: DataFrame | None = None) -> DataFrame:
+        def bridge(table: str) -> DataFrame:
+            lines = wh.read(table, tables)
+            return lines if rows is None else facts.scoped(lines, rows, "encounter_key")
 
-    def summary(tables: Snapshot) -> DataFrame:
         return pairs.pair_summary(
-            wh.read("fact_encounters", tables),
-            wh.read("bridge_encounter_diagnoses", tables),
-            wh.read("bridge_encounter_procedures", tables),
+            wh.read("fact_encounters", tables) if rows is None else changes.signed(rows),
+            bridge("bridge_encounter_diagnoses"),
+            bridge("bridge_encounter_procedures"),
             wh.read("dim_diagnosis", tables),
             wh.read("dim_procedure", tables),
         )
@@ -401,10 +509,15 @@ def load_pair_summary(
         "dim_procedure", "procedure_id", pairs.PROCEDURE
     ):
         df = summary(snap)
-    elif load.new_paths:
-        mine = batch_part(snap, ctx.batch_id)
-        batch_only = Snapshot(snap.batch_id, {**snap.paths, **mine.paths, "fact_encounters": load.new_paths})
-        df = pairs.merge_summaries(wh.read("pair_summary", snap), summary(batch_only))
+    elif load.new_paths or changed is not None:
+        df = wh.read("pair_summary", snap)
+        if changed is not None:
+            df = df.unionByName(summary(before, changed))
+        if load.new_paths:
+            mine = batch_part(snap, ctx.batch_id)
+            batch_only = Snapshot(snap.batch_id, {**snap.paths, **mine.paths, "fact_encounters": load.new_paths})
+            df = df.unionByName(summary(batch_only))
+        df = pairs.merged(df)
     else:
         return snap
     return snap.replaced("pair_summary", [wh.write(df, "pair_summary", ctx.batch_id)])
@@ -438,6 +551,7 @@ def run_batch(
     reconcile: bool = True,
     with_dimensions: bool = True,
     lookup: str = "current",
+    refresh: bool | None = None,
 ) -> BatchResult:
     """Load one batch. Nothing becomes visible unless every check passed.
 
@@ -446,8 +560,11 @@ def run_batch(
     reconcile=False when the source holds only new rows (a stream's micro-batch);
     with_dimensions=False keeps the dimensions of the last batch and only extends the
     calendar; lookup="as_of" takes the patient and provider versions valid on the day of
-    an encounter instead of the current ones.
+    an encounter instead of the current ones. refresh brings bills and discharges that
+    arrived late into the stored facts; it needs the whole source, as reconciling does, and
+    is done with it unless told otherwise.
     """
+    refresh = reconcile if refresh is None else refresh
     before = wh.snapshot()
     if ctx.batch_id <= before.batch_id:
         raise ValueError(f"batch {ctx.batch_id} is not after batch {before.batch_id}")
@@ -469,19 +586,26 @@ def run_batch(
         live = {t: wh.read(t, snap, "is_current=true").count() for t in ("dim_patient", "dim_provider")}
         log.record({DIM_STEP: live["dim_patient"]}, [FACT_STEP])
 
-        load = load_facts(wh, snap, source, ctx, marks.encounters, lookup)
+        late = refresh_facts(wh, snap, source, ctx) if refresh else Refresh(snap)
+        load = load_facts(wh, late.snapshot, source, ctx, marks.encounters, lookup)
         watermark = max(marks.encounters, load.high_watermark or marks.encounters)
         log.record({FACT_STEP: load.loaded}, [BRIDGE_STEP])
 
         snap = load_bridges(wh, load.snapshot, source, ctx, load)
-        snap = load_pair_summary(wh, before, snap, ctx, load)
+        snap = load_pair_summary(wh, before, snap, ctx, load, late.changed)
         bridge_rows = wh.read("bridge_encounter_diagnoses", batch_part(snap, ctx.batch_id)).count()
 
+        snap = digest_months(wh, before, snap, ctx)
         if reconcile:
-            fact = wh.read("fact_encounters", snap)
+            fact, months = wh.read("fact_encounters", snap), wh.read("fact_months", snap)
+            # What refreshing has digested need not be read again.
+            totals = (
+                quality.reconciliation_of_digests(wh.read("source_digests", snap), months)
+                if refresh
+                else quality.reconciliation(source["encounters"], source["billing"], fact)
+            )
             quality.require_reconciled(
-                quality.reconciliation(source["encounters"], source["billing"], fact),
-                lambda: _missing_facts(wh, snap, source, fact, marks.encounters, load),
+                totals, lambda: _missing_facts(wh, snap, source, fact, months, marks.encounters, load)
             )
         counts = {"fact_encounters": load.loaded, **live}
         metadata = next_metadata(wh, before, ctx, watermark, counts)
@@ -492,16 +616,21 @@ def run_batch(
         log.fail(error)
         raise
     return BatchResult(
-        snap, marks.encounters, watermark, load.loaded, load.rejected, load.repaired, ctx.started_at, ctx.clock()
+        snap, marks.encounters, watermark, load.loaded, load.rejected, load.repaired + late.flags, ctx.started_at,
+        ctx.clock(), late.facts,
     )
 
 
 def _missing_facts(
-    wh: Warehouse, snap: Snapshot, source: Mapping[str, DataFrame], fact: DataFrame, watermark: datetime, load: FactLoad
-) -> str:
-    """Why encounters may be missing from the fact: late ones, and rejects by reason."""
+    wh: Warehouse, snap: Snapshot, source: Mapping[str, DataFrame], fact: DataFrame, months: DataFrame,
+    watermark: datetime, load: FactLoad,
+) -> str:
+    """Why the sides may differ: late encounters, the months that differ, rejects by reason."""
     late = facts.late_arrivals(source["encounters"], fact, cal.moment(watermark)).count()
     text = f"late encounters: {late}"
+    apart = quality.reconciliation_by_month(source["encounters"], source["billing"], months).filter("status <> 'PASS'")
+    names = sorted(str(r[0]) for r in apart.select("encounter_month").collect())  # bounded by the calendar
+    text += f"; months that differ: {', '.join(names)}"
     if load.rejected:
         path = snap.paths["rejects"][-1]
         mine = wh.read("rejects", Snapshot(0, {"rejects": (path,)}))

@@ -86,6 +86,25 @@ def two_loads(spark: SparkSession, sf_dir: str) -> Loaded:
     return _once(spark, sf_dir, "two", make)
 
 
+def late_changes(spark: SparkSession, sf_dir: str) -> Loaded:
+    """Two loads; the first lacks every seventh bill and every ninth discharge of its encounters."""
+
+    def make(wh: Warehouse) -> Loaded:
+        views = ov.clinical_views(spark, sf_dir, load=1)
+        key = F.col("encounter_id")
+        open_yet = F.when(key % 9 != 4, F.col("discharge_date"))
+        early = {
+            **views,
+            "encounters": views["encounters"].withColumn("discharge_date", open_yet),
+            "billing": views["billing"].filter(key % 7 != 3),
+        }
+        first = run_batch(wh, early, first_batch())
+        grown = ov.clinical_views(spark, sf_dir, people_at=2)
+        return Loaded(wh, (first, run_batch(wh, grown, second_batch())))
+
+    return _once(spark, sf_dir, "late-changes", make)
+
+
 def streamed(spark: SparkSession, sf_dir: str, deliveries: tuple[tuple[int, ...], ...]) -> Loaded:
     """Parts of the encounters arrive in a landing folder, one delivery after the other."""
     name = "stream-" + "-".join("".join(map(str, parts)) for parts in deliveries)

@@ -95,8 +95,17 @@ _TARGET_COLUMNS = {
     "rejects": """encounter_id bigint, encounter_datetime timestamp_ntz, reject_reason string""",
 }
 
+# Kept with a snapshot for the next batch; no part of the star schema.
+_STATE_COLUMNS = {
+    "source_digests": """block bigint, source_table string, n bigint, money decimal(38,2), mixed bigint,
+        summed bigint""",
+    "fact_months": "year_month string, encounters bigint, revenue decimal(38,2), mixed bigint",
+}
+
 SOURCE = {name: _struct(columns) for name, columns in _SOURCE_COLUMNS.items()}
 TARGET = {name: _struct(columns) for name, columns in _TARGET_COLUMNS.items()}
+STATE = {name: _struct(columns) for name, columns in _STATE_COLUMNS.items()}
+STORED = {**TARGET, **STATE}
 
 
 def literal_rows(spark: SparkSession, rows: list[tuple], schema: T.StructType) -> DataFrame:
@@ -108,8 +117,8 @@ def literal_rows(spark: SparkSession, rows: list[tuple], schema: T.StructType) -
 
 
 def empty(spark: SparkSession, table: str) -> DataFrame:
-    """A table of the star schema without rows, as creating it would leave it."""
-    return literal_rows(spark, [], TARGET[table])
+    """A stored table without rows, as creating it would leave it."""
+    return literal_rows(spark, [], STORED[table])
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:

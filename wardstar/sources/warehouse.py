@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..schemas import TARGET, conform, empty, literal_rows
+from ..schemas import STORED, TARGET, conform, empty, literal_rows
 
 _LIST = "_published"
 # Tables to which each batch adds folders.
@@ -72,7 +72,7 @@ class Warehouse:
         paths = [p for p in snapshot.paths.get(table, ()) if only is None or only in p]
         if not paths:
             return empty(self.spark, table)
-        schema = TARGET[table]
+        schema = STORED[table]
         df = (
             self.spark.read.schema(schema)
             .option("basePath", f"{self.root}/{table}")
@@ -83,8 +83,8 @@ class Warehouse:
     def write(self, df: DataFrame, table: str, batch_id: int, part: str = "", label: str = "") -> str:
         """Write one unpartitioned folder of this batch and return its path."""
         path = f"{table}/batch={batch_id}" + (f"-{label}" if label else "") + (f"/{part}" if part else "")
-        names = [n for n in TARGET[table].names if not part.startswith(f"{n}=")]
-        conform(df, TARGET[table]).select(names).write.mode("overwrite").parquet(f"{self.root}/{path}")
+        names = [n for n in STORED[table].names if not part.startswith(f"{n}=")]
+        conform(df, STORED[table]).select(names).write.mode("overwrite").parquet(f"{self.root}/{path}")
         return path
 
     def write_fact(self, df: DataFrame, batch_id: int, label: str = "new") -> str:
@@ -104,6 +104,22 @@ class Warehouse:
         )
         return path
 
+    def months_of(self, path: str) -> list[str]:
+        """Months in a fact folder: partition values only, bounded by the calendar."""
+        if "year_month=" in path:
+            return [path.rsplit("year_month=", 1)[1]]
+        rows = self.read("fact_encounters", Snapshot(0, {"fact_encounters": (path,)}))
+        return sorted(r[0] for r in rows.select("year_month").distinct().collect())
+
+    def months_written(self, before: "Snapshot", after: "Snapshot") -> set[str]:
+        """Months of the fact folders that are in one snapshot and not in the other.
+
+        A month folder that is left of a folder of the earlier snapshot is nothing new.
+        """
+        old = set(before.paths.get("fact_encounters", ()))
+        fresh = [p for p in after.paths.get("fact_encounters", ()) if p not in old and p.rsplit("/year_month=", 1)[0] not in old]
+        return {m for p in fresh for m in self.months_of(p)}
+
     def without_months(self, paths, months: set[str]) -> tuple[list[str], list[str]]:
         """Split live fact folders into those to keep and those of the given months.
 
@@ -111,14 +127,8 @@ class Warehouse:
         """
         kept, dropped = [], []
         for path in paths:
-            if "year_month=" in path:
-                inside = [path.rsplit("year_month=", 1)[1]]
-                folder = path.rsplit("/", 1)[0]
-            else:
-                rows = self.read("fact_encounters", Snapshot(0, {"fact_encounters": (path,)}))
-                # Partition values only, bounded by the calendar.
-                inside = sorted(r[0] for r in rows.select("year_month").distinct().collect())
-                folder = path
+            inside = self.months_of(path)
+            folder = path.rsplit("/year_month=", 1)[0]
             if not months.intersection(inside):
                 kept.append(path)
                 continue
