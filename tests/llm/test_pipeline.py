@@ -4,8 +4,8 @@ import corpus_pipeline
 import pytest
 from check import compare, connect
 from llm_cases import documents, empty, odd_rows
+from test_copies import kept as near_copies_left
 from test_decontam import expected as contaminated
-from test_simhash import expected as near_copies
 
 from wardstar.llm import queries as llm
 from wardstar.llm.common import read_table
@@ -35,7 +35,7 @@ def test_stages_equal_brute_force(spark):
         after = {r.doc_id: r for r in rows.collect()}
         plain = [(i, r.text) for i, r in before.items()]
         if name == "simhash_near_dedup":
-            assert set(after) == {r[2] for r in near_copies(plain)}
+            assert set(after) == near_copies_left(plain)
         elif name == "benchmark_decontamination":
             assert set(after) == {r[0] for r in contaminated(plain, items) if not r[5]}
             assert len(after) < len(before)
