@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..context import FIRST_WATERMARK
@@ -155,14 +155,35 @@ def lookup_keys(
 
 
 def _as_of(rows: DataFrame, versions: DataFrame, natural: str) -> DataFrame:
-    """Left join to the version whose half-open interval contains the row's day."""
-    v = versions.withColumnRenamed(natural, "_nk")
-    valid = (
-        (rows[natural] == v["_nk"])
-        & (v["effective_date"] <= rows["_day"])
-        & (rows["_day"] < v["expiration_date"])
-    )
-    return rows.join(v, valid, "left").drop("_nk", "effective_date", "expiration_date")
+    """Rows with the version whose half-open interval contains their day, null if none does.
+
+    A key's versions are laid beside its days, not joined with its rows: the different
+    (key, day) pairs and the versions are united, and in order of the day each pair takes
+    the last version that began by then. So a long history costs its own rows once, and
+    the wide rows meet exactly one answer per pair. Days of a key are bounded by the
+    calendar. Versions that began on one day are all kept, as a join would keep them.
+    """
+    attrs = [c for c in versions.columns if c not in (natural, "effective_date", "expiration_date")]
+    # Versions of a key that began on one day and haven't ended before the next one begins.
+    began = versions.filter(F.col("effective_date") < F.col("expiration_date")).groupBy(
+        F.col(natural).alias("_nk"), F.col("effective_date").alias("_at")
+    )
+    began = began.agg(F.collect_list(F.struct("expiration_date", *attrs)).alias("_versions"))
+    days = rows.select(F.col(natural).alias("_nk"), F.col("_day").alias("_at")).distinct()
+    events = days.withColumn("_asks", F.lit(True)).unionByName(began, allowMissingColumns=True)
+    # A version that begins on the asked day comes first.
+    upto = Window.partitionBy("_nk").orderBy("_at", F.col("_asks").isNotNull())
+    last = F.last("_versions", ignorenulls=True).over(upto.rowsBetween(Window.unboundedPreceding, 0))
+    answers = (
+        events.withColumn("_last", last)
+        .filter(F.col("_asks") & F.col("_last").isNotNull())
+        .select("_nk", "_at", F.explode("_last").alias("_v"))
+        .filter(F.col("_at") < F.col("_v.expiration_date"))
+        .select("_nk", "_at", *[F.col(f"_v.{c}").alias(c) for c in attrs])
+    )
+    return rows.join(answers, (rows[natural] == answers["_nk"]) & (rows["_day"] == answers["_at"]), "left").drop(
+        "_nk", "_at"
+    )
 
 
 def count_per_encounter(lines: DataFrame, name: str) -> DataFrame:

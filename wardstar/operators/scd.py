@@ -108,10 +108,16 @@ def upsert_scd1(
 
 @dataclass(frozen=True)
 class Scd2Next:
-    """Outcome of one history-keeping step; earlier history rows stay as they are."""
+    """Outcome of one history-keeping step; earlier history rows stay as they are.
+
+    changes are the rows that replace or join the current ones; within(part) is the same
+    step over a part of the current rows that holds all those the changes replace.
+    """
 
     current: DataFrame
     expired: DataFrame
+    changes: DataFrame | None = None
+    within: Callable[[DataFrame], "Scd2Next"] | None = None
 
     def all_with(self, history: DataFrame) -> DataFrame:
         return history.unionByName(self.expired).unionByName(self.current)
@@ -187,6 +193,11 @@ def scd2_next(
         if changes.isEmpty():
             return Scd2Next(current, current.limit(0))
     start = max(max_key(current, key), max_key(history, key))
-    kept = current.join(changes.select(natural), natural, "left_anti").select(current.columns)
-    opened = scd2_open(changes, natural, key, start, as_of).select(current.columns)
-    return Scd2Next(kept.unionByName(opened), scd2_expire(current, changes, natural, as_of))
+
+    def within(part: DataFrame) -> Scd2Next:
+        kept = part.join(changes.select(natural), natural, "left_anti").select(current.columns)
+        opened = scd2_open(changes, natural, key, start, as_of).select(current.columns)
+        expired = scd2_expire(part, changes, natural, as_of)
+        return Scd2Next(kept.unionByName(opened), expired, changes, within)
+
+    return within(current)

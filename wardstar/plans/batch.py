@@ -20,7 +20,7 @@ from ..operators.keys import max_key_by_statistics
 from ..operators.scd import upsert
 from ..schemas import TARGET, literal_rows
 from ..sources.tables import checked
-from ..sources.warehouse import Snapshot, Warehouse
+from ..sources.warehouse import Snapshot, Warehouse, bucket_of, buckets_for
 
 T = TypeVar("T")
 
@@ -123,20 +123,39 @@ def _next_table(wh: Warehouse, snap: Snapshot, ctx: BatchContext, table: str, bu
     return table, list(paths) if new is old else [wh.write(new, table, ctx.batch_id)]
 
 
-def _next_versions(wh: Warehouse, snap: Snapshot, ctx: BatchContext, table: str, build) -> tuple[str, list[str]]:
-    """The same with history: new current rows and newly closed ones; older history stays."""
-    paths = snap.paths.get(table)
+def _next_versions(
+    wh: Warehouse, snap: Snapshot, ctx: BatchContext, table: str, natural: str, rows: DataFrame, build
+) -> tuple[str, list[str]]:
+    """The same with history, in buckets of the natural key.
+
+    Only the buckets that hold a changed or new key are written again; the other current
+    rows and the older history stay where they are.
+    """
+    paths = snap.paths.get(table, ())
+
+    def write(df: DataFrame, part: str, buckets: int) -> list[str]:
+        return wh.write_buckets(df, table, ctx.batch_id, part, natural, buckets)
+
     if not paths:
-        return table, [wh.write(build(None, None, None).current, table, ctx.batch_id, "is_current=true")]
+        return table, write(build(None, None, None).current, "is_current=true", buckets_for(rows.count()))
     current, history = wh.read(table, snap, "is_current=true"), wh.read(table, snap, "is_current=false")
     step = build(current, history, _stage(wh, table, ctx))
     if step.current is current:
         return table, list(paths)
-    live, closed = at_once(
-        lambda: wh.write(step.current, table, ctx.batch_id, "is_current=true"),
-        lambda: wh.write(step.expired, table, ctx.batch_id, "is_current=false"),
+    if not all("/buckets=" in p for p in paths):  # a table from before there were buckets
+        buckets, kept, closed = buckets_for(rows.count()), [], step.expired.unionByName(history)
+    else:
+        buckets = int(paths[0].split("/buckets=")[1].split("/")[0])
+        hit = step.changes.select(bucket_of(F.col(natural), buckets).alias("b")).distinct()
+        ends = tuple(f"/bucket={r.b}" for r in hit.collect())  # bounded by the number of buckets
+        touched = [p for p in paths if "is_current=true" in p and p.endswith(ends)]
+        kept = [p for p in paths if p not in touched]
+        step = step.within(wh.read(table, Snapshot(0, {table: tuple(touched)})))
+        closed = step.expired
+    live, ended = at_once(
+        lambda: write(step.current, "is_current=true", buckets), lambda: write(closed, "is_current=false", buckets)
     )
-    return table, [*(p for p in paths if "is_current=false" in p), closed, live]
+    return table, [*kept, *ended, *live]
 
 
 def _calendar_bounds(source: Mapping[str, DataFrame], ctx: BatchContext, marks: Marks) -> DataFrame:
@@ -170,8 +189,8 @@ def load_dimensions(
 
     # The dimensions do not depend on each other, so their jobs share the executors.
     written = at_once(
-        lambda: _next_versions(wh, snap, ctx, "dim_patient", patients),
-        lambda: _next_versions(wh, snap, ctx, "dim_provider", providers),
+        lambda: _next_versions(wh, snap, ctx, "dim_patient", "patient_id", source["patients"], patients),
+        lambda: _next_versions(wh, snap, ctx, "dim_provider", "provider_id", source["providers"], providers),
         plain("dim_date", dims.dim_date, _calendar_bounds(source, ctx, marks)),
         plain("dim_specialty", dims.dim_specialty, source["specialties"]),
         plain("dim_department", dims.dim_department, source["departments"]),

@@ -11,13 +11,15 @@ import uuid
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schemas import STORED, TARGET, conform, empty, literal_rows
 
 _LIST = "_published"
+#: A table kept in buckets gets as many, a power of two, as hold about so many rows each.
+BUCKET_ROWS = 1 << 18
 # Tables to which each batch adds folders.
 _GROWING = ("fact_encounters", "bridge_encounter_diagnoses", "bridge_encounter_procedures", "rejects")
 _LIST_COLUMNS = T.StructType(
@@ -25,6 +27,15 @@ _LIST_COLUMNS = T.StructType(
 )
 
 
+def bucket_of(key: Column, buckets: int) -> Column:
+    """The bucket of a key; it follows from the key alone."""
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+
+
+def buckets_for(rows: int) -> int:
+    return 1 << max(0, -(-rows // BUCKET_ROWS) - 1).bit_length()
+
+
 @dataclass(frozen=True)
 class Snapshot:
     """Folders that make up each table, relative to the warehouse."""
@@ -87,6 +98,23 @@ class Warehouse:
         conform(df, STORED[table]).select(names).write.mode("overwrite").parquet(f"{self.root}/{path}")
         return path
 
+    def write_buckets(self, df: DataFrame, table: str, batch_id: int, part: str, key: str, buckets: int) -> list[str]:
+        """Write rows into one folder per bucket of their key; return the folders that hold any."""
+        base = f"{table}/batch={batch_id}/{part}/buckets={buckets}"
+        names = [n for n in STORED[table].names if not part.startswith(f"{n}=")]
+        rows = conform(df, STORED[table]).select(names)
+        if buckets == 1:
+            rows.write.mode("overwrite").parquet(f"{self.root}/{base}/bucket=0")
+            return [f"{base}/bucket=0"]
+        (
+            rows.withColumn("bucket", bucket_of(F.col(key), buckets))
+            .hint("rebalance", "bucket")
+            .write.mode("overwrite").partitionBy("bucket").parquet(f"{self.root}/{base}")
+        )
+        # Partition values only, bounded by the number of buckets.
+        written = self.spark.read.schema(f"{key} bigint, bucket int").parquet(f"{self.root}/{base}")
+        return [f"{base}/bucket={r.bucket}" for r in written.select("bucket").distinct().orderBy("bucket").collect()]
+
     def write_fact(self, df: DataFrame, batch_id: int, label: str = "new") -> str:
         """Write fact rows by month into one folder and return its path.
 
