@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -64,6 +65,41 @@ def delta(
     return rows.join(clashing, "encounter_id", "left_anti")
 
 
+#: Ranges that a batch's ids are described by at most.
+ID_RANGES = 64
+
+
+def id_ranges(rows: DataFrame, most: int = ID_RANGES) -> list[tuple[int, int]]:
+    """Ranges, apart from each other, that hold all encounter ids of the rows.
+
+    The span of the ids is cut into `most` equal steps; steps without an id are left out and
+    neighbouring ones put together. Two aggregates over the ids; at most `most` numbers
+    reach the driver.
+    """
+    ends = rows.agg(F.min("encounter_id").alias("low"), F.max("encounter_id").alias("high")).first()
+    if ends.low is None:
+        return []
+    width = -(-(ends.high - ends.low + 1) // most)
+    step = F.floor((F.col("encounter_id") - ends.low) / width).cast("int")
+    steps = sorted(r.s for r in rows.filter("encounter_id IS NOT NULL").select(step.alias("s")).distinct().collect())
+    ranges: list[tuple[int, int]] = []
+    for s in steps:
+        low, high = ends.low + s * width, min(ends.low + (s + 1) * width - 1, ends.high)
+        if ranges and ranges[-1][1] == low - 1:
+            low = ranges.pop()[0]
+        ranges.append((low, high))
+    return ranges
+
+
+def known_ids(ids: DataFrame, rows: DataFrame) -> DataFrame:
+    """Stored ids within the ranges of the rows' ids: the ranges reach the scan.
+
+    The list of ids is narrow and in order, so row groups outside the ranges aren't read.
+    """
+    within = [F.col("encounter_id").between(low, high) for low, high in id_ranges(rows)]
+    return ids.filter(reduce(Column.__or__, within, F.lit(False)))
+
+
 def after(loaded: DataFrame, when: datetime) -> DataFrame:
     """Stored facts admitted later than when; whole months before it are not read."""
     return loaded.filter(

@@ -232,6 +232,9 @@ def stage_facts(
     result has the reject rows of the other copies.
     """
     loaded = wh.read("fact_encounters", snap) if snap.paths.get("fact_encounters") else None
+    if loaded is not None and not ctx.strict and snap.paths.get("fact_ids"):
+        # Any id may have arrived before: the list of ids is asked and no fact is read.
+        loaded = facts.known_ids(wh.read("fact_ids", snap), source["encounters"])
     new = facts.delta(source["encounters"], loaded, watermark, ctx.strict)
     scope, copies = _whole, None
     if loaded is not None or not ctx.strict:
@@ -310,6 +313,10 @@ def load_facts(
     start = 0 if old is None else max_key_by_statistics(old, "encounter_key")
     keyed = facts.key_facts(ok, start, ctx.started_at)
     new_paths = [wh.write_fact(readmission.flag(keyed, readmission.stays_of(ok), discharges), ctx.batch_id)]
+    # The list holds the ids of all facts; one that isn't there yet begins with those stored.
+    unlisted = new_paths if old is None or snap.paths.get("fact_ids") else [*old_paths, *new_paths]
+    fresh = wh.read("fact_encounters", Snapshot(0, {"fact_encounters": tuple(unlisted)}))
+    snap = snap.extended("fact_ids", [wh.write_ids(fresh, ctx.batch_id)])
     repaired = 0
     kept = list(old_paths)
     if old is not None and not ctx.strict and span.last_out is not None:

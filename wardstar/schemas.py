@@ -99,6 +99,7 @@ _TARGET_COLUMNS = {
 _STATE_COLUMNS = {
     "source_digests": """block bigint, source_table string, n bigint, money decimal(38,2), mixed bigint,
         summed bigint""",
+    "fact_ids": "encounter_id bigint",
     "fact_months": "year_month string, encounters bigint, revenue decimal(38,2), mixed bigint",
 }
 

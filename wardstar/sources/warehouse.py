@@ -21,7 +21,7 @@ _LIST = "_published"
 #: A table kept in buckets gets as many, a power of two, as hold about so many rows each.
 BUCKET_ROWS = 1 << 18
 # Tables to which each batch adds folders.
-_GROWING = ("fact_encounters", "bridge_encounter_diagnoses", "bridge_encounter_procedures", "rejects")
+_GROWING = ("fact_encounters", "fact_ids", "bridge_encounter_diagnoses", "bridge_encounter_procedures", "rejects")
 _LIST_COLUMNS = T.StructType(
     [T.StructField("table_name", T.StringType()), T.StructField("path", T.StringType())]
 )
@@ -115,6 +115,11 @@ class Warehouse:
         written = self.spark.read.schema(f"{key} bigint, bucket int").parquet(f"{self.root}/{base}")
         return [f"{base}/bucket={r.bucket}" for r in written.select("bucket").distinct().orderBy("bucket").collect()]
 
+    def write_ids(self, df: DataFrame, batch_id: int, label: str = "") -> str:
+        """Write the ids of facts in their order, so that row groups hold narrow ranges."""
+        ids = df.select("encounter_id").repartitionByRange("encounter_id").sortWithinPartitions("encounter_id")
+        return self.write(ids, "fact_ids", batch_id, label=label)
+
     def write_fact(self, df: DataFrame, batch_id: int, label: str = "new") -> str:
         """Write fact rows by month into one folder and return its path.
 
@@ -199,6 +204,8 @@ class Warehouse:
             rows, label = self.read(table, old), f"compact{revision}"
             if table == "fact_encounters":
                 path = self.write_fact(rows, old.batch_id, label)
+            elif table == "fact_ids":
+                path = self.write_ids(rows, old.batch_id, label)
             else:
                 path = self.write(rows, table, old.batch_id, label=label)
             new = new.replaced(table, [path])
