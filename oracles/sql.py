@@ -377,6 +377,21 @@ def statements() -> dict[str, str]:
          "count(DISTINCT f.patient_key) AS unique_patients FROM fact_encounters f " \
          "JOIN dim_specialty USING (specialty_key) JOIN dim_encounter_type USING (encounter_type_key) GROUP BY ALL"
     held = stmt
+    batch_checks = union.join(
+        f"""SELECT CAST({n} AS BIGINT) AS batch_id, '{check}' AS "check", rows, misses,
+  CASE WHEN rows > 0 THEN {percent("misses", "rows")} END AS miss_percent
+  FROM (SELECT count(*) AS rows, count(*) FILTER ({missed}) AS misses
+        FROM fact_encounters WHERE encounter_datetime {side} {SPLIT})"""
+        for n, side in ((1, "<="), (2, ">"))
+        for check, missed in (
+            ("fact_without_bill", "NOT has_billing"),
+            ("fact_without_diagnosis", "diagnosis_count = 0"),
+            ("fact_without_procedure", "procedure_count = 0"),
+            ("fact_without_discharge", "discharge_datetime IS NULL"),
+            ("fact_before_watermark", "FALSE"),
+            ("encounter_rejected", "FALSE"),
+        )
+    )
     out = {
         "dim_date": dimension("SELECT * FROM dim_date"),
         "dim_specialty": dimension("SELECT * FROM dim_specialty"),
@@ -440,6 +455,8 @@ GROUP BY ALL"""),
         "bridge_procedures": full("SELECT * FROM bridge_procedures", BRIDGES),
         "q1_star": full(q1),
         "q1_star_versions": two(q1),
+        "q1_star_stored": two(q1),
+        "dq_batch_checks": two(batch_checks),
         "q1_oltp": source("""
 SELECT strftime(e.encounter_date, '%Y-%m') AS encounter_month, s.specialty_name, e.encounter_type,
        count(DISTINCT e.encounter_id) AS total_encounters, count(DISTINCT e.patient_id) AS unique_patients

@@ -1,0 +1,91 @@
+"""Months of encounters and patients kept by increments, and checks observed while facts are written."""
+
+from conftest import day, ts, tuples
+from pyspark.sql import functions as F
+
+from wardstar.operators import visits
+from wardstar.plans import questions, reports
+from wardstar.plans.batch import Star, run_batch
+
+# The patient of 7003 again in another month and, with another patient, in the same one.
+LATER = [
+    (7020, 1002, 102, "Outpatient", ts("2024-06-20 09:00:00"), ts("2024-06-20 10:00:00"), 2),
+    (7021, 1002, 102, "Outpatient", ts("2024-06-21 09:00:00"), None, 2),
+    (7022, 1003, 102, "Outpatient", ts("2024-06-22 09:00:00"), ts("2024-06-22 10:00:00"), 2),
+]
+
+
+def stored(wh):
+    return questions.monthly_encounters_stored(wh.read("month_visits", wh.snapshot()), Star(wh))
+
+
+def checks(wh):
+    rows = reports.batch_checks(wh.read("batch_checks", wh.snapshot())).collect()
+    return {(r.batch_id, r.check): (r.rows, r.misses) for r in rows}
+
+
+def test_kept_months_equal_a_count_of_all_facts(sample, warehouse, batch):
+    run_batch(warehouse, sample(), batch(1))
+    first = warehouse.snapshot().paths["month_visits"]
+    run_batch(warehouse, sample(extra={"encounters": LATER}), batch(2))
+    snap = warehouse.snapshot()
+    assert tuples(stored(warehouse)) == tuples(questions.monthly_encounters_star(Star(warehouse)))
+    # The second batch added rows of its own facts and left the first one's alone.
+    (new,) = set(snap.paths["month_visits"]) - set(first)
+    own = warehouse.read("month_visits", type(snap)(0, {"month_visits": (new,)}))
+    assert own.agg(F.sum("encounters")).first()[0] == len(LATER)
+    before = tuples(stored(warehouse))
+    warehouse.compact()
+    assert len(warehouse.snapshot().paths["month_visits"]) == 1 and tuples(stored(warehouse)) == before
+    # A batch without encounters adds nothing.
+    run_batch(warehouse, sample(extra={"encounters": LATER}), batch(3))
+    assert len(warehouse.snapshot().paths["month_visits"]) == 1 and tuples(stored(warehouse)) == before
+
+
+def test_facts_stored_before_there_were_months_are_counted(sample, warehouse, batch):
+    run_batch(warehouse, sample(), batch(1))
+    snap = warehouse.snapshot()
+    warehouse.publish(type(snap)(1, {t: p for t, p in snap.paths.items() if t != "month_visits"}), 1, 1)
+    run_batch(warehouse, sample(extra={"encounters": LATER}), batch(2))
+    assert tuples(stored(warehouse)) == tuples(questions.monthly_encounters_star(Star(warehouse)))
+
+
+def test_patients_count_once_over_batches_groups_and_buckets(spark):
+    keys = [1, 2, 32_768, 32_769, 32_769, 1 << 40]
+    rows = [("2024-01" if i % 2 else "2024-02", i % 3, 1, k) for i in range(12) for k in keys]
+    facts = spark.createDataFrame(rows, "year_month string, specialty_key long, encounter_type_key long, patient_key long")
+    halves = [visits.month_visits(facts.filter(F.col("specialty_key") % 2 == h)) for h in (0, 1)]
+    both = halves[0].unionByName(halves[1])
+    got = visits.counted(both, "encounter_type_key").first()
+    assert (got.total_encounters, got.unique_patients) == (len(rows), len(set(keys)))
+    plain = facts.groupBy("year_month").agg(F.count("*").alias("total_encounters"), F.count_distinct("patient_key").alias("unique_patients"))
+    assert tuples(visits.counted(both, "year_month")) == tuples(plain)
+    assert visits.counted(both.limit(0), "year_month").count() == 0
+
+
+def test_checks_of_a_batch_are_observed_and_kept(sample, warehouse, batch):
+    run_batch(warehouse, sample(), batch(1))
+    late = (7023, 1001, 101, "ER", ts("2024-05-01 09:00:00"), None, 1)
+    unknown = (7024, 9999, 101, "ER", ts("2024-06-25 09:00:00"), None, 1)
+    source = sample(extra={"encounters": [*LATER, late, late, unknown]})
+    result = run_batch(warehouse, source, batch(2, strict=False), reconcile=False)
+    assert (result.new_encounters, result.rejected) == (4, 2)
+    found = checks(warehouse)
+    assert found[1, "fact_without_bill"] == (4, 2) and found[1, "fact_without_procedure"] == (4, 1)
+    assert found[1, "fact_before_watermark"] == (4, 0) and found[1, "encounter_rejected"] == (4, 0)
+    assert found[2, "fact_without_bill"] == found[2, "fact_without_diagnosis"] == (4, 4)
+    assert found[2, "fact_without_discharge"] == (4, 2)
+    assert found[2, "fact_before_watermark"] == (4, 1) and found[2, "encounter_rejected"] == (6, 2)
+    # A batch that finds nothing has rows too, without a share.
+    run_batch(warehouse, sample(encounters=[]), batch(3, day("2024-07-09"), strict=False), reconcile=False)
+    assert checks(warehouse)[3, "fact_without_bill"] == (0, 0)
+
+
+def test_staged_rows_are_not_read_to_be_counted(sample, warehouse, batch, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    asked = []
+    first = DataFrame.first
+    monkeypatch.setattr(DataFrame, "first", lambda df: asked.append(df.columns) or first(df))
+    run_batch(warehouse, sample(), batch(1))
+    assert not any("first_in" in columns for columns in asked)

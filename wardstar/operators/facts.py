@@ -269,6 +269,40 @@ def add_measures(
     )
 
 
+#: What is looked for in every fact of a batch, and when a fact has it.
+COVERAGE = {
+    "fact_without_bill": "has_billing",
+    "fact_without_diagnosis": "diagnosis_count > 0",
+    "fact_without_procedure": "procedure_count > 0",
+    "fact_without_discharge": "discharge_datetime IS NOT NULL",
+}
+LATE = "fact_before_watermark"
+
+
+def staged_metrics(watermark: datetime) -> list[Column]:
+    """Aggregates over staged encounters, to be observed while they are written.
+
+    Counts and, as texts, ends of the accepted ones; per check the accepted ones that miss
+    something, and those that came in late.
+    """
+    ok = F.col("reject_reason").isNull()
+
+    def end(name: str, value: Column) -> Column:
+        return value.cast("string").alias(name)
+
+    admitted, left = F.when(ok, F.col("encounter_datetime")), F.when(ok, F.col("discharge_datetime"))
+    misses = {check: ~F.coalesce(F.expr(has), F.lit(False)) for check, has in COVERAGE.items()}
+    misses[LATE] = F.col("encounter_datetime") <= cal.moment(watermark)
+    return [
+        F.count_if(ok).alias("n"),
+        F.count_if(~ok).alias("rejected"),
+        end("first_in", F.min(admitted)),
+        end("last_in", F.max(admitted)),
+        end("last_out", F.max(left)),
+        *[F.count_if(ok & missed).alias(check) for check, missed in misses.items()],
+    ]
+
+
 def accepted(staged: DataFrame) -> DataFrame:
     return staged.filter(F.col("reject_reason").isNull())
 

@@ -4,21 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from datetime import datetime, timedelta
 from functools import partial
 from typing import TypeVar
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..context import FIRST_WATERMARK, BatchContext
 from ..functions import calendar as cal
 from ..functions.clinical import text_key
-from ..operators import bridges, changes, dims, facts, pairs, quality, readmission
+from ..operators import bridges, changes, dims, facts, pairs, quality, readmission, visits
 from ..operators.keys import max_key_by_statistics
 from ..operators.scd import upsert
-from ..schemas import TARGET, literal_rows
+from ..schemas import STATE, TARGET, literal_rows
 from ..sources.tables import checked
 from ..sources.warehouse import Snapshot, Warehouse, bucket_of, buckets_for
 
@@ -214,6 +214,7 @@ class FactLoad:
     rejected: int
     repaired: int
     high_watermark: datetime | None
+    checks: dict[str, int] = field(default_factory=dict)
 
 
 def stage_facts(
@@ -223,13 +224,14 @@ def stage_facts(
     ctx: BatchContext,
     watermark: datetime,
     lookup: str = "current",
-) -> tuple[DataFrame, DataFrame | None]:
+) -> tuple[DataFrame, DataFrame | None, dict]:
     """The batch's encounters with keys, measures and reject reason, written once.
 
     After the first load the delta is written before anything else, so that its size is
     known and the large tables are reduced to it before any join or count. A strict batch
     has checked that ids are unique; otherwise one row per id goes on, and the second
-    result has the reject rows of the other copies.
+    result has the reject rows of the other copies. The third has what was observed while
+    writing, so that the written rows needn't be read to be counted.
     """
     loaded = wh.read("fact_encounters", snap) if snap.paths.get("fact_encounters") else None
     if loaded is not None and not ctx.strict and snap.paths.get("fact_ids"):
@@ -257,7 +259,13 @@ def stage_facts(
     lines = [
         scope(source[t], "encounter_id") for t in ("encounter_diagnoses", "encounter_procedures", "billing")
     ]
-    return wh.scratch(facts.add_measures(rows, *lines), "facts", ctx.batch_id), copies
+    seen = Observation()
+    observed = facts.add_measures(rows, *lines).observe(seen, *facts.staged_metrics(watermark))
+    staged = wh.scratch(observed, "facts", ctx.batch_id)
+    metrics = dict(seen.get)  # without entries where the planner saw that there are no rows
+    for end in ("first_in", "last_in", "last_out"):
+        metrics[end] = datetime.fromisoformat(metrics[end]) if metrics.get(end) else None
+    return staged, copies, metrics
 
 
 def _whole(rows: DataFrame, key: str) -> DataFrame:
@@ -278,24 +286,18 @@ def load_facts(
 ) -> FactLoad:
     old_paths = snap.paths.get("fact_encounters", ())
     old = wh.read("fact_encounters", snap) if old_paths else None
-    staged, copies = stage_facts(wh, snap, source, ctx, watermark, lookup)
+    staged, copies, seen = stage_facts(wh, snap, source, ctx, watermark, lookup)
     ok = facts.accepted(staged)
-    span = staged.agg(
-        F.count_if(F.col("reject_reason").isNull()).alias("n"),
-        F.count_if(F.col("reject_reason").isNotNull()).alias("rejected"),
-        F.min(F.when(F.col("reject_reason").isNull(), F.col("encounter_datetime"))).alias("first_in"),
-        F.max(F.when(F.col("reject_reason").isNull(), F.col("encounter_datetime"))).alias("last_in"),
-        F.max(F.when(F.col("reject_reason").isNull(), F.col("discharge_datetime"))).alias("last_out"),
-    ).first()
-    n_rejected = span.rejected
-    if copies is not None or span.rejected:
+    loaded, n_rejected = seen.get("n", 0), seen.get("rejected", 0)
+    checks = {c: seen.get(c, 0) for c in (*facts.COVERAGE, facts.LATE)}
+    if copies is not None or n_rejected:
         refused = facts.rejected(staged)
         rejects = wh.write(refused if copies is None else refused.unionByName(copies), "rejects", ctx.batch_id)
         n_rejected = wh.read("rejects", Snapshot(0, {"rejects": (rejects,)})).count()
         if n_rejected:
             snap = snap.extended("rejects", [rejects])
-    if not span.n:
-        return FactLoad(snap, (), 0, n_rejected, 0, None)
+    if not loaded:
+        return FactLoad(snap, (), 0, n_rejected, 0, None, checks)
 
     discharges = ok.filter("is_inpatient").select(
         "patient_id", F.col("discharge_datetime").alias("discharged")
@@ -304,7 +306,7 @@ def load_facts(
         stays = _inpatients(old, wh.read("dim_encounter_type", snap))
         affected = ok.select("patient_id").distinct()
         # Only discharges near the batch can matter; the bound reaches the fact scan.
-        near = stays.filter(F.col("discharge_datetime") >= cal.moment(span.first_in - REACH))
+        near = stays.filter(F.col("discharge_datetime") >= cal.moment(seen["first_in"] - REACH))
         earlier = near.join(affected, "patient_id", "left_semi").select(
             "patient_id", F.col("discharge_datetime").alias("discharged")
         )
@@ -319,14 +321,14 @@ def load_facts(
     snap = snap.extended("fact_ids", [wh.write_ids(fresh, ctx.batch_id)])
     repaired = 0
     kept = list(old_paths)
-    if old is not None and not ctx.strict and span.last_out is not None:
-        last = span.last_out + REACH
-        candidates = facts.until(facts.after(stays, span.first_in), last).join(
+    if old is not None and not ctx.strict and seen["last_out"] is not None:
+        last = seen["last_out"] + REACH
+        candidates = facts.until(facts.after(stays, seen["first_in"]), last).join(
             affected, "patient_id", "left_semi"
         )
         kept, repaired = _repair_flags(wh, old_paths, candidates, discharges, ctx)
     snap = snap.replaced("fact_encounters", [*kept, *new_paths])
-    return FactLoad(snap, tuple(new_paths), span.n, n_rejected, repaired, span.last_in)
+    return FactLoad(snap, tuple(new_paths), loaded, n_rejected, repaired, seen["last_in"], checks)
 
 
 def _inpatients(fact: DataFrame, dim_encounter_type: DataFrame) -> DataFrame:
@@ -465,6 +467,23 @@ def digest_months(wh: Warehouse, before: Snapshot, snap: Snapshot, ctx: BatchCon
     return snap.replaced("fact_months", [wh.write(rows.coalesce(1), "fact_months", ctx.batch_id)])
 
 
+def load_visits(wh: Warehouse, snap: Snapshot, ctx: BatchContext, load: FactLoad) -> Snapshot:
+    """Add the batch's own facts to the kept months; the first time, all facts."""
+    if not load.new_paths:
+        return snap
+    paths = load.new_paths if snap.paths.get("month_visits") else snap.paths["fact_encounters"]
+    fresh = wh.read("fact_encounters", Snapshot(0, {"fact_encounters": tuple(paths)}))
+    return snap.extended("month_visits", [wh.write(visits.month_visits(fresh), "month_visits", ctx.batch_id)])
+
+
+def store_checks(wh: Warehouse, snap: Snapshot, ctx: BatchContext, load: FactLoad) -> Snapshot:
+    """Keep what was observed of the batch's facts: a row per check."""
+    rows = [(ctx.batch_id, check, load.loaded, n) for check, n in load.checks.items()]
+    rows.append((ctx.batch_id, "encounter_rejected", load.loaded + load.rejected, load.rejected))
+    checks = literal_rows(wh.spark, rows, STATE["batch_checks"]).coalesce(1)
+    return snap.extended("batch_checks", [wh.write(checks, "batch_checks", ctx.batch_id)])
+
+
 # -- bridges and pair summary -------------------------------------------------------
 
 
@@ -621,6 +640,7 @@ def run_batch(
         snap = load_pair_summary(wh, before, snap, ctx, load, late.changed)
         bridge_rows = wh.read("bridge_encounter_diagnoses", batch_part(snap, ctx.batch_id)).count()
 
+        snap = store_checks(wh, load_visits(wh, snap, ctx, load), ctx, load)
         snap = digest_months(wh, before, snap, ctx)
         if reconcile:
             fact, months = wh.read("fact_encounters", snap), wh.read("fact_months", snap)

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.money import percent
 from .batch import BatchResult
 
 
@@ -68,6 +69,12 @@ def log_view(log: DataFrame) -> DataFrame:
     ).orderBy(F.desc("start_time"), F.desc("log_id"))
 
 
+def batch_checks(checks: DataFrame) -> DataFrame:
+    """Per batch and check: facts looked at, those that miss it, their share in percent."""
+    share = F.when(F.col("rows") > 0, percent(F.col("misses"), F.col("rows")))
+    return checks.select("batch_id", "check", "rows", "misses", share.alias("miss_percent")).orderBy("batch_id", "check")
+
+
 def table_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Labelled row counts, one row per table."""
     counts = [

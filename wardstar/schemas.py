@@ -18,6 +18,7 @@ _TYPES = {
     "bigint": T.LongType(),
     "int": T.IntegerType(),
     "string": T.StringType(),
+    "binary": T.BinaryType(),
     "boolean": T.BooleanType(),
     "date": T.DateType(),
     "timestamp_ntz": T.TimestampNTZType(),
@@ -101,6 +102,9 @@ _STATE_COLUMNS = {
         summed bigint""",
     "fact_ids": "encounter_id bigint",
     "fact_months": "year_month string, encounters bigint, revenue decimal(38,2), mixed bigint",
+    "month_visits": """year_month string, specialty_key bigint, encounter_type_key bigint, bucket bigint,
+        encounters bigint, patients binary""",
+    "batch_checks": "batch_id bigint, check string, rows bigint, misses bigint",
 }
 
 SOURCE = {name: _struct(columns) for name, columns in _SOURCE_COLUMNS.items()}

@@ -15,13 +15,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators import visits
 from ..schemas import STORED, TARGET, conform, empty, literal_rows
 
 _LIST = "_published"
 #: A table kept in buckets gets as many, a power of two, as hold about so many rows each.
 BUCKET_ROWS = 1 << 18
 # Tables to which each batch adds folders.
-_GROWING = ("fact_encounters", "fact_ids", "bridge_encounter_diagnoses", "bridge_encounter_procedures", "rejects")
+_GROWING = (
+    "fact_encounters", "fact_ids", "bridge_encounter_diagnoses", "bridge_encounter_procedures", "rejects",
+    "month_visits", "batch_checks",
+)
 _LIST_COLUMNS = T.StructType(
     [T.StructField("table_name", T.StringType()), T.StructField("path", T.StringType())]
 )
@@ -206,6 +210,8 @@ class Warehouse:
                 path = self.write_fact(rows, old.batch_id, label)
             elif table == "fact_ids":
                 path = self.write_ids(rows, old.batch_id, label)
+            elif table == "month_visits":
+                path = self.write(visits.united(rows, *visits.GROUP), table, old.batch_id, label=label)
             else:
                 path = self.write(rows, table, old.batch_id, label=label)
             new = new.replaced(table, [path])
