@@ -37,3 +37,18 @@ def test_words_are_left_alone():
         "12345678901234567890/12345678901234567890",
     ):
         assert spans(text) == [], text
+
+
+def test_a_number_at_the_end_hides_nothing():
+    rng = random.Random(9)
+    for digits in (1, 4, 12):
+        runs = ["".join(rng.choices(string.ascii_letters, k=24) + rng.choices(string.digits, k=digits)) for _ in range(500)]
+        assert sum(spans(f"see {run} end") == [(4, 4 + len(run), "random")] for run in runs) > 450, digits
+
+
+def test_names_with_numbers_are_left_alone():
+    for text in (
+        "configuration_directory_settings_2024", "docs/guides/getting-started/chapter10", "getUserAccountSettings12345678",
+        "INVOICE-20240105123456789", "ORD12345678901234567890", "thisisaverylongwordwithoutanyspaces7",
+    ):
+        assert spans(text) == [], text

@@ -35,19 +35,21 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 _HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{24,}")
 _MIN_VALUE = 6
 
-# No letter or digit of any script on either side: a part of a longer word is no string of its own.
-_RUN = re.compile(r"(?<![\w+/-])[A-Za-z0-9+/_-]{%d,}(?![\w+/-])" % MIN_RUN)
+# Only these characters bound a run: scripts without spaces write letters right beside a string.
+_RUN = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{%d,}" % MIN_RUN)
 # Split as GPT-2 does: letters, digits, other signs.
 _PIECES = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _DIGEST_LENGTHS = {32, 40, 48, 56, 64, 96, 128}  # of hex digits, MD5 to SHA-512
 _IDENTIFIERS = re.compile(
     r"""
       [0-9]{4}-?[0-9]{2}-?[0-9]{2}[Tt_-]?[0-9Zz+-]*   # dates with times
-    | (?:[A-Za-z]+[/_+-]+)*[A-Za-z]+[/_+-]*[0-9]+     # names and paths with a number at the end
     | [0-9A-Fa-f]{8}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{12}   # UUID
     """,
     re.X,
 )
+_NUMBERED = re.compile(r"((?:[A-Za-z]+[/_+-]+)*[A-Za-z]+)[/_+-]*[0-9]+")  # names and paths with a number at the end
+#: Fewer letters in front of a number are a name whatever they are.
+MIN_NAME = 8
 _PIECE = re.compile(r"[A-Za-z0-9+]{%d,}" % MIN_RUN)
 _LETTER = re.compile(r"[A-Za-z]")
 _MIXED = re.compile(r"(?=.*[0-9])(?=.*[A-Za-z])")
@@ -78,13 +80,19 @@ def random_spans(
 
     Runs that overlap a base span are left to it. Of a run that is not reported, the pieces
     between its signs are tested, so that a readable path in front hides nothing. Runs
-    without a letter are numbers; those without a digit have a stricter ratio.
+    without a letter are numbers; those without a digit have a stricter ratio, by which the
+    letters in front of a number at the end also pass as a name.
     """
     found = []
 
+    def is_name(run: str) -> bool:
+        m = _NUMBERED.fullmatch(run)
+        front = m[1] if m else ""
+        return bool(m) and (len(front) < MIN_NAME or len(front) / n_tokens(front) >= chars_per_token * LETTERS)
+
     def test(start: int, end: int) -> bool:
         run = text[start:end]
-        if len(run) < MIN_RUN or not _LETTER.search(run) or is_digest(run) or _IDENTIFIERS.fullmatch(run):
+        if len(run) < MIN_RUN or not _LETTER.search(run) or is_digest(run) or _IDENTIFIERS.fullmatch(run) or is_name(run):
             return False
         most = chars_per_token if _MIXED.match(run) else chars_per_token * LETTERS
         if len(run) / n_tokens(run) >= most:
