@@ -83,6 +83,40 @@ def test_recall_near_the_threshold(spark):
     assert all(g[1] <= e[1] for g, e in zip(sorted(got), sorted(rows)))
 
 
+def with_shared_direction(typical, cosine, n=500, d=64):
+    """n pairs at the cosine, of vectors that have the typical cosine among themselves."""
+    rng = np.random.default_rng(5)
+    a, side = rng.standard_normal((2, n, d))
+    a[:, 0], side[:, 0] = 0, 0
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    side -= (side * a).sum(axis=1, keepdims=True) * a
+    side /= np.linalg.norm(side, axis=1, keepdims=True)
+    own = (cosine - typical) / (1 - typical)
+    both = np.sqrt(1 - typical) * np.concatenate([a, own * a + np.sqrt(1 - own**2) * side])
+    both[:, 0] = np.sqrt(typical)
+    return [list(map(float, np.float32(v))) for v in both]
+
+
+@pytest.mark.parametrize("typical", [0.3, 0.5, 0.7, 0.85])
+def test_recall_with_a_shared_direction(spark, typical):
+    vectors = with_shared_direction(typical, 0.9525)
+    ids = list(range(len(vectors)))
+    rows, n = expected(ids, vectors)
+    got = result(spark, ids, vectors)
+    assert n >= 500 and sum(r[1] for r in got) / 2 >= 0.9 * n
+    assert all(g[1] <= e[1] for g, e in zip(sorted(got), sorted(rows)))
+
+
+@pytest.mark.parametrize("group_rows", [64, 2_048])
+def test_all_pairs_where_codes_do_not_tell_vectors_apart(spark, group_rows):
+    vectors = with_shared_direction(0.93, 0.9525, n=150)
+    x = itq._matrix(itq.pa.array(vectors, itq.pa.list_(itq.pa.float64())))
+    assert itq.plan(x, 0.95)[0] is None
+    ids = list(range(len(vectors)))
+    rows, n = expected(ids, vectors)
+    assert n >= 150 and result(spark, ids, vectors, group_rows=group_rows) == rows
+
+
 def test_given_vectors(spark):
     df = read_table(spark, "/root/testdata/sf0.1", "embeddings")
     data = df.toPandas()

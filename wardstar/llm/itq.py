@@ -9,8 +9,13 @@ the whole codes are compared; only what is near by its code gets its vector atta
 is reranked by the cosine of the original vectors, so vectors aren't sent to every table.
 
 A pair whose codes differ by at most 2 * TABLES - 1 = 7 bits is always met; one that
-differs by more may be. At cosine 0.95 a bit differs with probability 0.1, which gives
-recall 0.94 there, and more above (tests measure it against brute force).
+differs by more may be. Where vectors share no direction, a bit differs at cosine 0.95 with
+probability 0.1, which gives recall 0.94 there, and more above. Where they share one, codes
+of centred vectors lie further apart. So each sampled vector gets partners at exactly the
+threshold, and codes from further rotations, with tables of their own, are added until
+`RECALL` of those pairs meet. If `CODES` codes don't suffice, all vectors of that length are
+compared in pairs of blocks, which misses nothing and is quadratic. So is a length that the
+sample lacks.
 
 A pair may meet under several substrings. It counts where it meets first: in the first
 table in which it can meet, and of the two substrings there under the smaller one. So
@@ -33,7 +38,12 @@ COSINE = 0.95
 BITS, TABLES = 64, 4
 #: Codes that differ by more bits are not reranked. At cosine 0.95 some 6.5 differ, more than
 #: 16 once in 10,000 pairs; of unrelated vectors 32 do, 16 or fewer once in 25,000 pairs.
+#: That is the least radius a code, widened to hold 999 of 1,000 sampled pairs at the threshold.
 RADIUS = 16
+#: Share of sampled pairs at the threshold that must meet, and the most codes tried for it.
+RECALL, CODES = 0.93, 16
+#: Sampled vectors that get partners at the threshold.
+PAIRED = 4_000
 #: The rotation is fitted on at most so many vectors; every vector is indexed.
 SAMPLE_VECTORS, ITERATIONS = 10_000, 50
 #: Groups under a substring beyond this are compared in pairs of blocks.
@@ -51,12 +61,13 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def fit(x: np.ndarray, bits: int = BITS, iterations: int = ITERATIONS) -> tuple[np.ndarray, np.ndarray]:
+def fit(x: np.ndarray, bits: int = BITS, iterations: int = ITERATIONS, seed: int = 7) -> tuple[np.ndarray, np.ndarray]:
     """Centre and projection of the code, from unit vectors in rows.
 
     Vectors with fewer coordinates than bits get further bits from fixed random directions.
+    Another seed learns from another first rotation and gives another code.
     """
-    rng = np.random.default_rng(7)
+    rng = np.random.default_rng(seed)
     centre = x.mean(axis=0)
     own = min(bits, x.shape[1])
     _, _, axes = np.linalg.svd(np.cov((x - centre).T, ddof=0).reshape(x.shape[1], -1))
@@ -70,12 +81,45 @@ def fit(x: np.ndarray, bits: int = BITS, iterations: int = ITERATIONS) -> tuple[
     return centre, np.hstack([axes[:own].T @ rotation, extra])
 
 
-def encode(x: np.ndarray, model: tuple[np.ndarray, np.ndarray] | None) -> np.ndarray:
-    """The code of each row. A length without a model gets random directions."""
-    if model is None:
-        model = np.zeros(x.shape[1]), np.random.default_rng(7).standard_normal((x.shape[1], BITS))
+def encode(x: np.ndarray, model: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """The codes of each row, one column per 64 columns of the model's projection."""
     signs = (x - model[0]) @ model[1] >= 0
-    return np.packbits(signs, axis=1, bitorder="little").view("<i8").ravel()
+    return np.packbits(signs, axis=1, bitorder="little").view("<i8")
+
+
+def at_threshold(x: np.ndarray, cosine: float) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of unit vectors at the cosine: rows of x, turned towards other rows and at random."""
+    x = x[:PAIRED]
+    rng = np.random.default_rng(11)
+    pairs = []
+    for towards in (np.roll(x, 1, axis=0), rng.standard_normal(x.shape)):
+        side = towards - (towards * x).sum(axis=1, keepdims=True) * x
+        length = np.linalg.norm(side, axis=1, keepdims=True)
+        usable = length[:, 0] > 1e-6
+        turned = cosine * x[usable] + np.sqrt(1 - cosine**2) * side[usable] / length[usable]
+        pairs.append((x[usable], turned))
+    return np.concatenate([p[0] for p in pairs]), np.concatenate([p[1] for p in pairs])
+
+
+def plan(x: np.ndarray, cosine: float) -> tuple[tuple[np.ndarray, np.ndarray] | None, int]:
+    """Centre and projections of as many codes as make sampled pairs meet, and the radius.
+
+    The model is None where CODES codes are too few: then all pairs must be compared.
+    """
+    a, b = at_threshold(x, cosine)
+    projections: list[np.ndarray] = []
+    met, apart = np.zeros(len(a), dtype=bool), np.zeros(len(a), dtype=int)
+    for k in range(CODES):
+        centre, projection = fit(x, seed=7 + k)
+        projections.append(projection)
+        differ = (encode(a, (centre, projection)) ^ encode(b, (centre, projection))).view(np.uint64)
+        apart += np.bitwise_count(differ[:, 0])
+        met |= (np.bitwise_count(_substrings(differ)) <= 1).any(axis=0)
+        # Nothing to pair: vectors of one coordinate.
+        if not len(a) or met.mean() >= RECALL:
+            widest = int(np.ceil(np.quantile(apart, 0.999))) if len(a) else 0
+            return (centre, np.hstack(projections)), max(RADIUS * (k + 1), widest)
+    return None, 0
 
 
 def _vectors(rows: DataFrame) -> DataFrame:
@@ -92,63 +136,82 @@ def _vectors(rows: DataFrame) -> DataFrame:
     )
 
 
-def _indexed(nodes: DataFrame) -> DataFrame:
-    """Add each different vector's code, from a rotation fitted per vector length."""
+def _indexed(nodes: DataFrame, cosine: float) -> tuple[DataFrame, dict[int, int]]:
+    """Add each different vector's codes, from rotations fitted per vector length; and the radii.
+
+    A vector has no code where all pairs of its length are compared.
+    """
     sample = nodes.orderBy("h1", "h2").limit(SAMPLE_VECTORS).select("embedding").toArrow()
     by_length: dict[int, list] = {}
     for x in sample.column(0).to_pylist():
         by_length.setdefault(len(x), []).append(x)
-    models = {d: fit(_matrix(pa.array(xs, pa.list_(pa.float64())))) for d, xs in by_length.items()}
+    plans = {d: plan(_matrix(pa.array(xs, pa.list_(pa.float64()))), cosine) for d, xs in by_length.items()}
+    models = {d: model for d, (model, _) in plans.items() if model is not None}
 
     def run(batches):
         for batch in batches:
             vectors = batch.column(batch.schema.get_field_index("embedding"))
             sizes = vectors.value_lengths().to_numpy()
-            codes = np.zeros(batch.num_rows, dtype=np.int64)
+            codes: list = [[]] * batch.num_rows
             for d in np.unique(sizes):
-                at = np.flatnonzero(sizes == d)
-                codes[at] = encode(_matrix(vectors.take(pa.array(at))), models.get(int(d)))
-            yield batch.append_column("code", pa.array(codes))
+                if int(d) in models:
+                    at = np.flatnonzero(sizes == d)
+                    for i, code in zip(at, encode(_matrix(vectors.take(pa.array(at))), models[int(d)])):
+                        codes[i] = code
+            yield batch.append_column("code", pa.array(codes, pa.list_(pa.int64())))
 
     kind = dict(nodes.dtypes)["embedding"]
-    return nodes.select("node", "copies", "embedding").mapInArrow(
-        run, f"node long, copies long, embedding {kind}, code long"
+    indexed = nodes.select("node", "copies", "embedding").mapInArrow(
+        run, f"node long, copies long, embedding {kind}, code array<long>"
     )
+    return indexed, {d: radius for d, (_, radius) in plans.items()}
 
 
 def _meetings(indexed: DataFrame, group_rows: int) -> DataFrame:
-    """A row for each substring that a vector is at home under or visits, with its code only."""
-    n = _WIDTH + 1
-    at = F.explode(F.sequence(F.lit(0), F.lit(TABLES * n - 1))).alias("at")
+    """A row for each substring that a vector is at home under or visits, with its codes only.
+
+    Vectors without a code are all at home under one key.
+    """
+    n, tables = _WIDTH + 1, F.size("code") * TABLES
+    at = F.explode(F.sequence(F.lit(0), F.greatest(tables * n, F.lit(1)) - 1)).alias("at")
     rows = indexed.select("node", "code", F.size("embedding").alias("length"), at)
-    table = F.floor(F.col("at") / n).cast("int")
-    flip = (F.col("at") % n).cast("int")
-    flipped = F.when(flip == 0, F.lit(0)).otherwise(F.expr(f"shiftleft(1, cast(at % {n} as int) - 1)"))
-    sub = F.expr(f"cast(shiftrightunsigned(code, cast(floor(at / {n}) as int) * {_WIDTH}) & {(1 << _WIDTH) - 1} as int)")
-    rows = rows.select(
-        "length", table.alias("table"), sub.bitwiseXOR(flipped).alias("key"), (flip == 0).alias("home"), "node", "code"
-    )
+    rows = rows.withColumns({"table": F.expr(f"cast(at div {n} as int)"), "flip": F.expr(f"cast(at % {n} as int)")})
+    flipped = F.when(F.col("flip") == 0, F.lit(0)).otherwise(F.expr("shiftleft(1, flip - 1)"))
+    whole = f"get(code, cast(table div {TABLES} as int))"
+    sub = F.expr(f"cast(shiftrightunsigned({whole}, (table % {TABLES}) * {_WIDTH}) & {(1 << _WIDTH) - 1} as int)")
+    key = F.coalesce(sub.bitwiseXOR(flipped), F.lit(0)).alias("key")
+    rows = rows.select("length", "table", key, (F.col("flip") == 0).alias("home"), "node", "code")
     return split_hot(rows, _GROUP[:3], "node", group_rows).select(*_MEETING)
 
 
 def _substrings(codes: np.ndarray) -> np.ndarray:
-    return np.stack([codes >> np.uint64(t * _WIDTH) & np.uint64((1 << _WIDTH) - 1) for t in range(TABLES)])
+    """One row per table, from one column per code."""
+    shifts = [np.uint64(t * _WIDTH) for t in range(TABLES)]
+    return np.stack([codes[:, k] >> t & np.uint64((1 << _WIDTH) - 1) for k in range(codes.shape[1]) for t in shifts])
 
 
-def _met(group: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _met(group: pa.Table, radii: dict[int, int]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """For some homes at a time: the rows of the group whose meeting with them counts here."""
     home = group.column("home").to_numpy()
     homes = np.flatnonzero(home)
     if group.num_rows < 2 or not len(homes):
         return
     table, own = group.column("table")[0].as_py(), group.column("own").to_numpy()
-    codes = group.column("code").to_numpy().astype(np.int64).view(np.uint64)
-    subs, order, split = _substrings(codes), np.arange(len(codes)), own.min() != own.max()
+    flat = group.column("code").combine_chunks().flatten().to_numpy(zero_copy_only=False)
+    codes = flat.astype(np.int64).view(np.uint64).reshape(len(home), -1)
+    order, split, n_codes = np.arange(len(home)), own.min() != own.max(), codes.shape[1]
+    subs = _substrings(codes) if n_codes else None
+    radius = radii.get(group.column("length")[0].as_py(), 0)
     for begin in range(0, len(homes), 256):
         h = homes[begin : begin + 256]
-        ok = np.bitwise_count(codes[h][:, None] ^ codes) <= RADIUS
         # Two homes once; a home and a visitor under the smaller of their substrings.
-        ok &= np.where(home, order > h[:, None], subs[table][h][:, None] < subs[table])
+        ok = order > h[:, None]
+        if n_codes:
+            ok = np.where(home, ok, subs[table][h][:, None] < subs[table])
+            apart = np.zeros(ok.shape, dtype=np.uint16)
+            for k in range(n_codes):
+                apart += np.bitwise_count(codes[h, k][:, None] ^ codes[:, k])
+            ok &= apart <= radius
         if split:
             ok &= own[h][:, None] != own
         for before in range(table):
@@ -159,13 +222,13 @@ def _met(group: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray]]:
             yield h, ok
 
 
-def _candidates(meetings: DataFrame) -> DataFrame:
+def _candidates(meetings: DataFrame, radii: dict[int, int]) -> DataFrame:
     """The meetings in which a vector's code is near another's."""
 
     def run(batches):
         for group in grouped(batches, len(_GROUP)):
             near = np.zeros(group.num_rows, dtype=bool)
-            for h, ok in _met(group):
+            for h, ok in _met(group, radii):
                 near[h] |= ok.any(axis=1)
                 near |= ok.any(axis=0)
             if near.any():
@@ -175,12 +238,12 @@ def _candidates(meetings: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, meetings.schema)
 
 
-def _compared(group: pa.Table, cosine: float) -> pa.RecordBatch | None:
+def _compared(group: pa.Table, cosine: float, radii: dict[int, int]) -> pa.RecordBatch | None:
     """Links counted in one group: weighted counts per node, and links that connect its nodes."""
     node, copies = group.column("node").to_numpy(), group.column("copies").to_numpy()
     x = _matrix(group.column("embedding").combine_chunks())
     n_links, label = np.zeros(len(node), dtype=np.int64), np.arange(len(node))
-    for h, ok in _met(group):
+    for h, ok in _met(group, radii):
         ok &= x[h] @ x.T >= cosine
         n_links[h] += ok @ copies
         n_links += copies[h] @ ok
@@ -214,15 +277,16 @@ def near_duplicates(rows: DataFrame, cosine: float = COSINE, group_rows: int = G
     )
     # Numbers given here are final once the table is written.
     nodes = stored(nodes.withColumn("node", F.monotonically_increasing_id()), "vectors")
-    indexed = stored(_indexed(nodes), "codes")
+    indexed, radii = _indexed(nodes, cosine)
+    indexed = stored(indexed, "codes")
 
     def run(batches):
         for group in grouped(batches, len(_GROUP)):
-            found = _compared(group, cosine)
+            found = _compared(group, cosine, radii)
             if found is not None:
                 yield found
 
-    near = stored(_candidates(_meetings(indexed, group_rows)), "near_codes")
+    near = stored(_candidates(_meetings(indexed, group_rows), radii), "near_codes")
     vectors_of = indexed.select("node", "copies", "embedding")
     near = near.join(vectors_of, "node").select(*_MEETING, "copies", "embedding")
     near = near.repartition(*_GROUP).sortWithinPartitions(*_GROUP)
