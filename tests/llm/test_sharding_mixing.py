@@ -4,8 +4,11 @@ import zlib
 from collections import Counter
 
 import pytest
+import xxhash
 from llm_cases import documents, empty, odd_rows
 
+from pyspark.sql import functions as F
+
 from wardstar.llm import mixing, sharding
 from wardstar.llm.common import read_table
 from wardstar.session import shared_dir
@@ -40,6 +43,67 @@ def test_odd_rows(spark):
     assert sharding.shards_of(empty(spark)).count() == 0
 
 
+def test_slots_and_places_by_brute_force(spark):
+    """Virtual slots from XXH64 of id and text; places by virtual slot, then id, then hash of the text."""
+    docs = read_table(spark, SF_DIR, "documents").select("doc_id", "text")
+    folder = f"{shared_dir(spark)}/maps/twin-{random.getrandbits(64):x}"
+    rows = sharding.shards_of(docs, shards=7, slots=64, folder=folder).collect()
+    owner = sharding.load_map(spark, folder).owner
+    mask, texts, held = (1 << 64) - 1, {r.doc_id: r.text for r in docs.collect()}, {}
+    for doc_id, text in texts.items():
+        inner = xxhash.xxh64_intdigest(doc_id.to_bytes(8, "little", signed=True), 42)
+        whole = xxhash.xxh64_intdigest(text.encode(), inner) & mask
+        signed = whole - (1 << 64) if whole >> 63 else whole
+        held.setdefault(owner[signed % 64], []).append((signed % 64, doc_id))
+    expected = {d: (shard, at, v) for shard, ds in held.items() for at, (v, d) in enumerate(sorted(ds))}
+    assert {r.doc_id: (r.shard, r.slot, r.vslot) for r in rows} == expected
+
+
+def test_a_stored_map_is_loaded_and_edited(spark):
+    docs = read_table(spark, SF_DIR, "documents").select("doc_id", "text")
+    folder = f"{shared_dir(spark)}/maps/grown-{random.getrandbits(64):x}"
+
+    def run(df, shards):
+        rows = sharding.shards_of(df, shards, 512, folder).collect()
+        assert len(rows) == df.count() and len({r.map_version for r in rows}) == 1
+        load = Counter()
+        for r in rows:
+            load[r.shard] += r["size"]
+        assert max(load.values()) <= 1.1 * sum(load.values()) / shards
+        return {r.doc_id: r.shard for r in rows}, rows[0].map_version
+
+    part = docs.filter("doc_id % 3 > 0")
+    first, v1 = run(part, 5)
+    again, same = run(part, 5)
+    assert (again, same) == (first, v1) and v1 == 1
+    grown, v2 = run(docs, 5)
+    assert v2 in (1, 2)
+    # One more shard: rows come into it, and unless the grown map had drifted nowhere else.
+    wider, v3 = run(docs, 6)
+    assert v3 == v2 + 1 and 5 in wider.values()
+    assert {wider[d] for d in wider if wider[d] != grown[d]} == {5}
+    with pytest.raises(ValueError):
+        sharding.shards_of(part, 4, 512, folder)
+
+
+def test_a_drifted_map_moves_little_more_than_the_excess(spark):
+    folder = f"{shared_dir(spark)}/maps/drift-{random.getrandbits(64):x}"
+    rng = random.Random(2)
+    size = [rng.randint(50, 150) for _ in range(400)]
+    first = sharding.next_map(spark, size, 4, folder)
+    assert first.version == 1 and sharding.next_map(spark, [3 * n for n in size], 4, folder) == first
+    size = [n * 3 if first.owner[s] == 0 else n for s, n in enumerate(size)]
+    second = sharding.next_map(spark, size, 4, folder)
+    moved = [s for s in range(400) if second.owner[s] != first.owner[s]]
+    full = {k for k, load in enumerate(first.loads(size)) if load > sum(size) / 4}
+    assert second.version == 2 and moved and full == {0}
+    assert max(second.loads(size)) <= (1 + sharding.DRIFT) * sum(size) / 4
+    # Swaps that even out what is left move some more than the excess.
+    excess = first.loads(size)[0] - sum(size) / 4
+    assert sum(size[s] for s in moved) <= 1.5 * excess
+    assert sharding.load_map(spark, folder) == second and sharding.load_map(spark, folder, 1) == first
+
+
 def test_rebalancing_edits_the_map():
     rng = random.Random(1)
     size = [int(rng.paretovariate(1.5) * 100) for _ in range(2_000)]

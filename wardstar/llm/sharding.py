@@ -3,7 +3,8 @@
 Every record is hashed into one of a fixed number of slots, for good. A versioned map says
 which shard owns a slot; rebalancing edits the map and never hashes a record anew. The map
 is made from the bytes and rows of each slot, a table of SLOTS rows whatever the input, so
-it is small enough for the driver and for a broadcast.
+it is small enough for the driver and for a broadcast. Given a folder, a run starts from the
+newest map stored there and adds a version only if it has to move slots.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ import heapq
 from bisect import bisect_left
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -20,6 +22,8 @@ from wardstar.llm.common import fresh, prepare, stored, text_or_empty
 SHARDS, SLOTS = 40, 8_192
 #: Places of an order that are numbered together.
 ORDER_ROWS = 1 << 18
+#: A stored map stays in use while no shard holds more than this share above the mean.
+DRIFT = 0.02
 #: Bytes a record takes besides its text.
 RECORD_BYTES = 16
 
@@ -143,6 +147,42 @@ def load_map(spark: SparkSession, folder: str, version: int | None = None) -> Sl
     return SlotMap(version, rows[0].shards, tuple(r.shard for r in rows))
 
 
+def _stored_map(spark: SparkSession, folder: str) -> SlotMap | None:
+    """The newest stored version, or None before the first."""
+    try:
+        return load_map(spark, folder)
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def next_map(spark: SparkSession, size: list[int], shards: int = SHARDS, folder: str | None = None) -> SlotMap:
+    """The map for slots of these sizes: the stored one, edited and stored anew where it must be.
+
+    Without a folder, or before the first run in it, this is version 1, rebalanced from equal
+    runs of slots. Later a slot moves only if shards are added or if a shard has drifted too
+    far above the mean. Fewer shards or another number of slots than stored is an error.
+    """
+    old = _stored_map(spark, folder) if folder else None
+    if old is None:
+        new = SlotMap.first(shards, len(size)).rebalanced(size)
+    else:
+        if old.shards > shards or len(old.owner) != len(size):
+            raise ValueError(f"{folder} holds {old.shards} shards of {len(old.owner)} slots")
+        new = old
+        while new.shards < shards:
+            new = new.grown(size)
+        if max(new.loads(size)) > (1 + DRIFT) * sum(size) / shards:
+            edited = new.rebalanced(size)
+            new = edited if edited.owner != new.owner else new
+        # Several edits of one run are one version.
+        new = old if new is old else SlotMap(old.version + 1, shards, new.owner)
+    if folder and new is not old:
+        save_map(spark, folder, new)
+    return new
+
+
 def sized(docs: DataFrame, slots: int = SLOTS) -> tuple[DataFrame, dict[str, str]]:
     """Add size, text_crc32, a hash of the text and the virtual slot; returns their names too.
 
@@ -162,7 +202,12 @@ def sized(docs: DataFrame, slots: int = SLOTS) -> tuple[DataFrame, dict[str, str
 
 
 def place(
-    rows: DataFrame, names: dict[str, str], shards: int = SHARDS, slots: int = SLOTS, order: str | None = None
+    rows: DataFrame,
+    names: dict[str, str],
+    shards: int = SHARDS,
+    slots: int = SLOTS,
+    order: str | None = None,
+    folder: str | None = None,
 ) -> DataFrame:
     """Add shard, slot (0, 1, 2, ... within a shard) and map_version to sized rows.
 
@@ -176,7 +221,7 @@ def place(
     size, count = [0] * slots, [0] * slots
     for at, n_bytes, n in rows.groupBy(vslot).agg(F.sum(names["size"]), F.count("*")).collect():  # one row a slot
         size[at], count[at] = n_bytes, n
-    table = SlotMap.first(shards, slots).rebalanced(size)
+    table = next_map(spark, size, shards, folder)
     before, filled = [], [0] * shards
     for at, shard in enumerate(table.owner):
         before.append((at, shard, filled[shard], table.version))
@@ -213,16 +258,18 @@ def _in_order(rows: DataFrame, order: str) -> DataFrame:
     return placed.withColumn("at", F.col("within") + F.col("before"))
 
 
-def shards_of(docs: DataFrame, shards: int = SHARDS, slots: int = SLOTS) -> DataFrame:
+def shards_of(docs: DataFrame, shards: int = SHARDS, slots: int = SLOTS, folder: str | None = None) -> DataFrame:
     """doc_id, size, text_crc32, law, shard, slot, grown_shard, vslot, map_version of every row.
 
     The law is `bytes`: the shards' sizes are as near equal as whole slots allow. An empty
     table gives no rows; repeated rows each get a place; a null id is an id like others.
+    With a folder for the map, sizes stay within DRIFT above the mean, as far as whole slots
+    allow, and rows change shards only when slots are moved in the map.
     """
     prepare(docs.sparkSession)
     rows, names = sized(docs.select(F.col("doc_id").cast("long"), "text"), slots)
     rows = stored(rows.drop("text"), "sized")
-    return place(rows, names, shards, slots).select(
+    return place(rows, names, shards, slots, folder=folder).select(
         "doc_id",
         "size",
         "text_crc32",
