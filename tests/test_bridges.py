@@ -105,3 +105,29 @@ def test_merging_two_summaries_adds_sums_and_counts(spark):
     )
     merged = pairs.merge_summaries(one, one).collect()
     assert [tuple(map(str, r)) for r in merged] == [("a", "b", "c", "d", "4", "10.00", "6", "4")]
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def _shuffles(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+def test_lines_are_shuffled_once_per_key_they_meet(spark, no_broadcast):
+    """Each side of the two joins; counting, numbering and grouping need no other shuffle."""
+    facts = spark.createDataFrame(
+        [(7, 70, datetime(2024, 1, 1, 23), 1)],
+        "encounter_id bigint, encounter_key bigint, encounter_datetime timestamp_ntz, procedure_count bigint",
+    )
+    d_lines = spark.createDataFrame([(1, 7, 50, 3)], "l bigint, encounter_id bigint, diagnosis_id bigint, diagnosis_sequence int")
+    p_lines = spark.createDataFrame([(1, 7, 50, None)], "l bigint, encounter_id bigint, procedure_id bigint, procedure_date date")
+    d_dim = spark.createDataFrame([(50, 5)], "diagnosis_id bigint, diagnosis_key bigint")
+    p_dim = spark.createDataFrame([(50, 5)], "procedure_id bigint, procedure_key bigint")
+    assert _shuffles(bridges.bridge_diagnoses(d_lines, facts, d_dim, LOADED)) == 4
+    assert _shuffles(bridges.bridge_procedures(p_lines, facts, p_dim, LOADED)) == 4

@@ -16,15 +16,19 @@ BLOCK = 1 << 16
 def bridge_diagnoses(
     encounter_diagnoses: DataFrame, new_facts: DataFrame, dim_diagnosis: DataFrame, loaded_at: datetime
 ) -> DataFrame:
-    """One row per (encounter, diagnosis) of the new facts; of copies the lowest sequence."""
-    lines = encounter_diagnoses.groupBy("encounter_id", "diagnosis_id").agg(
-        F.min("diagnosis_sequence").alias("diagnosis_sequence")
-    )
+    """One row per (encounter, diagnosis) of the new facts; of copies the lowest sequence.
+
+    Lines that have met the facts by encounter are in place for the grouping, so they are
+    shuffled once for both.
+    """
+    lines = encounter_diagnoses.select("encounter_id", "diagnosis_id", "diagnosis_sequence")
     facts = new_facts.select("encounter_id", "encounter_key", "encounter_datetime")
     keys = dim_diagnosis.select("diagnosis_id", "diagnosis_key")
     return (
-        lines.join(facts, "encounter_id")
-        .join(keys, "diagnosis_id")
+        lines.join(keys, "diagnosis_id")
+        .join(facts, "encounter_id")
+        .groupBy("encounter_id", "diagnosis_id", "encounter_key", "encounter_datetime", "diagnosis_key")
+        .agg(F.min("diagnosis_sequence").alias("diagnosis_sequence"))
         .select(
             "encounter_key",
             "diagnosis_key",
@@ -73,6 +77,25 @@ def number_procedures(cells: DataFrame, block: int = BLOCK) -> DataFrame:
     )
 
 
+def number_within(cells: DataFrame) -> DataFrame:
+    """The same positions from one window per encounter, for encounters of bounded size.
+
+    Cells that have met the facts by encounter are in place for it, and for the grouping that
+    follows, so neither shuffles them.
+    """
+    before = (
+        Window.partitionBy("encounter_id")
+        .orderBy("procedure_date", "procedure_id")
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    return cells.withColumn("procedure_sequence", F.coalesce(F.sum("n").over(before), F.lit(0)) + 1)
+
+
+def all_within(new_facts: DataFrame, block: int) -> bool:
+    """Whether each encounter of the facts has at most block lines, by the facts' own count."""
+    return new_facts.filter(F.coalesce("procedure_count", F.lit(0)) > block).isEmpty()
+
+
 def first_positions(numbered: DataFrame) -> DataFrame:
     """Of a procedure's copies in an encounter, the first position and its date.
 
@@ -98,16 +121,19 @@ def bridge_procedures(
     """One row per (encounter, procedure) of the new facts with its position in time.
 
     Positions count every row whose procedure is known, copies included; a copied
-    procedure keeps its first position. Rows are counted per date and procedure before
-    the shuffle by encounter.
+    procedure keeps its first position. Lines that have met the facts by encounter are in
+    place for counting, numbering and grouping. Encounters are numbered in blocks if one has
+    more lines than a block holds.
     """
     cells = (
-        encounter_procedures.groupBy("encounter_id", "procedure_date", "procedure_id")
-        .agg(F.count("*").alias("n"))
+        encounter_procedures.select("encounter_id", "procedure_date", "procedure_id")
         .join(dim_procedure.select("procedure_id", "procedure_key"), "procedure_id")
         .join(new_facts.select("encounter_id", "encounter_key"), "encounter_id")
+        .groupBy("encounter_id", "encounter_key", "procedure_date", "procedure_id", "procedure_key")
+        .agg(F.count("*").alias("n"))
     )
-    return first_positions(number_procedures(cells, block)).select(
+    numbered = number_within(cells) if all_within(new_facts, block) else number_procedures(cells, block)
+    return first_positions(numbered).select(
         "encounter_key",
         "procedure_key",
         "procedure_sequence",

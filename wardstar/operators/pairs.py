@@ -33,7 +33,11 @@ def code_groups(dim: DataFrame, natural: str, text: list[str], name: str) -> tup
 
 def code_counts(lines: DataFrame, encounter: str, natural: str, members: DataFrame, name: str, n: str) -> DataFrame:
     """Rows per encounter and code group."""
-    return lines.join(members, natural).groupBy(encounter, name).agg(F.count("*").alias(n))
+    return counted(lines.join(members, natural), encounter, name, n)
+
+
+def counted(lines: DataFrame, encounter: str, name: str, n: str) -> DataFrame:
+    return lines.groupBy(encounter, name).agg(F.count("*").alias(n))
 
 
 def pair_totals(facts: DataFrame, diagnosis_counts: DataFrame, procedure_counts: DataFrame) -> DataFrame:
@@ -74,12 +78,17 @@ def pair_summary(
     """Per pair of codes: encounters, revenue, sum and count of stays."""
     d_members, d_groups = code_groups(dim_diagnosis, "diagnosis_key", DIAGNOSIS, "diagnosis_group")
     p_members, p_groups = code_groups(dim_procedure, "procedure_key", PROCEDURE, "procedure_group")
+    # Lines that have met the facts by encounter are in place for counting and for the pairs.
+    ids = facts.select("encounter_key")
+    d_lines, p_lines = (lines.join(ids, "encounter_key", "left_semi") for lines in (
+        bridge_diagnoses.join(d_members, "diagnosis_key"), bridge_procedures.join(p_members, "procedure_key")
+    ))
     totals = pair_totals(
         facts.select(
             "encounter_key", "total_allowed_amount", "length_of_stay_days", *[c for c in facts.columns if c == "sign"]
         ),
-        code_counts(bridge_diagnoses, "encounter_key", "diagnosis_key", d_members, "diagnosis_group", "n_d"),
-        code_counts(bridge_procedures, "encounter_key", "procedure_key", p_members, "procedure_group", "n_p"),
+        counted(d_lines, "encounter_key", "diagnosis_group", "n_d"),
+        counted(p_lines, "encounter_key", "procedure_group", "n_p"),
     )
     return with_texts(totals, d_groups, p_groups).select(
         *PAIR,
