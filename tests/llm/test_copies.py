@@ -3,6 +3,7 @@ import random
 import numpy as np
 import pytest
 from llm_cases import documents, empty, odd_rows, union_find
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from wardstar.llm import copies
@@ -76,3 +77,22 @@ def test_odd_rows(spark):
         (i, t[:9] if t else t) for i, t in {(r[0], r[1]) for r in odd_rows()} if i in (0, 3, 6, 7, 8, 9)
     )
     assert copies.keep_one(empty(spark)).count() == 0
+
+
+def test_simhash_pairs_have_equal_or_linked_fingerprints(spark):
+    rows = [(0, 1), (0, 2), (0b1111, 3), (-1, 4), (None, 5), (-1, 4), (0b11111 << 20, 6)]
+    got = copies.simhash_pairs(spark.createDataFrame(rows, "fp long, set_id long")).collect()
+    assert sorted(tuple(r) for r in got) == [(2, 1), (3, 1)]
+
+
+def test_the_stage_finds_near_copies_by_simhash_alone(spark, monkeypatch):
+    """Without common bands, what SimHash links and is similar by 0.8 is still one document."""
+    real = copies._sets
+
+    def without_bands(docs, key):
+        return real(docs, key).withColumn("bands", F.array().cast("array<long>"))
+
+    monkeypatch.setattr(copies, "_sets", without_bands)
+    text = " ".join(f"w{i}" for i in range(400))
+    rows = [(0, text), (1, text.upper()), (2, text + " end"), (3, "nothing like the others at all here")]
+    assert {r.doc_id for r in corpus_pipeline.near_dedup(spark, documents(spark, rows), "").collect()} == {0, 3}

@@ -1,9 +1,11 @@
 """Near copies by the Jaccard similarity of their five-word shingles, checked exactly.
 
-Every text's set of shingle hashes gets 80 minimum hashes in 16 bands of five. Two sets of
-similarity s share a band with probability 1 - (1 - s^5)^16: 0.998 at 0.8, more above. (A
-SimHash radius for 0.8 is too wide for anchors: some 15% of the bits differ there.) Sets that
-share a band are candidates; only pairs whose exact similarity is 0.8 or more are linked.
+Candidates come from SimHash: texts whose 64-bit fingerprints are equal or linked at the
+anchors of `simhash.py`. A radius for similarity 0.8 is too wide for anchors (some 15% of the
+bits differ there), so every text's set of shingle hashes also gets 80 minimum hashes in 16
+bands of five. Two sets of similarity s share a band with probability 1 - (1 - s^5)^16: 0.998
+at 0.8, more above. Only pairs whose exact similarity is 0.8 or more are linked, whichever way
+they met.
 
 First each member of a band is compared with the band's least member, which joins up nearly
 all of a large group of near copies in one comparison each. Bands whose members are not yet in
@@ -20,6 +22,7 @@ from pyspark.sql import functions as F
 
 from wardstar.llm.common import grouped, id_text, prepare, split_hot, stored, with_key
 from wardstar.llm.components import components
+from wardstar.llm.simhash import fingerprint, links
 
 WORDS, SEED = 5, 42
 #: Least similarity, as a ratio of whole numbers.
@@ -89,19 +92,40 @@ def forest(sets: list[np.ndarray]) -> list[tuple[int, int]]:
 
 
 def _sets(docs: DataFrame, key: list[str]) -> DataFrame:
-    """(doc_id, key, set_id, bands) of every row; a null text has no words."""
+    """(doc_id, key, set_id, bands, fp) of every row; a null text has no words.
+
+    fp is the text's SimHash of the same runs; a text without words has none.
+    """
 
     def run(batches):
         for batch in batches:
-            found = [shingles(t or b"") for t in batch.column(3).to_pylist()]
+            texts = batch.column(3).to_pylist()
+            found = [shingles(t or b"") for t in texts]
             ids = [xxhash.xxh64_intdigest(s.tobytes()) - (1 << 63) for s in found]
+            fps = [fingerprint(t, WORDS) if len(s) else None for t, s in zip(texts, found)]
             columns = [pa.array(ids, pa.int64()), pa.array([bands(s) for s in found], pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(i) for i in range(3)), *columns], ["doc_id", *key, "set_id", "bands"]
+                [*(batch.column(i) for i in range(3)), *columns, pa.array(fps, pa.int64())],
+                ["doc_id", *key, "set_id", "bands", "fp"],
             )
 
     rows = docs.select("doc_id", *key, F.col("text").cast("binary"))
-    return rows.mapInArrow(run, f"doc_id long, {key[0]} string, {key[1]} long, set_id long, bands array<long>")
+    schema = f"doc_id long, {key[0]} string, {key[1]} long, set_id long, bands array<long>, fp long"
+    return rows.mapInArrow(run, schema)
+
+
+def simhash_pairs(marked: DataFrame) -> DataFrame:
+    """Candidates (a, b): sets that have a fingerprint in common, or whose fingerprints are linked.
+
+    marked: set_id, fp. A fingerprint stands for its least set; the others with it are paired
+    with that one.
+    """
+    of_set = stored(marked.filter("fp IS NOT NULL").select("fp", "set_id").distinct(), "set_fingerprints")
+    least = stored(of_set.groupBy("fp").agg(F.min("set_id").alias("least")), "fp")
+    equal = of_set.join(least, "fp").select(F.col("set_id").alias("a"), F.col("least").alias("b"))
+    near = links(least.select("fp")).toDF("x", "y")
+    near = near.join(least.toDF("x", "a"), "x").join(least.toDF("y", "b"), "y").select("a", "b")
+    return equal.union(near).filter("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 
 
 def _with_shingles(texts: DataFrame) -> DataFrame:
@@ -163,8 +187,10 @@ def near_copies(docs: DataFrame, group_rows: int = GROUP_ROWS) -> tuple[DataFram
 
     pivots = at.groupBy("band").agg(F.min("set_id").alias("b"), F.count("*").alias("n")).filter("n > 1")
     at = stored(at.join(pivots, "band").select("band", "set_id", "b", "n"), "candidates")
-    pairs = stored(at.filter("set_id != b").select(F.col("set_id").alias("a"), "b").distinct(), "pairs")
-    named = at.select("set_id").distinct().join(sets, "set_id").select("set_id", "row.*")
+    met = stored(simhash_pairs(marked), "simhash_pairs")
+    pairs = stored(at.filter("set_id != b").select(F.col("set_id").alias("a"), "b").union(met).distinct(), "pairs")
+    ids = at.select("set_id").union(met.select("a")).union(met.select("b"))
+    named = ids.distinct().join(sets, "set_id").select("set_id", "row.*")
     texts = named.join(keyed, key).select("set_id", F.col("text").cast("binary").alias("text"))
     members = stored(_with_shingles(texts.dropDuplicates(["set_id"])), "members")
     linked = stored(_checked(pairs, members), "checked")
