@@ -46,3 +46,22 @@ def test_replayed_epoch_does_nothing(sample, warehouse, batch):
     # Epoch 0 of a fresh checkpoint is batch 1, which is already published.
     load_available(warehouse, tables, landing, f"{warehouse.root}/cp")
     assert warehouse.snapshot().batch_id == 1 and Star(warehouse)["fact_encounters"].count() == 4
+
+
+def test_rows_are_reduced_to_one_per_id_only_where_ids_are_named_twice(sample, warehouse, batch, monkeypatch):
+    from wardstar.operators import facts
+    from wardstar.plans.batch import run_batch
+
+    reduced, plain = [], facts.one_per_encounter
+
+    def seen(rows):
+        kept, copies = plain(rows)
+        reduced.append(kept)
+        return kept.filter("false"), copies  # the wide rows of an id, if they are asked for, are gone
+
+    monkeypatch.setattr(facts, "one_per_encounter", seen)
+    src = sample()
+    run_batch(warehouse, src, batch(1, strict=False), reconcile=False)
+    star = Star(warehouse)
+    assert reduced and star["fact_encounters"].count() == src["encounters"].count()
+    assert "rejects" not in warehouse.snapshot().paths

@@ -230,8 +230,9 @@ def stage_facts(
     After the first load the delta is written before anything else, so that its size is
     known and the large tables are reduced to it before any join or count. A strict batch
     has checked that ids are unique; otherwise one row per id goes on, and the second
-    result has the reject rows of the other copies. The third has what was observed while
-    writing, so that the written rows needn't be read to be counted.
+    result has the reject rows of the other copies. These are found first, from the ids alone,
+    and only if there are any, wide rows are reduced to one per id. The third has what was
+    observed while writing, so that the written rows needn't be read to be counted.
     """
     loaded = wh.read("fact_encounters", snap) if snap.paths.get("fact_encounters") else None
     if loaded is not None and not ctx.strict and snap.paths.get("fact_ids"):
@@ -244,7 +245,12 @@ def stage_facts(
     if loaded is not None:
         scope = partial(_in_batch, new)
     if not ctx.strict:
-        new, copies = facts.one_per_encounter(new)
+        single, copies = facts.one_per_encounter(new)
+        copies = wh.scratch(copies, "copies", ctx.batch_id)
+        if copies.isEmpty():
+            copies = None
+        else:
+            new = single
     versions = None if lookup == "as_of" else "is_current=true"
     rows = facts.lookup_keys(
         new,
