@@ -131,3 +131,31 @@ def test_lines_are_shuffled_once_per_key_they_meet(spark, no_broadcast):
     p_dim = spark.createDataFrame([(50, 5)], "procedure_id bigint, procedure_key bigint")
     assert _shuffles(bridges.bridge_diagnoses(d_lines, facts, d_dim, LOADED)) == 4
     assert _shuffles(bridges.bridge_procedures(p_lines, facts, p_dim, LOADED)) == 4
+
+
+def test_pair_lines_are_shuffled_once_per_key_they_meet(spark, no_broadcast):
+    """Lines meet their groups, then their encounter; counting and pairing need no other shuffle."""
+    facts = spark.createDataFrame(
+        [(1, None, 2)], "encounter_key bigint, total_allowed_amount decimal(22,2), length_of_stay_days int"
+    )
+    d_lines = spark.createDataFrame([(1, 5)], "encounter_key bigint, diagnosis_key bigint")
+    p_lines = spark.createDataFrame([(1, 5)], "encounter_key bigint, procedure_key bigint")
+    d_dim = spark.createDataFrame([(5, "D", "d")], "diagnosis_key bigint, icd10_code string, icd10_description string")
+    p_dim = spark.createDataFrame([(5, "P", "p")], "procedure_key bigint, cpt_code string, cpt_description string")
+    text = pairs.pair_summary(facts, d_lines, p_lines, d_dim, p_dim)._jdf.queryExecution().executedPlan().toString()
+    # The ids beside each side's lines, and the facts.
+    assert text.count("Exchange hashpartitioning(encounter_key") == 5
+
+
+def test_pairs_of_facts_named_twice_count_lines_once(spark):
+    """Signed facts and copies of a fact weigh each line once per fact, as a semi join did."""
+    facts = spark.sql(
+        "SELECT 1L encounter_key, sign, CAST(a AS DECIMAL(22,2)) total_allowed_amount, los length_of_stay_days "
+        "FROM VALUES (-1, 5, 2), (1, 8, 4) t(sign, a, los)"
+    )
+    d_lines = spark.createDataFrame([(1, 5), (1, 6), (None, 5)], "encounter_key bigint, diagnosis_key bigint")
+    p_lines = spark.createDataFrame([(1, 5), (2, 5)], "encounter_key bigint, procedure_key bigint")
+    d_dim = spark.sql("SELECT k diagnosis_key, 'D' icd10_code, 'd' icd10_description FROM VALUES 5L, 6L t(k)")
+    p_dim = spark.sql("SELECT 5L procedure_key, 'P' cpt_code, 'p' cpt_description")
+    got = pairs.pair_summary(facts, d_lines, p_lines, d_dim, p_dim).collect()
+    assert [(r[0], r[2], r[4], float(r[5]), r[6], r[7]) for r in got] == [("D", "P", 0, 6.0, 4, 0)]

@@ -78,9 +78,10 @@ def pair_summary(
     """Per pair of codes: encounters, revenue, sum and count of stays."""
     d_members, d_groups = code_groups(dim_diagnosis, "diagnosis_key", DIAGNOSIS, "diagnosis_group")
     p_members, p_groups = code_groups(dim_procedure, "procedure_key", PROCEDURE, "procedure_group")
-    # Lines that have met the facts by encounter are in place for counting and for the pairs.
-    ids = facts.select("encounter_key")
-    d_lines, p_lines = (lines.join(ids, "encounter_key", "left_semi") for lines in (
+    # Lines that have met the facts by encounter are in place for counting and for the pairs. A
+    # semi join would be moved below the join with the groups, which then moves the lines away.
+    ids = facts.select("encounter_key").distinct()  # signed facts are there twice
+    d_lines, p_lines = (lines.join(ids, "encounter_key") for lines in (
         bridge_diagnoses.join(d_members, "diagnosis_key"), bridge_procedures.join(p_members, "procedure_key")
     ))
     totals = pair_totals(
