@@ -19,7 +19,7 @@ def bridge_diagnoses(
     """One row per (encounter, diagnosis) of the new facts; of copies the lowest sequence.
 
     Lines that have met the facts by encounter are in place for the grouping, so they are
-    shuffled once for both.
+    shuffled once for both, and with the key alone, as a key stands for one diagnosis.
     """
     lines = encounter_diagnoses.select("encounter_id", "diagnosis_id", "diagnosis_sequence")
     facts = new_facts.select("encounter_id", "encounter_key", "encounter_datetime")
@@ -27,7 +27,7 @@ def bridge_diagnoses(
     return (
         lines.join(keys, "diagnosis_id")
         .join(facts, "encounter_id")
-        .groupBy("encounter_id", "diagnosis_id", "encounter_key", "encounter_datetime", "diagnosis_key")
+        .groupBy("encounter_id", "encounter_key", "encounter_datetime", "diagnosis_key")
         .agg(F.min("diagnosis_sequence").alias("diagnosis_sequence"))
         .select(
             "encounter_key",

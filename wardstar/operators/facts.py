@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime
 from functools import reduce
 
@@ -145,12 +146,14 @@ def lookup_keys(
     dim_department: DataFrame,
     dim_encounter_type: DataFrame,
     mode: str = "current",
+    meet: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Encounters with all six surrogate keys and the reason of a failed lookup.
 
     mode "current" takes the current patient and provider version; "as_of" the version
     valid on the encounter's date. Spark broadcasts what is small by its stored or
-    measured size; the rest is joined by shuffle with skew splitting.
+    measured size; the rest is joined by shuffle with skew splitting. meet joins more by
+    encounter; it is done before the small lookups, whose keys are not shuffled then.
     """
     days = dim_date.select(F.col("calendar_date").alias("_day"), "date_key", "year_month")
     kinds = dim_encounter_type.select(
@@ -164,12 +167,14 @@ def lookup_keys(
     if mode == "as_of":
         patients = dim_patient.select("patient_id", "patient_key", *version)
         rows = _as_of(rows, patients, "patient_id")
+        rows = meet(rows) if meet else rows
         rows = _as_of(
             rows, lookup.select("provider_id", "provider_key", "specialty_key", *version), "provider_id"
         )
     else:
         patients = dim_patient.filter("is_current").select("patient_id", "patient_key")
-        rows = rows.join(patients, "patient_id", "left").join(
+        rows = rows.join(patients, "patient_id", "left")
+        rows = (meet(rows) if meet else rows).join(
             lookup.filter("is_current").select("provider_id", "provider_key", "specialty_key"),
             "provider_id",
             "left",
@@ -241,10 +246,22 @@ def length_of_stay(admitted: Column, discharged: Column) -> Column:
     return F.datediff(discharged, admitted)
 
 
-def add_measures(
+def join_measures(
     rows: DataFrame, encounter_diagnoses: DataFrame, encounter_procedures: DataFrame, billing: DataFrame
 ) -> DataFrame:
-    """Counts and amounts, each aggregated before it meets the encounters.
+    """Counts and amounts, each aggregated before it meets the encounters."""
+    return (
+        rows.join(count_per_encounter(encounter_diagnoses, "diagnosis_count"), "encounter_id", "left")
+        .join(count_per_encounter(encounter_procedures, "procedure_count"), "encounter_id", "left")
+        .join(billing_per_encounter(billing), "encounter_id", "left")
+        .withColumn("diagnosis_count", F.coalesce("diagnosis_count", F.lit(0)))
+        .withColumn("procedure_count", F.coalesce("procedure_count", F.lit(0)))
+        .withColumn("has_billing", F.coalesce("has_billing", F.lit(False)))
+    )
+
+
+def finish_staged(rows: DataFrame) -> DataFrame:
+    """Encounters with keys and measures as facts name them, without what facts don't hold.
 
     Rows that the source checks would stop a strict batch for get a reason to be rejected.
     """
@@ -253,14 +270,8 @@ def add_measures(
         .when(F.col("_negative"), "negative bill")
     )
     return (
-        rows.join(count_per_encounter(encounter_diagnoses, "diagnosis_count"), "encounter_id", "left")
-        .join(count_per_encounter(encounter_procedures, "procedure_count"), "encounter_id", "left")
-        .join(billing_per_encounter(billing), "encounter_id", "left")
-        .withColumn("diagnosis_count", F.coalesce("diagnosis_count", F.lit(0)))
-        .withColumn("procedure_count", F.coalesce("procedure_count", F.lit(0)))
-        .withColumn("has_billing", F.coalesce("has_billing", F.lit(False)))
-        .withColumn("reject_reason", F.coalesce("reject_reason", reason))
-        .drop("_negative")
+        rows.withColumn("reject_reason", F.coalesce("reject_reason", reason))
+        .drop("_negative", "encounter_type", "department_id")
         .withColumn(
             "length_of_stay_days", length_of_stay(F.col("encounter_date"), F.col("discharge_date"))
         )

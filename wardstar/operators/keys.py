@@ -21,9 +21,9 @@ def assign_keys(
     depend on the values alone: a lost executor recomputes the same keys.
     """
     ranked = new.withColumn("_natural", natural.cast("bigint"))
-    block = [F.shiftright("_natural", bits) for bits in levels]
-    rank = F.row_number().over(Window.partitionBy(block[0]).orderBy("_natural"))
-    ranked = ranked.withColumn("_rank", rank).withColumn("_block", block[0])
+    ranked = ranked.withColumn("_block", F.shiftright("_natural", levels[0]))
+    # Rows that are in place for their block's window are so for its offset.
+    ranked = ranked.withColumn("_rank", F.row_number().over(Window.partitionBy("_block").orderBy("_natural")))
     offsets = _offsets(ranked.groupBy("_block").agg(F.count("*").alias("_n")), levels)
     return (
         ranked.join(offsets, "_block")

@@ -252,6 +252,9 @@ def stage_facts(
         else:
             new = single
     versions = None if lookup == "as_of" else "is_current=true"
+    diagnoses, procedures, billing = (
+        scope(source[t], "encounter_id") for t in ("encounter_diagnoses", "encounter_procedures", "billing")
+    )
     rows = facts.lookup_keys(
         new,
         wh.read("dim_date", snap),
@@ -261,12 +264,10 @@ def stage_facts(
         wh.read("dim_department", snap),
         wh.read("dim_encounter_type", snap),
         lookup,
+        lambda met: facts.join_measures(met, diagnoses, procedures, billing),
     )
-    lines = [
-        scope(source[t], "encounter_id") for t in ("encounter_diagnoses", "encounter_procedures", "billing")
-    ]
     seen = Observation()
-    observed = facts.add_measures(rows, *lines).observe(seen, *facts.staged_metrics(watermark))
+    observed = facts.finish_staged(rows).observe(seen, *facts.staged_metrics(watermark))
     staged = wh.scratch(observed, "facts", ctx.batch_id)
     metrics = dict(seen.get)  # without entries where the planner saw that there are no rows
     for end in ("first_in", "last_in", "last_out"):

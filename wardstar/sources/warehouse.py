@@ -19,6 +19,8 @@ from ..operators import visits
 from ..schemas import STORED, TARGET, conform, empty, literal_rows
 
 _LIST = "_published"
+#: How stored and intermediate tables are compressed: by a quarter smaller than Spark's default.
+CODEC = "zstd"
 #: A table kept in buckets gets as many, a power of two, as hold about so many rows each.
 BUCKET_ROWS = 1 << 18
 # Tables to which each batch adds folders.
@@ -99,7 +101,7 @@ class Warehouse:
         """Write one unpartitioned folder of this batch and return its path."""
         path = f"{table}/batch={batch_id}" + (f"-{label}" if label else "") + (f"/{part}" if part else "")
         names = [n for n in STORED[table].names if not part.startswith(f"{n}=")]
-        conform(df, STORED[table]).select(names).write.mode("overwrite").parquet(f"{self.root}/{path}")
+        conform(df, STORED[table]).select(names).write.mode("overwrite").parquet(f"{self.root}/{path}", compression=CODEC)
         return path
 
     def write_buckets(self, df: DataFrame, table: str, batch_id: int, part: str, key: str, buckets: int) -> list[str]:
@@ -108,12 +110,12 @@ class Warehouse:
         names = [n for n in STORED[table].names if not part.startswith(f"{n}=")]
         rows = conform(df, STORED[table]).select(names)
         if buckets == 1:
-            rows.write.mode("overwrite").parquet(f"{self.root}/{base}/bucket=0")
+            rows.write.mode("overwrite").parquet(f"{self.root}/{base}/bucket=0", compression=CODEC)
             return [f"{base}/bucket=0"]
         (
             rows.withColumn("bucket", bucket_of(F.col(key), buckets))
             .hint("rebalance", "bucket")
-            .write.mode("overwrite").partitionBy("bucket").parquet(f"{self.root}/{base}")
+            .write.mode("overwrite").partitionBy("bucket").parquet(f"{self.root}/{base}", compression=CODEC)
         )
         # Partition values only, bounded by the number of buckets.
         written = self.spark.read.schema(f"{key} bigint, bucket int").parquet(f"{self.root}/{base}")
@@ -137,7 +139,7 @@ class Warehouse:
             .sortWithinPartitions("year_month", "specialty_key", "encounter_id")
             .write.mode("overwrite")
             .partitionBy("year_month")
-            .parquet(f"{self.root}/{path}")
+            .parquet(f"{self.root}/{path}", compression=CODEC)
         )
         return path
 
@@ -176,7 +178,7 @@ class Warehouse:
     def scratch(self, df: DataFrame, name: str, batch_id: int) -> DataFrame:
         """Write an intermediate result to a new folder and read it back: lineage ends here."""
         path = f"{self.root}/_scratch/batch={batch_id}/{name}-{uuid.uuid4().hex}"
-        df.write.parquet(path)
+        df.write.parquet(path, compression=CODEC)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def publish(self, snapshot: Snapshot, batch_id: int, revision: int = 0) -> Snapshot:
