@@ -7,6 +7,7 @@ import pytest
 from llm_cases import documents, empty, odd_rows, prose
 
 from wardstar.llm import variants
+from wardstar.llm.common import prepare
 
 NAMES = ["word", "form", "root", "n", "n_near", "form_n"]
 
@@ -101,3 +102,11 @@ def test_empty_table(spark):
     assert run(spark, []) == []
     assert variants.group_variants(empty(spark)).count() == 0
     assert run(spark, [(1, prose(1, 3))]) == []
+
+def test_signatures_are_joined_by_sorting_and_never_broadcast(spark):
+    prepare(spark)
+    words = spark.createDataFrame([("letters", 9), ("lettrs", 1), ("lettera", 1)], "word string, n long")
+    met = variants._met(variants._signatures(words))
+    plan = met._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin [key#" in plan and "Broadcast" not in plan
+    assert {(r.word, r.near) for r in met.collect()} == {("lettera", "letters"), ("lettrs", "letters")}

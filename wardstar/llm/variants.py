@@ -153,6 +153,12 @@ def near_pairs(words: DataFrame) -> DataFrame:
     words: (word, n), different words. A hot key is split by the adaptive skew join; the
     candidates of a key stream through the verification and are never held.
     """
+    once = stored(_met(_signatures(words)).distinct(), "near_words")
+    return once.union(once.select("near", "near_n", "word", "n"))
+
+
+def _signatures(words: DataFrame) -> DataFrame:
+    """(word, n, role, key): all signatures of the words."""
 
     def run(batches):
         for batch in batches:
@@ -164,17 +170,23 @@ def near_pairs(words: DataFrame) -> DataFrame:
             columns = [batch.column(0).take(at), batch.column(1).take(at), pa.array(role, pa.int32()), pa.array(key)]
             yield pa.RecordBatch.from_arrays(columns, ["word", "n", "role", "key"])
 
-    rows = words.select("word", "n").mapInArrow(run, "word string, n long, role int, key long")
-    a, b = rows.alias("a"), rows.alias("b")
+    return words.select("word", "n").mapInArrow(run, "word string, n long, role int, key long")
+
+
+def _met(rows: DataFrame) -> DataFrame:
+    """(word, n, near, near_n): words one edit apart that share a key, once per such key.
+
+    Spark takes the signatures for as large as the words, of which each has 18, so the join is
+    told to sort them; else half a GB of documents has them all broadcast.
+    """
+    a, b = rows.alias("a"), rows.hint("merge").alias("b")
     meet = ((F.col("a.role") == _EQUAL) & (F.col("b.role") == _EQUAL) & (F.col("a.word") < F.col("b.word"))) | (
         (F.col("a.role") == _SHORT) & (F.col("b.role") == _LONG)
     )
     close = F.levenshtein(F.col("a.word"), F.col("b.word"), 1) == 1
-    found = a.join(b, (F.col("a.key") == F.col("b.key")) & meet & close).select(
+    return a.join(b, (F.col("a.key") == F.col("b.key")) & meet & close).select(
         F.col("a.word").alias("word"), F.col("a.n").alias("n"), F.col("b.word").alias("near"), F.col("b.n").alias("near_n")
     )
-    once = stored(found.distinct(), "near_words")
-    return once.union(once.select("near", "near_n", "word", "n"))
 
 
 def roots(forms: DataFrame) -> DataFrame:
