@@ -22,11 +22,12 @@ def assign_keys(
     """
     ranked = new.withColumn("_natural", natural.cast("bigint"))
     ranked = ranked.withColumn("_block", F.shiftright("_natural", levels[0]))
-    # Rows that are in place for their block's window are so for its offset.
+    # Rows that are in place and in order for their block's window are so for its offset; else
+    # Spark, which can't size the offsets, would broadcast the rows instead.
     ranked = ranked.withColumn("_rank", F.row_number().over(Window.partitionBy("_block").orderBy("_natural")))
     offsets = _offsets(ranked.groupBy("_block").agg(F.count("*").alias("_n")), levels)
     return (
-        ranked.join(offsets, "_block")
+        ranked.hint("merge").join(offsets, "_block")
         .withColumn(key, F.lit(start).cast("bigint") + F.col("_before") + F.col("_rank"))
         .drop("_natural", "_block", "_rank", "_before")
     )
